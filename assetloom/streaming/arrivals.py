@@ -21,9 +21,11 @@ def file_arrivals(spark: SparkSession, root: str, files_per_trigger: int = 10_00
 
 
 def table_stream(spark: SparkSession, path: str, files_per_trigger: int = 1_000) -> DataFrame:
-    """Parquet files as a stream, with the schema of the files already there."""
+    """A Parquet table, one file or a folder, as a stream with its present schema."""
+    # a stream takes a single file only through a glob
+    glob = f"{path[:-1]}[{path[-1]}]"
     return (spark.readStream.schema(spark.read.parquet(path).schema)
-                 .option("maxFilesPerTrigger", files_per_trigger).parquet(path))
+                 .option("maxFilesPerTrigger", files_per_trigger).parquet(glob))
 
 
 def start(writer, checkpoint: str, once: bool = False) -> StreamingQuery:
