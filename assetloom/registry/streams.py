@@ -37,7 +37,7 @@ def stream_stable(t):
                     F.when(F.col("user_id") % 3 == 0, ".tmp").otherwise(".mp4"))
     looks = _event_stream(t).select(path.alias("path"), F.col("ts").alias("snapshot_ts"),
                                     F.floor(F.col("value") / 120).alias("length"))
-    flagged = arrivals.drain_to_table(state.stable_files(looks, checks=2), "stable")
+    flagged = arrivals.drain_to_table(state.stable_files(looks, 2, None), "stable")
     return flagged.withColumn("snapshot_ts", F.col("snapshot_ts").cast("timestamp_ntz"))
 
 
@@ -45,7 +45,7 @@ def stream_stable(t):
 def stream_throttle(t):
     progress = _event_stream(t).select(F.col("user_id").alias("asset_id"), "ts",
                                        (F.col("value") % 100).alias("percent"))
-    kept = arrivals.drain_to_table(state.throttle_progress(progress, 3600, 20), "throttled")
+    kept = arrivals.drain_to_table(state.throttle_progress(progress, 3600, 20, None), "throttled")
     return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 

@@ -37,14 +37,14 @@ def text_records(spark: SparkSession, path: str, separator: str) -> DataFrame:
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: path and body (playlists, payload files)."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
                  .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body")))
 
 
 def map_ledger(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
     """JSON map ledgers (key -> record) as rows. Empty or malformed maps give no
     rows. ``whole_file``: one map per file; else one map per line."""
-    bodies = (spark.read.option("wholetext", whole_file).text(path)
+    bodies = (spark.read.text(path, wholetext=whole_file)
                    .select(J.parse(F.col("value"), J.LEDGER_MAP).alias("_m")))
     return (bodies.select(F.explode("_m").alias("key", "_r")).select("key", "_r.*"))
 

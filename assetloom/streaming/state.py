@@ -2,6 +2,10 @@
 
 State is one small record per key. A micro-batch's rows of a key arrive as a
 sequence of Arrow batches; the source's ``maxFilesPerTrigger`` bounds them.
+
+``forget_after`` drops the state of keys silent for that long in processing
+time. Such a query always has a next batch, so a run that is to end by itself
+(``availableNow``) must pass None.
 """
 
 from __future__ import annotations
@@ -16,14 +20,21 @@ STABLE_SCHEMA = "path string, snapshot_ts timestamp, length bigint, stable boole
 PROGRESS_SCHEMA = "asset_id string, ts timestamp, percent double"
 
 
-def stable_files(snapshots: DataFrame, checks: int = 4, forget_after: str = "1 hour") -> DataFrame:
+def _forgetting(forget_after: str | None) -> tuple[int | None, str]:
+    if forget_after is None:
+        return None, GroupStateTimeout.NoTimeout
+    seconds = pd.Timedelta(forget_after).total_seconds()
+    return int(seconds * 1000), GroupStateTimeout.ProcessingTimeTimeout
+
+
+def stable_files(snapshots: DataFrame, checks: int = 4,
+                 forget_after: str | None = "1 hour") -> DataFrame:
     """Per snapshot row (path, snapshot_ts, length): is the size stable by now?
 
     A row is judged against the rows of its path seen so far, in time order
-    within a micro-batch. Paths silent for ``forget_after`` of processing time
-    lose their state.
+    within a micro-batch.
     """
-    forget_ms = int(pd.Timedelta(forget_after).total_seconds() * 1000)
+    forget_ms, timeout = _forgetting(forget_after)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame],
              state: GroupState) -> Iterator[pd.DataFrame]:
@@ -38,7 +49,8 @@ def stable_files(snapshots: DataFrame, checks: int = 4, forget_after: str = "1 h
             size = length
             flags.append(bool(length > 0 and same >= checks))
         state.update((int(size), int(same)))
-        state.setTimeoutDuration(forget_ms)
+        if forget_ms is not None:
+            state.setTimeoutDuration(forget_ms)
         yield pd.DataFrame({"path": key[0], "snapshot_ts": rows["snapshot_ts"].to_numpy(),
                             "length": rows["length"].to_numpy(), "stable": flags})
 
@@ -46,14 +58,14 @@ def stable_files(snapshots: DataFrame, checks: int = 4, forget_after: str = "1 h
                              F.col("length").cast("bigint"))
                      .groupBy("path")
                      .applyInPandasWithState(step, STABLE_SCHEMA, "size bigint, same bigint",
-                                             "append", GroupStateTimeout.ProcessingTimeTimeout))
+                                             "append", timeout))
 
 
 def throttle_progress(progress: DataFrame, min_seconds: float = 0.5, min_points: float = 0.5,
-                      forget_after: str = "1 hour") -> DataFrame:
+                      forget_after: str | None = "1 hour") -> DataFrame:
     """Rows (asset_id, ts, percent) that differ enough from the last row let
     through: ``min_seconds`` or ``min_points`` away, or at 99 % and above."""
-    forget_ms = int(pd.Timedelta(forget_after).total_seconds() * 1000)
+    forget_ms, timeout = _forgetting(forget_after)
 
     def step(key: tuple, batches: Iterator[pd.DataFrame],
              state: GroupState) -> Iterator[pd.DataFrame]:
@@ -72,7 +84,8 @@ def throttle_progress(progress: DataFrame, min_seconds: float = 0.5, min_points:
                 seen, last_at, last_percent = True, now, percent
             keep.append(passes)
         state.update((float(last_at), float(last_percent)))
-        state.setTimeoutDuration(forget_ms)
+        if forget_ms is not None:
+            state.setTimeoutDuration(forget_ms)
         kept = rows[keep]
         yield pd.DataFrame({"asset_id": key[0], "ts": kept["ts"].to_numpy(),
                             "percent": kept["percent"].to_numpy()})
@@ -81,4 +94,4 @@ def throttle_progress(progress: DataFrame, min_seconds: float = 0.5, min_points:
                             F.col("percent").cast("double"))
                     .groupBy("asset_id")
                     .applyInPandasWithState(step, PROGRESS_SCHEMA, "at double, percent double",
-                                            "append", GroupStateTimeout.ProcessingTimeTimeout))
+                                            "append", timeout))
