@@ -7,9 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import Column, functions as F
 
 # Characters not allowed in file names, white space as
-# ``str.strip`` sees it, terminal colour codes, image formats, CJK range.
+# ``str.strip`` sees it (as a set and as a pattern), terminal colour codes,
+# image formats, CJK range.
 ILLEGAL = r'[<>:"/\\|?*]'
 ILLEGAL_OR_BREAK = r'[<>:"/\\|?*\n\r\t]'
+SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+          "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 ANSI_COLOUR = r"\x1b\[[0-9;]*m"
 NOT_PRINTABLE_ASCII = r"[^\x20-\x7E]"
@@ -22,8 +25,8 @@ _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 
 
 def strip(col: Column) -> Column:
-    """Trim all white space; SQL ``trim`` removes blanks only."""
-    return F.regexp_replace(col, f"^{SPACE}+|{SPACE}+$", "")
+    """Trim all white space; plain SQL ``trim`` removes blanks only."""
+    return F.btrim(col, F.lit(SPACES))
 
 
 def safe_name(col: Column) -> Column:
@@ -38,8 +41,9 @@ def safe_name_stripped(col: Column) -> Column:
 
 def safe_title(col: Column, max_length: int = 100) -> Column:
     """Illegal characters to ``_``, white space collapsed, cut, never empty."""
-    clean = strip(F.regexp_replace(F.regexp_replace(strip(col), ILLEGAL, "_"), f"{SPACE}+", " "))
-    cut = F.regexp_replace(F.substring(clean, 1, max_length), f"{SPACE}+$", "")
+    one_line = F.regexp_replace(strip(col), f"{SPACE}+", " ")
+    clean = F.btrim(F.regexp_replace(one_line, ILLEGAL, "_"))
+    cut = F.rtrim(F.substring(clean, 1, max_length))
     return F.coalesce(F.nullif(cut, F.lit("")), F.lit(UNKNOWN))
 
 
@@ -59,7 +63,7 @@ def clean_url(col: Column, host_mark: str | None = None,
               prefix: str = "https://www.") -> Column:
     """Trim, drop trailing ``_`` and blanks; add ``prefix`` to a URL that holds
     ``host_mark`` but has no scheme."""
-    url = F.regexp_replace(strip(col), r"[_\s]+$", "")
+    url = F.rtrim(strip(col), F.lit("_" + SPACES))
     if host_mark is None:
         return url
     return F.when(url.contains(host_mark) & ~url.startswith("http"),

@@ -8,6 +8,7 @@ its lines.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
@@ -62,15 +63,27 @@ def _contains_any(line: Column, marks: Sequence[str]) -> Column:
     return reduce(or_, (line.contains(m) for m in marks))
 
 
-def _ignoring_case(pattern: str) -> str:
-    return f"(?i){pattern}"
+def _mentions(lowered: Column, pattern: str) -> Column:
+    """Whether a lower-cased line matches a pattern in any case.
+
+    Alternatives that are plain words are looked up as such, which is several
+    times faster than a pattern that ignores case.
+    """
+    def one(part: str) -> Column:
+        plain = re.fullmatch(r"[\w ]+", part)
+        return lowered.contains(part.lower()) if plain else lowered.rlike(part.lower())
+
+    return reduce(or_, map(one, pattern.split("|")))
 
 
-def first_rule(line: Column, rules: Sequence[tuple[str, str]] = ERROR_RULES) -> Column:
-    """Number (from 1) of the first rule that matches, null if none does."""
+def first_rule(lowered: Column, rules: Sequence[tuple[str, str]] = ERROR_RULES) -> Column:
+    """Number (from 1) of the first rule that a lower-cased line matches, or null.
+
+    Rule patterns may use ``|`` at the top level and no upper-case escapes.
+    """
     number = F.lit(None).cast("int")
     for i, (_, pattern) in reversed(list(enumerate(rules, 1))):
-        number = F.when(line.rlike(_ignoring_case(pattern)), F.lit(i)).otherwise(number)
+        number = F.when(_mentions(lowered, pattern), F.lit(i)).otherwise(number)
     return number
 
 
@@ -124,11 +137,14 @@ def error_report(log: DataFrame, run: str = "run_id", pos: str = "pos", line: st
     """
     text = S.strip(F.col(line))
     bare = S.strip_colour(text)
-    reports = _contains_any(F.upper(text), REPORT_MARKS) & (F.length(bare) > 10)
-    verdicts = log.groupBy(run).agg(
-        F.min(first_rule(F.col(line), rules)).alias("rule_no"),
-        F.min_by(F.when(reports, F.left(bare, F.lit(200))), F.when(reports, F.col(pos)))
-         .alias("_report"))
+    lowered = log.select(run, pos, line, F.lower(line).alias("_low"))
+    reports = (_contains_any(F.col("_low"), [m.lower() for m in REPORT_MARKS])
+               & (F.length(bare) > 10))
+    judged = lowered.select(run, pos, first_rule(F.col("_low"), rules).alias("_rule"),
+                            F.when(reports, F.left(bare, F.lit(200))).alias("_bare"))
+    verdicts = judged.groupBy(run).agg(
+        F.min("_rule").alias("rule_no"),
+        F.min_by("_bare", F.when(F.col("_bare").isNotNull(), F.col(pos))).alias("_report"))
     telling = (F.length(text) > 20) & ~text.startswith("[")
     tails = (top_per_group(log.select(run, pos, line), [run], [F.desc(pos)], 10)
              .where(telling).groupBy(run)
@@ -142,11 +158,11 @@ def error_report(log: DataFrame, run: str = "run_id", pos: str = "pos", line: st
 def retry_decision(log: DataFrame, run: Sequence[str] = ("run_id",), attempt: str = "attempt",
                    line: str = "line") -> DataFrame:
     """Per run: retry or not, and the wait in seconds for its attempt number."""
-    text = F.col(line)
-    rank = (F.when(text.rlike(_ignoring_case("|".join(FINAL_ERRORS))), 1)
-             .when(text.rlike(_ignoring_case(BUSY_ERRORS)), 2)
-             .when(text.rlike(_ignoring_case(ATTRIBUTE_ERRORS)), 3).otherwise(4))
-    ranked = log.groupBy(*run).agg(F.min(rank).alias("_rank"), F.max(attempt).alias(attempt))
+    low = F.col("_low")
+    rank = (F.when(_mentions(low, "|".join(FINAL_ERRORS)), 1)
+             .when(_mentions(low, BUSY_ERRORS), 2)
+             .when(_mentions(low, ATTRIBUTE_ERRORS), 3).otherwise(4))
+    ranked = log.select(*run, attempt, F.lower(line).alias("_low")).groupBy(*run).agg(F.min(rank).alias("_rank"), F.max(attempt).alias(attempt))
     tries = F.col(attempt)
     wait = (F.when(F.col("_rank") == 1, F.lit(0).cast("bigint"))
              .when(F.col("_rank") == 2, N.backoff(tries, 5, 30))

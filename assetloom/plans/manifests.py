@@ -14,20 +14,24 @@ def _lines(body: Column) -> Column:
     return F.transform(F.split(body, "\n"), S.strip)
 
 
+def _with_next(lines: Column) -> Column:
+    """Pairs of a line and the one after it; zipping keeps this linear, while an
+    index into ``lines`` inside a lambda would split the text for every line."""
+    return F.zip_with(lines, F.slice(lines, F.lit(2), F.size(lines)),
+                      lambda x, y: F.struct(x.alias("line"), y.alias("next_line")))
+
+
 def _after(lines: Column, is_mark) -> Column:
     """Non-empty lines that follow a marker line."""
-    following = F.transform(
-        lines, lambda x, i: F.when(is_mark(x), F.get(lines, i + 1)))
-    return F.filter(following, lambda x: x.isNotNull() & (x != ""))
+    marked = F.filter(_with_next(lines), lambda p: is_mark(p["line"]) & (p["next_line"] != ""))
+    return F.transform(marked, lambda p: p["next_line"])
 
 
 def numbered_lines(df: DataFrame, body: str) -> DataFrame:
     """One row per line with ``pos``, ``line`` and ``next_line``."""
-    lines = F.split(F.col(body), "\n")
-    rows = F.transform(lines, lambda x, i: F.struct(
-        i.alias("pos"), x.alias("line"), F.get(lines, i + 1).alias("next_line")))
     keep = [c for c in df.columns if c != body]
-    return df.select(*keep, F.inline(rows))
+    pairs = df.select(*keep, F.posexplode(_with_next(F.split(F.col(body), "\n"))).alias("pos", "_p"))
+    return pairs.select(*keep, "pos", "_p.*")
 
 
 def playlist_segments(playlists: DataFrame, *, asset: str = "asset_id", body: str = "body",
@@ -58,10 +62,9 @@ def last_variant(body: Column) -> Column:
 
 def widest_variant(body: Column) -> Column:
     """URI of the variant with the largest declared bandwidth, the last on ties."""
-    lines = _lines(body)
-    options = F.transform(lines, lambda x, i: F.when(
-        x.contains(VARIANT_MARK) & (F.get(lines, i + 1) != ""),
-        F.struct(F.coalesce(F.regexp_extract(x, r"[:,]BANDWIDTH=(\d+)", 1).try_cast("bigint"),
+    options = F.transform(_with_next(_lines(body)), lambda p, i: F.when(
+        p["line"].contains(VARIANT_MARK) & (p["next_line"] != ""),
+        F.struct(F.coalesce(F.regexp_extract(p["line"], r"[:,]BANDWIDTH=(\d+)", 1).try_cast("bigint"),
                             F.lit(0).cast("bigint")).alias("bandwidth"),
-                 i.alias("pos"), F.get(lines, i + 1).alias("uri"))))
+                 i.alias("pos"), p["next_line"].alias("uri"))))
     return F.array_max(options)["uri"]

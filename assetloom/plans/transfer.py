@@ -10,6 +10,7 @@ from assetloom.functions import strings as S
 from assetloom.operators import filters as E
 from assetloom.operators.joins import drop_existing_names, keep_listed, keyed_join
 from assetloom.operators.ordering import MAX_GROUP_ROWS
+from assetloom.session import materialize
 
 
 def latest_stable(snapshots: DataFrame, checks: int = 4, key: str = "path",
@@ -35,7 +36,8 @@ def eligible_transfers(snapshots: DataFrame, probes: DataFrame, target: DataFram
     media = snapshots.where(E.has_extension(F.col("path"), extensions))
     stable = latest_stable(media, checks, ts=ts, max_rows=max_rows)
     valid = keep_listed(stable, E.passed_probe(probes), ["path"], max_rows=None)
-    open_now = valid.where((total >= trigger_bytes) | in_window)
+    # written once, so that looking for hot names does not run the job twice
+    open_now = materialize(valid.where((total >= trigger_bytes) | in_window), "open-now")
     return drop_existing_names(open_now, target, S.base_name(F.col("path")),
                                S.base_name(F.col("path")), max_rows)
 

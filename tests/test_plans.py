@@ -131,7 +131,7 @@ def test_each_error_rule(spark):
                "Unable to download webpage", "Connection: read timeout", "Permission denied", "Postprocessing has failed",
                "Too many requests", "Access denied", "Unable to extract player info", "Video unavailable",
                "This video is not available", "Sign in to confirm", "Requested format is not available"]
-    df = spark.createDataFrame([(i, s.upper()) for i, s in enumerate(samples, 1)], "i int, line string")
+    df = spark.createDataFrame([(i, s.lower()) for i, s in enumerate(samples, 1)], "i int, line string")
     got = df.select("i", logs.first_rule(F.col("line")).alias("n")).collect()
     assert [r.n for r in got] == [r.i for r in got]
 
