@@ -39,15 +39,25 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
 
 
 def drop_done(candidates: DataFrame, done: DataFrame, keys: Sequence[str],
-              max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Candidates (a bag) whose key is not in ``done``."""
-    return keyed_join(candidates, done.select(*keys).distinct(), keys, "left_anti", max_rows)
+              max_rows: int | None = MAX_GROUP_ROWS, unique_done: bool = False) -> DataFrame:
+    """Candidates (a bag) whose key is not in ``done``.
+
+    ``unique_done`` says that ``done`` has one row per key, which saves its
+    aggregation.
+    """
+    return keyed_join(candidates, _keys_of(done, keys, unique_done), keys, "left_anti", max_rows)
 
 
 def keep_listed(rows: DataFrame, listed: DataFrame, keys: Sequence[str],
-                max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                max_rows: int | None = MAX_GROUP_ROWS, unique_listed: bool = False) -> DataFrame:
     """Rows whose key is in ``listed``."""
-    return keyed_join(rows, listed.select(*keys).distinct(), keys, "left_semi", max_rows)
+    return keyed_join(rows, _keys_of(listed, keys, unique_listed), keys, "left_semi", max_rows)
+
+
+def _keys_of(df: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
+    """Key columns, one row each; copies go before the shuffle, so a hot key of
+    this side does not move as such."""
+    return df.select(*keys) if unique else df.select(*keys).distinct()
 
 
 def update_listed(rows: DataFrame, listed: DataFrame, keys: Sequence[str],

@@ -96,7 +96,7 @@ def insert_ignore(table: DataFrame, batch: DataFrame, key: str,
                   first: Sequence[str]) -> DataFrame:
     """Batch rows that get inserted: the first per key, keys not yet in ``table``.
 
-    Null keys are no keys and are left out.
+    Null keys are no keys and are left out. ``table`` may repeat keys.
     """
     others = [c for c in batch.columns if c != key]
     one_each = (batch.where(F.col(key).isNotNull()).groupBy(key)

@@ -20,6 +20,8 @@ from assetloom.session import materialize
 
 #: Rows of one group that a single task may sort.
 MAX_GROUP_ROWS = 2_000_000
+#: Quantiles asked for when hot groups are cut; finer cuts interpolate.
+MAX_QUANTILES = 2_000
 #: Upper bound on the hot keys that are looked up by broadcast.
 MAX_HOT_KEYS = 10_000
 
@@ -65,17 +67,26 @@ def _cut(df: DataFrame, keys: Sequence[str], order_col: str,
     grouped = (grouped.join(F.broadcast(hot), "_group", "left")
                       .withColumn("_at", _as_number(df, order_col)))
     hot_rows = hot.agg(F.sum("_n")).first()[0]
-    pieces = math.ceil(hot_rows / max_rows) + 1
-    shares = [i / pieces for i in range(1, pieces)]
-    cuts = (grouped.where(F.col("_n").isNotNull())
-                   .agg(F.percentile_approx("_at", shares, max(10_000, 20 * pieces)))
-                   .first()[0]) or []
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol="_at", outputCol="_bucket",
-                          handleInvalid="keep").transform(grouped)
+    wanted = math.ceil(hot_rows / max_rows) + 1
+    slices = min(wanted, MAX_QUANTILES)
+    finer = math.ceil(wanted / slices)
+    shares = [i / slices for i in range(1, slices)]
+    cuts, low, high = (grouped.where(F.col("_n").isNotNull())
+                       .agg(F.percentile_approx("_at", shares, max(10_000, 20 * slices)),
+                            F.min("_at"), F.max("_at")).first())
+    inner = sorted(set(cuts or []))
+    bucketed = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_at",
+                          outputCol="_bucket", handleInvalid="keep").transform(grouped)
+    piece = F.col("_bucket").cast("int")
+    if finer > 1 and inner:
+        # equal widths inside a slice; a slice is narrow, so they are about equal in rows
+        starts = F.array(*(F.lit(float(x)) for x in (low, *inner)))
+        ends = F.array(*(F.lit(float(x)) for x in (*inner, high)))
+        start, end = F.element_at(starts, piece + 1), F.element_at(ends, piece + 1)
+        part = F.floor(F.coalesce(F.try_divide(F.col("_at") - start, end - start), F.lit(0.0)) * finer)
+        piece = piece * finer + F.greatest(F.lit(0), F.least(F.lit(finer - 1), part)).cast("int")
     piece = (F.when(F.col("_n").isNull(), F.lit(None))
-              .when(F.col("_at").isNull(), F.lit(-1))
-              .otherwise(F.col("_bucket")).cast("int"))
+              .when(F.col("_at").isNull(), F.lit(-1)).otherwise(piece).cast("int"))
     return bucketed.withColumn("_piece", piece).drop("_n", "_at", "_bucket"), True
 
 

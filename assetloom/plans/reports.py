@@ -43,10 +43,10 @@ def pending_report(cleaned: DataFrame, done: DataFrame, url: str = "url",
 def pending_cut_report(assets: DataFrame, done: DataFrame, key: str, duration: str,
                        group: Sequence[str], *, shortest: float = 180,
                        longest: float | None = None, threshold: float = 180,
-                       step: float = 90, max_rows: int | None = None) -> DataFrame:
+                       step: float = 90) -> DataFrame:
     """Of the known assets: which are pending and eligible, and how would they be
-    cut? Assets, parts and seconds per group. ``key`` is unique in ``assets``."""
-    pending = drop_done(assets, done, [key], max_rows)
+    cut? Assets, parts and seconds per group. ``key`` is unique in both tables."""
+    pending = drop_done(assets, done, [key], None, unique_done=True)
     span = F.col(duration) >= shortest
     if longest is not None:
         span = span & (F.col(duration) <= longest)

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from assetloom.functions import dates as D, strings as S
+from assetloom.operators.joins import keyed_join
+from assetloom.operators.metrics import scene_counts
 from assetloom.operators.ordering import MAX_GROUP_ROWS, cut_groups
+from assetloom.session import materialize
 
 
 def number_scenes(frames: DataFrame, video: str, order: list[str], score: str,
@@ -42,10 +45,16 @@ def scene_intervals(numbered: DataFrame, video: str = "video_id",
         D.timecode(F.col("last_frame") + 1, F.col("_fps")).alias("end_code"))
 
 
-def split_plan(scenes: DataFrame, counts: DataFrame, video: str = "video_id",
-               ext: str = ".mp4") -> DataFrame:
-    """Output name per scene of the videos that have several."""
-    several = counts.where("multi_scene").select(video, "n_scenes")
+def split_plan(scenes: DataFrame, video: str = "video_id", ext: str = ".mp4",
+               max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Output name per scene of the videos that have several.
+
+    The intervals are written once: they are counted, checked for hot videos and
+    joined.
+    """
+    placed = materialize(scenes, "scenes")
+    several = scene_counts(placed, video).where("multi_scene").select(video, "n_scenes")
     name = S.output_name(F.col(video).cast("string"), F.lit("scene"),
                          S.padded(F.col("scene_no")), ext=ext)
-    return scenes.join(several, video).withColumn("out_name", name)
+    return (keyed_join(placed, several, [video], "inner", max_rows)
+            .withColumn("out_name", name))

@@ -238,8 +238,7 @@ def scene_plan(t):
     frames = t.events.select(F.col("user_id").alias("video_id"), "event_id", "ts", "value",
                              F.lit(25.0).alias("fps"))
     numbered = scenes.number_scenes(frames, "video_id", ["ts", "event_id"], "value", threshold=150)
-    spans = scenes.scene_intervals(numbered, frame="event_id")
-    return scenes.split_plan(spans, M.scene_counts(numbered))
+    return scenes.split_plan(scenes.scene_intervals(numbered, frame="event_id"))
 
 
 @query("JOB-14 AGG-6 AGG-9", f"""

@@ -14,7 +14,7 @@ FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc
 GROUP BY source""")
 def pending_docs(t):
     docs = t.documents.select("doc_id", "source", "n_chars")
-    return (J.drop_done(docs, t.labels, ["doc_id"], max_rows=None)
+    return (J.drop_done(docs, t.labels, ["doc_id"], max_rows=None, unique_done=True)
              .groupBy("source").agg(F.count(F.lit(1)).alias("n_pending"),
                                     F.sum("n_chars").alias("n_chars")))
 

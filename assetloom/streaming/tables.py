@@ -65,7 +65,11 @@ def read_current(spark: SparkSession, path: str, key: Sequence[str],
 
 
 def new_link_batches(path: str, key: str, first: Sequence[str]):
-    """``foreachBatch`` writer: links never seen in an earlier batch, first copy of each."""
+    """``foreachBatch`` writer: links never seen in an earlier batch, first copy of each.
+
+    Every batch is joined with the keys of all earlier ones; for a long history
+    ``dedup_links`` with ``within=None`` does the same from state.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         known = _written(batch.sparkSession, path, batch.schema, batch_id)
         insert_ignore(known, batch, key, first).write.mode("overwrite").parquet(
@@ -73,8 +77,12 @@ def new_link_batches(path: str, key: str, first: Sequence[str]):
     return write
 
 
-def dedup_links(links: DataFrame, key: str, ts: str, within: str = "1 day") -> DataFrame:
-    """First copy of a link inside the watermark; state stays bounded."""
+def dedup_links(links: DataFrame, key: str, ts: str, within: str | None = "1 day") -> DataFrame:
+    """First copy of a link. With ``within`` only copies that close are known and
+    the state stays bounded; None remembers every link in the state store, which
+    costs a batch only its own keys."""
+    if within is None:
+        return links.dropDuplicates([key])
     return links.withWatermark(ts, within).dropDuplicatesWithinWatermark([key])
 
 

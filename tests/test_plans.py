@@ -174,7 +174,7 @@ def test_scene_plan(spark):
                                     for v in (1, 2) for n in range(100)],
                                    "video_id int, frame_no int, fps double, score double")
     numbered = scenes.number_scenes(frames, "video_id", ["frame_no"], "score")
-    plan = scenes.split_plan(scenes.scene_intervals(numbered), M.scene_counts(numbered)).orderBy("scene_no").collect()
+    plan = scenes.split_plan(scenes.scene_intervals(numbered)).orderBy("scene_no").collect()
     assert [(r.video_id, r.start_code, r.end_code, r.out_name) for r in plan] == [
         (1, "00:00:00.000", "00:00:02.000", "1_scene_001.mp4"),
         (1, "00:00:02.000", "00:00:04.000", "1_scene_002.mp4")]

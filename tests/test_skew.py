@@ -38,6 +38,16 @@ def test_running_equals_window(skewed, max_rows):
     assert as_set(cut.select(*plain.columns)) == as_set(plain)
 
 
+def test_finer_cuts_equal_window(skewed, monkeypatch):
+    monkeypatch.setattr(O, "MAX_QUANTILES", 3)
+    cut = O.cut_groups(skewed, ["k"], ["t", "id"], 20)
+    assert cut._rows.select("_piece").distinct().count() > 10
+    w = W.partitionBy("k").orderBy("t", "id")
+    plain = skewed.select("k", "id", F.lag("v").over(w).alias("l"), F.row_number().over(w).alias("n"))
+    got = cut.running(lags={"l": F.col("v")}, sums={"n": F.lit(1)}).rows().select("k", "id", "l", "n")
+    assert as_set(got) == as_set(plain)
+
+
 def test_hot_group_is_cut(skewed):
     groups = O.cut_groups(skewed, ["k"], ["t", "id"], 60)
     sizes = groups._rows.groupBy("_group", "_piece").count().agg(F.max("count")).first()[0]

@@ -126,3 +126,6 @@ def test_dedup_within_watermark(spark, tmp_path):
     stream = as_files(spark, rows, "link string, at timestamp", 2, str(tmp_path / "in"))
     got = arrivals.drain_to_table(tables.dedup_links(stream, "link", "at"), "dedup")
     assert sorted(r.link for r in got.collect()) == ["u0", "u1", "u2"]
+    stream = arrivals.table_stream(spark, str(tmp_path / "in"), 1)
+    got = arrivals.drain_to_table(tables.dedup_links(stream, "link", "at", None), "dedup")
+    assert sorted(r.link for r in got.collect()) == ["u0", "u1", "u2"]
