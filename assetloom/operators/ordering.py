@@ -74,11 +74,11 @@ def _cut(df: DataFrame, keys: Sequence[str], order_col: str,
     cuts, low, high = (grouped.where(F.col("_n").isNotNull())
                        .agg(F.percentile_approx("_at", shares, max(10_000, 20 * slices)),
                             F.min("_at"), F.max("_at")).first())
-    inner = sorted(set(cuts or []))
+    inner = sorted(set(cuts or [0.0]))
     bucketed = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_at",
                           outputCol="_bucket", handleInvalid="keep").transform(grouped)
     piece = F.col("_bucket").cast("int")
-    if finer > 1 and inner:
+    if finer > 1 and low is not None:
         # equal widths inside a slice; a slice is narrow, so they are about equal in rows
         starts = F.array(*(F.lit(float(x)) for x in (low, *inner)))
         ends = F.array(*(F.lit(float(x)) for x in (*inner, high)))

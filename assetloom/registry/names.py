@@ -156,7 +156,7 @@ def stamp_texts(t):
 
 @query("DT-3 DT-4", """
 SELECT event_id,
-       CASE WHEN event_type = 'error' THEN 'Unknown'
+       CASE WHEN event_type = 'error' OR value = 0 THEN 'Unknown'
             ELSE printf('%02d:%02d', CAST(floor(value) AS BIGINT) // 60, CAST(floor(value) AS BIGINT) % 60) END
          AS clock,
        CASE WHEN event_id = 0 THEN '' WHEN event_id > 3600

@@ -41,6 +41,24 @@ def stream_stable(t):
     return flagged.withColumn("snapshot_ts", F.col("snapshot_ts").cast("timestamp_ntz"))
 
 
+@query("STM-2 FLT-10", f"""
+WITH {SNAPSHOTS}
+SELECT path, look, length,
+       count(*) OVER f = 4 AND min(length) OVER f = max(length) OVER f AND length > 0 AS stable
+FROM snapshots
+WINDOW f AS (PARTITION BY path ORDER BY snapshot_ts, look ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)""")
+def stream_stable_batches(t):
+    out, recent = scratch_path(t.spark, "stable"), scratch_path(t.spark, "recent")
+    path = F.concat(F.lit("/vault/in/f"), F.col("user_id").cast("string"),
+                    F.when(F.col("user_id") % 3 == 0, ".tmp").otherwise(".mp4"))
+    looks = _event_stream(t).select(
+        path.alias("path"), F.col("ts").alias("snapshot_ts"), F.col("event_id").alias("look"),
+        F.floor(F.col("value") / 120).alias("length"))
+    write = tables.stable_batches(out, recent, 3, ts=["snapshot_ts", "look"])
+    tables.drain_batches(looks, write, "stable")
+    return t.spark.read.parquet(out).select("path", "look", "length", "stable")
+
+
 @query("STM-3 WIN-8", None)
 def stream_throttle(t):
     progress = _event_stream(t).select(F.col("user_id").alias("asset_id"), "ts",

@@ -20,12 +20,18 @@ def file_arrivals(spark: SparkSession, root: str, files_per_trigger: int = 10_00
                  .load(root).select(*INVENTORY_COLUMNS))
 
 
-def table_stream(spark: SparkSession, path: str, files_per_trigger: int = 1_000) -> DataFrame:
-    """A Parquet table, one file or a folder, as a stream with its present schema."""
+def table_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None,
+                 bytes_per_trigger: int = 10 * 1024 ** 3) -> DataFrame:
+    """A Parquet table, one file or a folder, as a stream with its present schema.
+
+    A micro-batch takes a number of files if stated, else a volume.
+    """
+    limit = (("maxBytesPerTrigger", bytes_per_trigger) if files_per_trigger is None
+             else ("maxFilesPerTrigger", files_per_trigger))
     # a stream takes a single file only through a glob
     glob = f"{path[:-1]}[{path[-1]}]"
     return (spark.readStream.schema(spark.read.parquet(path).schema)
-                 .option("maxFilesPerTrigger", files_per_trigger).parquet(glob))
+                 .option(*limit).parquet(glob))
 
 
 def start(writer, checkpoint: str, once: bool = False) -> StreamingQuery:

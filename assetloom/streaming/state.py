@@ -1,7 +1,9 @@
 """Per-key state over streams: stable files and progress throttling.
 
-State is one small record per key. A micro-batch's rows of a key arrive as a
-sequence of Arrow batches; the source's ``maxFilesPerTrigger`` bounds them.
+State is one small record per key, kept by Spark's state store. The rows that a
+micro-batch has for one key are put in time order by one task, so the size of a
+micro-batch must be bounded at its source. Where one file may fill a large part
+of it, ``streaming.tables.stable_batches`` does the stability check without that.
 
 ``forget_after`` drops the state of keys silent for that long in processing
 time. Such a query always has a next batch, so a run that is to end by itself

@@ -1,4 +1,4 @@
-"""Streams into ledger tables: counts, links, upserts and gated release.
+"""Streams into tables: counts, links, upserts, gated release, stable files.
 
 Micro-batches may be replayed after a failure. Every batch writes its own folder
 ``batch=<id>`` in overwrite mode, so a replay replaces what it wrote before.
@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from assetloom.operators.filters import stable_flags
 from assetloom.operators.ledger import insert_ignore
-from assetloom.operators.ordering import latest_row
+from assetloom.operators.ordering import MAX_GROUP_ROWS, latest_row, top_per_group
 from assetloom.session import scratch_path
 from assetloom.streaming.arrivals import drain
 
@@ -106,6 +107,28 @@ def release_batches(waiting: str, released: str, size: str, trigger_bytes: float
     return write
 
 
+def stable_batches(out: str, recent: str, checks: int = 4, key: str = "path",
+                   ts: Sequence[str] = ("snapshot_ts",), size: str = "length",
+                   max_rows: int = MAX_GROUP_ROWS):
+    """``foreachBatch`` writer: judge each snapshot row by the ``checks`` before it.
+
+    The last ``checks`` rows per file go with the next batch. A batch is an
+    ordinary table here, so a file with very many rows is cut like any hot group.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _written(spark, recent, batch.schema, batch_id).where(
+            F.col("batch") == batch_id - 1).drop("batch")
+        together = before.withColumn("_new", F.lit(False)).unionByName(
+            batch.withColumn("_new", F.lit(True)))
+        flagged = stable_flags(together, checks, key, ts, size, max_rows)
+        (flagged.where("_new").drop("_new", "size_change")
+                .write.mode("overwrite").parquet(_batch_folder(out, batch_id)))
+        (top_per_group(together.drop("_new"), [key], [F.desc(c) for c in ts], checks)
+         .drop("rank").write.mode("overwrite").parquet(_batch_folder(recent, batch_id)))
+    return write
+
+
 def drain_batches(stream: DataFrame, write, name: str, mode: str = "append") -> None:
     """Run a ``foreachBatch`` writer over all that is there."""
     drain(stream.writeStream.outputMode(mode).foreachBatch(write), stream.sparkSession, name)

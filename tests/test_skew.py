@@ -71,6 +71,12 @@ def test_stable_and_scenes(skewed, max_rows):
     assert as_set(mine.select("k", "id", "scene_no")) == as_set(plain)
 
 
+def test_hot_group_without_times(spark):
+    rows = spark.range(40).select(F.lit("a").alias("k"), F.lit(None).cast("int").alias("t"), "id")
+    got = O.cut_groups(rows, ["k"], ["t", "id"], 10).running(sums={"n": F.lit(1)}).rows()
+    assert sorted((r.id, r.n) for r in got.collect()) == [(i, i + 1) for i in range(40)]
+
+
 def test_min_scene_length(spark):
     frames = spark.createDataFrame([(1, n, 40.0 if n in (5, 7, 20, 31) else 0.0) for n in range(40)],
                                    "video int, frame int, score double")
