@@ -186,10 +186,10 @@ def run_outcomes(log: DataFrame, run: Sequence[str] = ("run_id",), line: str = "
 
 def format_sizes(listing: DataFrame, line: str = "line") -> DataFrame:
     """Add width and height: the first ``WxH`` of each line; other lines drop out."""
-    text = F.col(line)
-    return listing.where(text.rlike(RESOLUTION)).withColumns({
-        "width": F.regexp_extract(text, RESOLUTION, 1).try_cast("int"),
-        "height": F.regexp_extract(text, RESOLUTION, 2).try_cast("int")})
+    sized = listing.withColumn("_size", F.regexp_extract(line, RESOLUTION, 0)).where("_size <> ''")
+    parts = F.split("_size", "x")
+    return sized.withColumns({"width": F.get(parts, F.lit(0)).try_cast("int"),
+                              "height": F.get(parts, F.lit(1)).try_cast("int")}).drop("_size")
 
 
 def last_lines(log: DataFrame, run: str = "run_id", pos: str = "pos", n: int = 10) -> DataFrame:
