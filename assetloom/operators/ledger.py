@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
 from assetloom.operators.joins import drop_done, update_listed
-from assetloom.operators.ordering import (MAX_GROUP_ROWS, cut_groups, first_rows, latest_row,
+from assetloom.operators.ordering import (MAX_GROUP_ROWS, MAX_TOP_ROWS, cut_groups, first_rows, latest_row,
                                           number_rows)
 
 # State codes of the five ledger dialects, and the steps a task may take.
@@ -141,7 +141,7 @@ def assign_hosts(tasks: DataFrame, n_hosts: int, order: Sequence[str],
     With ``limit`` only the first ones are dealt (one small top-k window);
     without it the whole table is numbered in parallel.
     """
-    if limit is not None and limit <= MAX_GROUP_ROWS:
+    if limit is not None and limit <= MAX_TOP_ROWS:
         first = first_rows(tasks, [F.col(c) for c in order], limit)
         numbered = first.withColumn(
             "claim_no", F.row_number().over(W.orderBy(*order)).cast("bigint"))

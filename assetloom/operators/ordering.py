@@ -20,6 +20,8 @@ from assetloom.session import materialize
 
 #: Rows of one group that a single task may sort.
 MAX_GROUP_ROWS = 2_000_000
+#: Rows of a top-k that one task may merge.
+MAX_TOP_ROWS = 10_000
 #: Quantiles asked for when hot groups are cut; finer cuts interpolate.
 MAX_QUANTILES = 2_000
 #: Upper bound on the hot keys that are looked up by broadcast.
@@ -162,14 +164,10 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], *, start: int = 1,
     table is written once, and each partition's offset comes from a count of at
     most one row per partition (and group). ``order`` must be a total order.
     """
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    keyed = df.withColumns({f"_o{i}": c for i, c in enumerate(order_cols)})
-    by = [*group, *(f"_o{i}" for i in range(len(order_cols)))]
+    by = [*group, *order]
     placed = materialize(
-        keyed.repartitionByRange(*by).sortWithinPartitions(*by)
-             .withColumn("_slot", F.monotonically_increasing_id())
-             .drop(*(f"_o{i}" for i in range(len(order_cols)))),
-        "numbered")
+        df.repartitionByRange(*by).sortWithinPartitions(*by)
+          .withColumn("_slot", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_slot", _IN_PARTITION_BITS)
     if not group:
         # one row per range partition, so both the window and broadcast are small
@@ -207,15 +205,25 @@ def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 
 
 def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """First ``n`` rows in a stated order."""
-    return df.orderBy(*order).limit(n)
+    """First ``n`` rows in a stated total order."""
+    return _slice_rows(df, order, 0, n)
 
 
 def page_rows(df: DataFrame, order: Sequence[Column], page: int, size: int = 24) -> DataFrame:
     """Page ``page`` (from 1) of ``size`` rows."""
     if page < 1 or size < 1:
         raise ValueError("page and size start at 1")
-    return df.orderBy(*order).offset((page - 1) * size).limit(size)
+    return _slice_rows(df, order, (page - 1) * size, size)
+
+
+def _slice_rows(df: DataFrame, order: Sequence[Column], skip: int, n: int) -> DataFrame:
+    """A top-k ends in one task, which suits a few rows; deeper slices are
+    numbered in parallel."""
+    if skip + n <= MAX_TOP_ROWS:
+        return df.orderBy(*order).offset(skip).limit(n)
+    place = F.col("_place")
+    return (number_rows(df, order, name="_place")
+            .where((place > skip) & (place <= skip + n)).drop("_place"))
 
 
 def latest_row(df: DataFrame, group: Sequence[str], newest: Sequence[str]) -> DataFrame:

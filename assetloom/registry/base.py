@@ -30,6 +30,10 @@ class Query:
     build: Callable[[Tables], DataFrame]
     sql: str | None
 
+    @property
+    def __name__(self) -> str:
+        return self.name
+
     def __call__(self, spark: SparkSession, folder: str) -> DataFrame:
         return self.build(Tables(spark, folder))
 

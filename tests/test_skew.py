@@ -110,6 +110,14 @@ def test_number_rows(skewed):
     assert as_set(per_key.select(*plain.columns)) == as_set(plain)
 
 
+def test_deep_slices(skewed, monkeypatch):
+    order = [F.desc_nulls_last("t"), F.asc("id")]
+    small = O.page_rows(skewed, order, page=6, size=50), O.first_rows(skewed, order, 120)
+    monkeypatch.setattr(O, "MAX_TOP_ROWS", 10)
+    deep = O.page_rows(skewed, order, page=6, size=50), O.first_rows(skewed, order, 120)
+    assert [as_set(d.select(skewed.columns)) for d in deep] == [as_set(d) for d in small]
+
+
 def test_number_rows_of_nothing(skewed):
     assert O.number_rows(skewed.where("id < 0"), ["id"]).count() == 0
     assert O.number_rows(skewed.where("id < 0"), ["id"], group=["k"]).count() == 0
