@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
+from assetloom.operators.filters import any_keyword
 from assetloom.operators.joins import drop_done, update_listed
 from assetloom.operators.ordering import (MAX_GROUP_ROWS, MAX_TOP_ROWS, cut_groups, first_rows, latest_row,
                                           number_rows)
@@ -55,6 +56,30 @@ def transitions(events: DataFrame, key: Sequence[str], state: str,
     return stepped.withColumn("allowed", (F.col("_nth") == 1) | known).drop("_nth")
 
 
+def advance(current: DataFrame, to_state: str, at: Column, host: Column | None = None,
+            allowed: Sequence[tuple[str, str]] = ALLOWED_STEPS) -> tuple[DataFrame, DataFrame]:
+    """Events that take tasks to ``to_state``, to be appended to the log, and the
+    tasks whose state does not allow the step."""
+    may = F.coalesce(F.col("state").isin(*[a for a, b in allowed if b == to_state]), F.lit(False))
+    changes = {"state": F.lit(to_state), "updated_at": at, "seq": F.col("seq") + 1}
+    if host is not None:
+        changes["host"] = host
+    return current.where(may).withColumns(changes), current.where(~may)
+
+
+def state_after_failure(attempts: Column, max_attempts: int) -> Column:
+    """Retry until ``max_attempts``, then failed for good."""
+    return F.when(attempts >= max_attempts, F.lit("failed")).otherwise(F.lit("retry"))
+
+
+def pending_by_keyword(tasks: DataFrame, text: str, keywords: Sequence[str], order: Sequence[str],
+                       state: str = "download_state", pending: int = 0,
+                       limit: int = 50) -> DataFrame:
+    """The next batch of pending tasks that name one of the keywords."""
+    wanted = any_keyword(F.col(text), keywords) & (F.col(state) == pending)
+    return first_rows(tasks.where(wanted), [F.col(c) for c in order], limit)
+
+
 def stuck_tasks(current: DataFrame, now: Column, minutes: int = 0, host: str | None = None,
                 state: str = "state", updated: str = "updated_at") -> DataFrame:
     """Queued or running tasks untouched for ``minutes``, of one host or all."""

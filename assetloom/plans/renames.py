@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from assetloom.functions import strings as S
 from assetloom.operators.joins import drop_done, keep_listed
+from assetloom.operators.ledger import duplicate_values
 from assetloom.operators.ordering import number_rows, shuffle_key
 
 
@@ -50,3 +51,8 @@ def suffix_collisions(df: DataFrame, name: str, order: str, out: str = "final_na
         F.lit("_"), (F.col("_copy") - 1).cast("string"), ext)
     return numbered.withColumn(
         out, F.when(F.col("_copy") == 1, F.col(name)).otherwise(suffixed)).drop("_copy")
+
+
+def name_clashes(renamed: DataFrame, out: str = "final_name") -> DataFrame:
+    """Final names that several rows still hold: a suffixed name may equal a real one."""
+    return duplicate_values(renamed, out)

@@ -131,6 +131,45 @@ def transitions(t):
              .select("task_id", "seq", "from_state", "state", "allowed"))
 
 
+_FROM = ", ".join(sql_text(a) for a, b in L.ALLOWED_STEPS if b == "running")
+
+
+@query("LED-2 LED-1", f"""
+WITH {TASK_EVENTS}, cur AS (
+  SELECT * FROM task_events
+  QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY updated_at DESC, seq DESC) = 1)
+SELECT task_id, CASE WHEN state IN ({_FROM}) THEN 'running' ELSE state END AS state,
+       CASE WHEN state IN ({_FROM}) THEN 'host9' ELSE host END AS host,
+       CASE WHEN state IN ({_FROM}) THEN seq + 1 ELSE seq END AS seq, state IN ({_FROM}) AS taken
+FROM cur""")
+def advanced_tasks(t):
+    now = t.events.agg(F.max("ts").alias("ts")).scalar()
+    steps, refused = L.advance(L.current_state(task_events(t), ["task_id"]), "running", now,
+                               F.lit("host9"))
+    both = steps.withColumn("taken", F.lit(True)).unionByName(refused.withColumn("taken", F.lit(False)))
+    return both.select("task_id", "state", "host", "seq", "taken")
+
+
+@query("LED-2 AGG-12", """
+SELECT conv_id, CASE WHEN count(*) FILTER (role = 'user') >= 3 THEN 'failed' ELSE 'retry' END AS state
+FROM conversations GROUP BY conv_id""")
+def failed_attempts(t):
+    counted = t.conversations.groupBy("conv_id").agg(
+        F.count_if(F.col("role") == "user").alias("attempts"))
+    return counted.select("conv_id", L.state_after_failure(F.col("attempts"), 3).alias("state"))
+
+
+@query("FLT-4 ORD-1 JN-3", """
+SELECT doc_id, source FROM documents LEFT JOIN labels USING (doc_id)
+WHERE (text ILIKE '%mento%' OR text ILIKE '%the%') AND coalesce(quality, 0) = 0
+ORDER BY doc_id LIMIT 50""")
+def keyword_batch(t):
+    docs = t.documents.select("doc_id", "source", "text")
+    tasks = J.with_default(docs, t.labels, ["doc_id"], "quality", max_rows=None)
+    return L.pending_by_keyword(tasks, "text", ["mento", "the"], ["doc_id"], "quality").select(
+        "doc_id", "source")
+
+
 @query("LED-3", f"""
 WITH {TASK_EVENTS}, cur AS (
   SELECT * FROM task_events

@@ -116,3 +116,14 @@ FROM n""")
 def name_suffixes(t):
     named = t.part.select("p_partkey", F.concat("p_name", F.lit(".mp4")).alias("name"))
     return renames.suffix_collisions(named, "name", "p_partkey")
+
+
+@query("WIN-4", """
+WITH n AS (SELECT p_partkey, p_name || CASE WHEN p_size <= 25 THEN '_1' ELSE '' END AS stem FROM part),
+m AS (SELECT stem, row_number() OVER (PARTITION BY stem ORDER BY p_partkey) AS n FROM n),
+f AS (SELECT CASE WHEN n = 1 THEN stem ELSE stem || '_' || (n - 1) END || '.mp4' AS final_name FROM m)
+SELECT final_name, count(*) AS n_rows FROM f GROUP BY 1 HAVING count(*) > 1""")
+def suffix_clashes(t):
+    stem = F.concat("p_name", F.when(F.col("p_size") <= 25, "_1").otherwise(""), F.lit(".mp4"))
+    named = t.part.select("p_partkey", stem.alias("name"))
+    return renames.name_clashes(renames.suffix_collisions(named, "name", "p_partkey"))

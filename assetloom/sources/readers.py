@@ -62,6 +62,11 @@ OPERATION_LOG = ("timestamp string, operation string, status string, live_id str
                  "details string, computer string")
 
 
+def ledger_files(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet ledger whose later files may have more columns than earlier ones."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def jdbc_options(url: str, table: str, *, key: str | None = None, low: object = None,
                  high: object = None, partitions: int | None = None,
                  fetch_size: int = 10_000) -> dict[str, str]:

@@ -26,17 +26,17 @@ def append_operations(operations: DataFrame, path: str) -> None:
 
 
 def append_ledger(events: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Append ledger events as Parquet, one file per task and partition value."""
+    """Append ledger events as Parquet. With partition columns the rows are
+    clustered by them first, so that not every task writes into every folder; the
+    rebalance splits a value that is large."""
+    if partition_by:
+        events = events.hint("rebalance", *(F.col(c) for c in partition_by))
     events.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def write_by_keyword(rows: DataFrame, path: str, keyword: str = "keyword",
-                     files_per_keyword: int = 1) -> None:
-    """Folder per keyword. Rows are clustered by keyword first, so that not every
-    task writes into every folder; the rebalance splits a keyword that is large."""
-    (rows.hint("rebalance", F.col(keyword)) if files_per_keyword == 1
-     else rows.repartition(keyword, F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_keyword)))
-     ).write.mode("append").partitionBy(keyword).parquet(path)
+def write_by_keyword(rows: DataFrame, path: str, keyword: str = "keyword") -> None:
+    """A folder per keyword."""
+    append_ledger(rows, path, [keyword])
 
 
 def write_jdbc(events: DataFrame, url: str, table: str, batch_rows: int = 10_000) -> None:

@@ -56,6 +56,20 @@ def test_transitions_and_stuck(spark):
     assert (health["h1"].failed, health["h1"].wrong_steps, health["h2"].stuck) == (1, 1, 1)
 
 
+def test_advance(spark):
+    current = spark.createDataFrame([(1, "pending", 1), (2, "done", 5), (3, "running", 2), (4, None, 1)],
+                                    "task_id int, state string, seq int")
+    current = current.withColumn("updated_at", F.lit(T0).cast("timestamp"))
+    steps, refused = L.advance(current, "running", F.lit(T0 + timedelta(hours=1)).cast("timestamp"))
+    assert rows(steps) == [(1, "running", 2, T0 + timedelta(hours=1))]
+    assert sorted(r.task_id for r in refused.collect()) == [2, 3, 4]
+
+
+def test_failures_end(spark, col):
+    states = [col(L.state_after_failure(F.col("x"), 3), "x int", n) for n in (1, 2, 3, 4)]
+    assert states == ["retry", "retry", "failed", "failed"]
+
+
 @pytest.mark.parametrize("limit", [None, 10, 1000])
 def test_assign_hosts(spark, limit):
     tasks = spark.range(37).withColumn("at", F.lit(5) - F.col("id") % 5)

@@ -106,6 +106,9 @@ def test_suffixes(spark):
     df = spark.createDataFrame([(1, "a.mp4"), (2, "a.mp4"), (3, "a.mp4"), (4, "b"), (5, "b")], "id int, name string")
     got = [r.final_name for r in renames.suffix_collisions(df, "name", "id").orderBy("id").collect()]
     assert got == ["a.mp4", "a_1.mp4", "a_2.mp4", "b", "b_1"]
+    df = df.union(spark.createDataFrame([(6, "a_1.mp4")], df.schema))
+    clashes = renames.name_clashes(renames.suffix_collisions(df, "name", "id")).collect()
+    assert [tuple(r) for r in clashes] == [("a_1.mp4", 2)]
 
 
 def log_frame(spark, lines, exit_code=1, attempt=0):

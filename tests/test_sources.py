@@ -56,11 +56,18 @@ def test_appends(spark, tmp_path):
     assert [r.timestamp for r in R.operation_log(spark, ops).collect()] == ["2024-05-01T10:00:00.000000"] * 2
 
 
-@pytest.mark.parametrize("files", [1, 3])
-def test_keyword_folders(spark, tmp_path, files):
+def test_ledger_with_a_later_column(spark, tmp_path):
+    out = str(tmp_path / "ledger")
+    sinks.append_ledger(spark.createDataFrame([(1,)], "id int"), out)
+    sinks.append_ledger(spark.createDataFrame([(2, "pc")], "id int, computer string"), out)
+    got = R.ledger_files(spark, out).select("id", "computer").collect()
+    assert sorted(map(tuple, got)) == [(1, None), (2, "pc")]
+
+
+def test_keyword_folders(spark, tmp_path):
     rows = spark.range(90).select("id", F.when(F.col("id") < 60, "hot").otherwise(
         (F.col("id") % 5).cast("string")).alias("keyword"))
-    sinks.write_by_keyword(rows, str(tmp_path / "k"), files_per_keyword=files)
+    sinks.write_by_keyword(rows, str(tmp_path / "k"))
     assert spark.read.parquet(str(tmp_path / "k")).count() == 90
     assert len(list((tmp_path / "k").glob("keyword=*"))) == 6
 
