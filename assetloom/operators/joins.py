@@ -20,6 +20,9 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
                max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Join where ``right`` has one row per key and ``left`` may have hot keys.
 
+    One row per key is what bounds the broadcast below; make ``right`` distinct
+    or aggregate it first where that is not given.
+
     Keys of ``left`` with more than ``max_rows`` rows are few by construction,
     so their right rows are broadcast and the hot rows never move; all other
     rows take the ordinary join. ``how``: inner, left, left_semi or left_anti.

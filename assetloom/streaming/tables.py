@@ -99,11 +99,12 @@ def release_batches(waiting: str, released: str, size: str, trigger_bytes: float
         spark = batch.sparkSession
         held = _written(spark, waiting, batch.schema, batch_id).where(
             F.col("batch") == batch_id - 1).drop("batch")
-        together = held.unionByName(batch)
+        together = held.unionByName(batch).persist()
         total = together.agg(F.coalesce(F.sum(size), F.lit(0)).alias("total")).scalar()
         is_open = (total >= trigger_bytes) | in_window
         together.where(is_open).write.mode("overwrite").parquet(_batch_folder(released, batch_id))
         together.where(~is_open).write.mode("overwrite").parquet(_batch_folder(waiting, batch_id))
+        together.unpersist()
     return write
 
 
@@ -120,12 +121,13 @@ def stable_batches(out: str, recent: str, checks: int = 4, key: str = "path",
         before = _written(spark, recent, batch.schema, batch_id).where(
             F.col("batch") == batch_id - 1).drop("batch")
         together = before.withColumn("_new", F.lit(False)).unionByName(
-            batch.withColumn("_new", F.lit(True)))
+            batch.withColumn("_new", F.lit(True))).persist()
         flagged = stable_flags(together, checks, key, ts, size, max_rows)
         (flagged.where("_new").drop("_new", "size_change")
                 .write.mode("overwrite").parquet(_batch_folder(out, batch_id)))
         (top_per_group(together.drop("_new"), [key], [F.desc(c) for c in ts], checks)
          .drop("rank").write.mode("overwrite").parquet(_batch_folder(recent, batch_id)))
+        together.unpersist()
     return write
 
 
