@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import string
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -25,14 +25,15 @@ ITEMS_PER_PASS = 20_000
 HITS = "doc_id bigint, item_id bigint, first_word bigint, n_words bigint, similarity double"
 
 # Signs at the edges of words that are no part of the wording.
-_EDGES = re.compile(rb"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$")
+_EDGES = string.punctuation.encode()
 
 
 class _Words(WordHashes):
     """Hashes of words without case and outer punctuation."""
 
     def __missing__(self, word: bytes) -> int:
-        plain = _EDGES.sub(b"", word.decode().lower().encode()) or word
+        plain = word.decode().lower().encode()
+        plain = plain.strip(_EDGES) or plain
         value = WordHashes.__missing__(self, plain) if plain == word else self[plain]
         self[word] = value
         return value
@@ -127,8 +128,8 @@ class Benchmark:
     def scan(self, text: str) -> list[tuple[int, int, int, float]]:
         """(item, first word, words, similarity): the best window of each item found.
 
-        For each item length, windows of that many words are fingerprinted at every word. Windows that
-        hold no shingle of any item are passed over: their similarity to each item is zero.
+        For each item length, windows of that many words are fingerprinted at every word. Windows whose
+        shingles of any item weigh less than the least similarity asks for are passed over.
         """
         words = self._hashes.of(text.encode().split())
         best: dict[int, tuple] = {}
@@ -147,20 +148,25 @@ class Benchmark:
             for group in np.split(hits, cuts):
                 low, high = max(0, int(group[0]) - reach), min(len(values), int(group[-1]) + reach)
                 part = values[low:high]
-                sums = np.vstack([np.zeros((1, BITS)), np.cumsum(self._weighed(part), axis=0)])
-                seen = np.zeros(len(part) + 1, np.int64)
-                seen[1:] = np.cumsum(self.known[at[low:high]] == part)
+                weights = self._weights(part)
+                sums = np.zeros((len(part) + 1, BITS + 2))
+                sums[1:, :BITS] = _signs(part) * weights[:, None]
+                sums[1:, BITS] = weights
+                sums[1:, BITS + 1] = weights * (self.known[at[low:high]] == part)
+                sums = np.cumsum(sums, axis=0)
                 for n in lengths:
-                    self._windows(n, n - n_shingle + 1, low, part, sums, seen, best)
+                    self._windows(n, n - n_shingle + 1, low, part, sums, best)
         return [(item, *found) for item, found in sorted(best.items())]
 
-    def _windows(self, n: int, size: int, low: int, part: np.ndarray, sums: np.ndarray, seen: np.ndarray,
-                 best: dict) -> None:
+    def _windows(self, n: int, size: int, low: int, part: np.ndarray, sums: np.ndarray, best: dict) -> None:
         if len(part) < size:
             return
         ids, values, index = self._lengths[n]
-        starts = np.flatnonzero(seen[size:] > seen[:-size])
-        prints = _packed(np.round(sums[starts + size] - sums[starts], 6))
+        total, known = (sums[size:, BITS + i] - sums[:-size, BITS + i] for i in (0, 1))
+        starts = np.flatnonzero(known >= LEAST_SIMILARITY * total - 1e-6)
+        if not len(starts):
+            return
+        prints = _packed(np.round(sums[starts + size, :BITS] - sums[starts, :BITS], 6))
         for w, i in zip(*index.candidates(prints), strict=True):
             start = int(starts[w])
             alike = self.similarity(part[start:start + size], values[i])
