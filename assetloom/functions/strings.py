@@ -117,21 +117,24 @@ def url_key(url: Column) -> Column:
 
 
 def base_url(url: Column) -> Column:
-    """Everything up to the last ``/``, with it."""
-    return F.regexp_replace(url, "/[^/]*$", "/")
+    """Everything up to the last ``/`` of the path, with it; query and fragment do not count."""
+    return F.regexp_replace(F.regexp_replace(url, "[?#].*", ""), "/[^/]*$", "/")
 
 
 def join_url(base: Column, ref: Column) -> Column:
-    """Absolute references pass; ``/x`` is resolved on the host, others on the
-    folder of ``base``. ``../`` is not resolved."""
+    """Absolute references pass; ``//host/x`` takes the scheme of ``base``, ``/x`` is resolved on
+    its host, ``?q`` on its path, others on its folder. ``../`` is not resolved."""
     host = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)//", 1)
     return (F.when(ref.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), ref)
+             .when(ref.startswith("//"), F.concat(scheme, ref))
              .when(ref.startswith("/"), F.concat(host, ref))
+             .when(ref.startswith("?"), F.concat(F.regexp_replace(base, "[?#].*", ""), ref))
              .otherwise(F.concat(base_url(base), ref)))
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, "([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def extension(path: Column) -> Column:

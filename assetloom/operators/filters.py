@@ -10,7 +10,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetloom.functions import strings as S
-from assetloom.operators.ordering import MAX_GROUP_ROWS, cut_groups
+from assetloom.operators.ordering import cut_groups
 
 # Extension sets, folders to leave out, clean-up patterns.
 VIDEO_EXTENSIONS = (".mp4", ".avi", ".mov", ".mkv", ".m4v", ".wmv", ".rmvb", ".dat", ".vob")
@@ -105,12 +105,12 @@ def passed_probe(probes: DataFrame, key: str = "path", ok: str = "ok",
 
 def stable_flags(snapshots: DataFrame, checks: int = 4, key: str = "path",
                  ts: Sequence[str] = ("snapshot_ts",), size: str = "length",
-                 max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                 pieces: int | None = None) -> DataFrame:
     """Add ``size_change`` (against the previous snapshot) and ``stable``: the
     size is not 0 and has been the same for ``checks`` checks in a row."""
     moved = F.when(~F.col(size).eqNullSafe(F.col("_before")) | (F.col("_seen") == 1),
                    F.col("_seen"))
-    traced = (cut_groups(snapshots, [key], ts, max_rows)
+    traced = (cut_groups(snapshots, [key], ts, pieces)
               .running(sums={"_seen": F.lit(1)}, lags={"_before": F.col(size)})
               .running(maxes={"_moved": moved}).rows())
     return traced.select(

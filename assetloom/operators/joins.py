@@ -6,8 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from assetloom.operators.ordering import MAX_GROUP_ROWS, hot_keys
-
 # Quality names and their pixel heights.
 QUALITY_HEIGHT = {
     "1080P": 1080, "720P": 720, "480P": 480, "360P": 360, "240P": 240,
@@ -16,45 +14,28 @@ QUALITY_HEIGHT = {
 }
 
 
-def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
-               max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join where ``right`` has one row per key and ``left`` may have hot keys.
 
-    One row per key is what bounds the broadcast below; make ``right`` distinct
-    or aggregate it first where that is not given.
-
-    Keys of ``left`` with more than ``max_rows`` rows are few by construction,
-    so their right rows are broadcast and the hot rows never move; all other
-    rows take the ordinary join. ``how``: inner, left, left_semi or left_anti.
-    ``max_rows`` of None skips the check where ``left`` is unique on the keys.
+    A plain join: adaptive execution splits the skewed partitions of ``left`` for inner, left, semi
+    and anti joins and broadcasts ``right`` only if its measured size allows it. No job
+    runs while the plan is built. ``how``: inner, left, left_semi or left_anti.
     """
-    hot = hot_keys(left, keys, max_rows)
-    if hot is None:
-        return left.join(right, list(keys), how)
-    hot = hot.select("_group").withColumn("_hot", F.lit(True))
-    marked = (left.withColumn("_group", F.struct(*keys))
-                  .join(F.broadcast(hot), "_group", "left").drop("_group"))
-    few = (right.withColumn("_group", F.struct(*keys))
-                .join(F.broadcast(hot), "_group", "left_semi").drop("_group"))
-    on_spot = marked.where("_hot").drop("_hot").join(F.broadcast(few), list(keys), how)
-    moved = marked.where("_hot IS NULL").drop("_hot").join(right, list(keys), how)
-    return on_spot.unionByName(moved)
-
-
-def drop_done(candidates: DataFrame, done: DataFrame, keys: Sequence[str],
-              max_rows: int | None = MAX_GROUP_ROWS, unique_done: bool = False) -> DataFrame:
+    return left.join(right, list(keys), how)
+
+
+def drop_done(candidates: DataFrame, done: DataFrame, keys: Sequence[str], unique_done: bool = False) -> DataFrame:
     """Candidates (a bag) whose key is not in ``done``.
 
     ``unique_done`` says that ``done`` has one row per key, which saves its
     aggregation.
     """
-    return keyed_join(candidates, _keys_of(done, keys, unique_done), keys, "left_anti", max_rows)
+    return keyed_join(candidates, _keys_of(done, keys, unique_done), keys, "left_anti")
 
 
-def keep_listed(rows: DataFrame, listed: DataFrame, keys: Sequence[str],
-                max_rows: int | None = MAX_GROUP_ROWS, unique_listed: bool = False) -> DataFrame:
+def keep_listed(rows: DataFrame, listed: DataFrame, keys: Sequence[str], unique_listed: bool = False) -> DataFrame:
     """Rows whose key is in ``listed``."""
-    return keyed_join(rows, _keys_of(listed, keys, unique_listed), keys, "left_semi", max_rows)
+    return keyed_join(rows, _keys_of(listed, keys, unique_listed), keys, "left_semi")
 
 
 def _keys_of(df: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
@@ -64,19 +45,21 @@ def _keys_of(df: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
 
 
 def update_listed(rows: DataFrame, listed: DataFrame, keys: Sequence[str],
-                  changes: Mapping[str, Column], max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                  changes: Mapping[str, Column]) -> DataFrame:
     """Set columns on the rows whose key is in ``listed``; keep the others."""
     marks = listed.select(*keys).distinct().withColumn("_listed", F.lit(True))
-    joined = keyed_join(rows, marks, keys, "left", max_rows)
+    joined = keyed_join(rows, marks, keys, "left")
     changed = {name: F.when(F.col("_listed"), value).otherwise(F.col(name))
                for name, value in changes.items()}
     return joined.withColumns(changed).select(*rows.columns)
 
 
 def with_default(rows: DataFrame, ledger: DataFrame, keys: Sequence[str], column: str,
-                 default: object = 0, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Look ``column`` up in a ledger with one row per key; absent keys get ``default``."""
-    found = keyed_join(rows, ledger.select(*keys, column), keys, "left", max_rows)
+                 default: object = 0) -> DataFrame:
+    """Look ``column`` up in a ledger; absent keys get ``default``. Of several ledger rows
+    of a key the largest value counts."""
+    one_each = ledger.groupBy(*keys).agg(F.max(column).alias(column))
+    found = keyed_join(rows, one_each, keys, "left")
     return found.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
@@ -91,17 +74,20 @@ def map_values(df: DataFrame, column: str, lookup: Mapping, name: str) -> tuple[
 
 
 def drop_existing_names(plans: DataFrame, target: DataFrame, name: Column,
-                        target_name: Column, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                        target_name: Column) -> DataFrame:
     """Plans whose output name does not exist at the target."""
     existing = target.select(target_name.alias("_name"))
-    return drop_done(plans.withColumn("_name", name), existing, ["_name"], max_rows).drop("_name")
+    return drop_done(plans.withColumn("_name", name), existing, ["_name"]).drop("_name")
 
 
 def reconcile_sizes(source: DataFrame, target: DataFrame, key: str = "path",
                     size: str = "length") -> DataFrame:
-    """Per key: ``ok``, ``mismatch``, ``missing`` (no copy) or ``extra`` (no source)."""
-    left = source.select(key, F.col(size).alias("source_size"))
-    right = target.select(key, F.col(size).alias("target_size"))
+    """Per key: ``ok``, ``mismatch``, ``missing`` (no copy) or ``extra`` (no source).
+
+    A key listed several times on one side counts once, with its largest size.
+    """
+    left = source.groupBy(key).agg(F.max(size).alias("source_size"))
+    right = target.groupBy(key).agg(F.max(size).alias("target_size"))
     verdict = (F.when(F.col("target_size").isNull(), "missing")
                 .when(F.col("source_size").isNull(), "extra")
                 .when(F.col("source_size") == F.col("target_size"), "ok")

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 
 from assetloom.operators.filters import any_keyword
 from assetloom.operators.joins import drop_done, update_listed
-from assetloom.operators.ordering import (MAX_GROUP_ROWS, MAX_TOP_ROWS, cut_groups, first_rows, latest_row,
+from assetloom.operators.ordering import (MAX_TOP_ROWS, cut_groups, first_rows, latest_row,
                                           number_rows)
 
 # State codes of the five ledger dialects, and the steps a task may take.
@@ -47,9 +47,9 @@ def current_state(events: DataFrame, key: Sequence[str],
 def transitions(events: DataFrame, key: Sequence[str], state: str,
                 order: Sequence[str] = ("updated_at", "seq"),
                 allowed: Sequence[tuple[str, str]] = ALLOWED_STEPS,
-                max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                pieces: int | None = None) -> DataFrame:
     """Add ``from_state`` and ``allowed``; the first event of a key is allowed."""
-    stepped = (cut_groups(events, key, order, max_rows)
+    stepped = (cut_groups(events, key, order, pieces)
                .running(sums={"_nth": F.lit(1)}, lags={"from_state": F.col(state)}).rows())
     step = F.concat_ws(">", "from_state", state)
     known = step.isin(*[f"{a}>{b}" for a, b in allowed])
@@ -127,7 +127,7 @@ def insert_ignore(table: DataFrame, batch: DataFrame, key: str,
     one_each = (batch.where(F.col(key).isNotNull()).groupBy(key)
                      .agg(F.min_by(F.struct(*others), F.struct(*first)).alias("_row"))
                      .select(key, "_row.*").select(*batch.columns))
-    return drop_done(one_each, table, [key], max_rows=None)
+    return drop_done(one_each, table, [key])
 
 
 def with_columns_added(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetloom.functions import strings as S
-from assetloom.operators.ordering import MAX_GROUP_ROWS, cut_groups
+from assetloom.operators.ordering import cut_groups
 
 
 def status_summary(ledger: DataFrame, done: Column, group: Sequence[str] = ()) -> DataFrame:
@@ -96,14 +96,15 @@ def attempt_summary(attempts: DataFrame, key: Sequence[str], ok: Column,
 
 
 def page_marks(pages: DataFrame, key: Sequence[str], page: str, ok: Column, start: int = 1,
-               max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+               pieces: int | None = None) -> DataFrame:
     """Last page of the unbroken run of good pages from ``start``.
 
-    0 good pages give ``start - 1``. A failed page stops the mark.
+    0 good pages give ``start - 1``. A failed page stops the mark. A key whose pages all lie before
+    ``start`` keeps its row.
     """
-    good = (pages.groupBy(*key, page).agg(F.bool_or(ok).alias("_ok"))
-                 .where(F.col(page) >= start))
-    counted = (cut_groups(good, key, [page], max_rows)
+    good = (pages.groupBy(*key, page)
+                 .agg((F.bool_or(ok) & (F.col(page) >= start)).alias("_ok")))
+    counted = (cut_groups(good, key, [page], pieces)
                .running(sums={"_n": F.when(F.col("_ok"), 1).otherwise(0)}).rows())
     unbroken = F.col("_ok") & (F.col(page) == F.col("_n") + start - 1)
     return counted.groupBy(*key).agg(

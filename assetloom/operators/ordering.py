@@ -1,110 +1,44 @@
 """Order-dependent operators that do not put a whole group in one task.
 
 A plain ``Window.partitionBy(key).orderBy(...)`` sends all rows of a key to one
-task. Here a key with more than ``max_rows`` rows is cut along its order column
-into pieces of about ``max_rows`` rows. Each piece is windowed on its own, one
-summary row per piece carries the running state to the next piece, and the join
-that hands the state back uses the partitioning the window already has.
+task. Here the rows are range-partitioned by key and the whole order and written once.
+Each range is windowed on its own, and a summary per range carries the running state of
+a key that crosses into the next one. Every size takes this path.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
 from assetloom.session import materialize
 
-#: Rows of one group that a single task may sort.
-MAX_GROUP_ROWS = 2_000_000
 #: Rows of a top-k that one task may merge.
 MAX_TOP_ROWS = 10_000
-#: Quantiles asked for when hot groups are cut; finer cuts interpolate.
-MAX_QUANTILES = 2_000
-#: Upper bound on the hot keys that are looked up by broadcast.
-MAX_HOT_KEYS = 10_000
 
 _IN_PARTITION_BITS = 33  # documented layout of monotonically_increasing_id
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int | None) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows, largest first, or None. A
-    ``max_rows`` of None says that the keys are unique: nothing to look for.
-
-    At most ``MAX_HOT_KEYS`` keys come back, so the result may be broadcast. A
-    key left out is smaller than 1/``MAX_HOT_KEYS`` of the data and stays whole.
-    """
-    if max_rows is None:
-        return None
-    counted = (df.select(F.struct(*keys).alias("_group"))
-                 .groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-                 .where(F.col("_n") > max_rows)
-                 .orderBy(F.desc("_n")).limit(MAX_HOT_KEYS))
-    rows = counted.collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, counted.schema)
-
-
-def _as_number(df: DataFrame, order_col: str) -> Column:
-    kind = df.schema[order_col].dataType
-    col = F.col(order_col)
-    if isinstance(kind, T.TimestampNTZType):
-        col = col.cast("timestamp")
-    return col.cast("double")
-
-
-def _cut(df: DataFrame, keys: Sequence[str], order_col: str,
-         max_rows: int) -> tuple[DataFrame, bool]:
-    """Add ``_group`` (key struct, null-safe) and ``_piece``, which grows with
-    ``order_col`` and is null for groups that stay whole."""
-    grouped = df.withColumn("_group", F.struct(*keys))
-    hot = hot_keys(df, keys, max_rows)
-    if hot is None:
-        return grouped.withColumn("_piece", F.lit(None).cast("int")), False
-
-    grouped = (grouped.join(F.broadcast(hot), "_group", "left")
-                      .withColumn("_at", _as_number(df, order_col)))
-    hot_rows = hot.agg(F.sum("_n")).first()[0]
-    wanted = math.ceil(hot_rows / max_rows) + 1
-    slices = min(wanted, MAX_QUANTILES)
-    finer = math.ceil(wanted / slices)
-    shares = [i / slices for i in range(1, slices)]
-    cuts, low, high = (grouped.where(F.col("_n").isNotNull())
-                       .agg(F.percentile_approx("_at", shares, max(10_000, 20 * slices)),
-                            F.min("_at"), F.max("_at")).first())
-    inner = sorted(set(cuts or [0.0]))
-    bucketed = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_at",
-                          outputCol="_bucket", handleInvalid="keep").transform(grouped)
-    piece = F.col("_bucket").cast("int")
-    if finer > 1 and low is not None:
-        # equal widths inside a slice; a slice is narrow, so they are about equal in rows
-        starts = F.array(*(F.lit(float(x)) for x in (low, *inner)))
-        ends = F.array(*(F.lit(float(x)) for x in (*inner, high)))
-        start, end = F.element_at(starts, piece + 1), F.element_at(ends, piece + 1)
-        part = F.floor(F.coalesce(F.try_divide(F.col("_at") - start, end - start), F.lit(0.0)) * finer)
-        piece = piece * finer + F.greatest(F.lit(0), F.least(F.lit(finer - 1), part)).cast("int")
-    piece = (F.when(F.col("_n").isNull(), F.lit(None))
-              .when(F.col("_at").isNull(), F.lit(-1)).otherwise(piece).cast("int"))
-    return bucketed.withColumn("_piece", piece).drop("_n", "_at", "_bucket"), True
-
-
 class CutGroups:
-    """Rows of a table with their hot groups cut into pieces; see ``cut_groups``."""
+    """Rows of a table cut into ranges; see ``cut_groups``."""
 
-    def __init__(self, rows: DataFrame, order: Sequence[str], any_cut: bool):
-        self._rows, self._order, self._any_cut = rows, list(order), any_cut
+    def __init__(self, rows: DataFrame, order: Sequence[str], written: bool):
+        self._rows, self._order, self._written = rows, list(order), written
 
     def running(self, *, sums: dict[str, Column] | None = None,
                 maxes: dict[str, Column] | None = None,
                 lags: dict[str, Column] | None = None) -> CutGroups:
         """Add running sums (inclusive, from 0), running maxima (inclusive) and
-        previous-row values."""
+        previous-row values.
+
+        The rows are read twice; those of an earlier ``running`` are written first, so
+        chained calls do not multiply the plan.
+        """
         sums, maxes, lags = sums or {}, maxes or {}, lags or {}
-        cut = self._rows.withColumns(
+        rows = self._rows if self._written else materialize(self._rows, "running")
+        cut = rows.withColumns(
             {f"_in_{name}": col for name, col in {**sums, **maxes, **lags}.items()})
         by_piece = W.partitionBy("_group", "_piece").orderBy(*self._order)
         so_far = by_piece.rowsBetween(W.unboundedPreceding, 0)
@@ -114,9 +48,6 @@ class CutGroups:
             **{n: F.lag(f"_in_{n}").over(by_piece) for n in lags},
         })
         inputs = [f"_in_{n}" for n in (*sums, *maxes, *lags)]
-        if not self._any_cut:
-            return CutGroups(local.drop(*inputs), self._order, False)
-
         if lags:
             local = local.withColumn("_first", F.row_number().over(by_piece) == 1)
         totals = (
@@ -124,14 +55,15 @@ class CutGroups:
             + [F.max(f"_in_{n}").alias(f"_c_{n}") for n in maxes]
             + [F.max_by(F.struct(f"_in_{n}"), F.struct(*self._order)).alias(f"_c_{n}")
                for n in lags])
-        earlier = (W.partitionBy("_group").orderBy("_piece")
-                    .rowsBetween(W.unboundedPreceding, -1))
-        carry = (cut.where(F.col("_piece").isNotNull())
-                    .groupBy("_group", "_piece").agg(*totals)
-                    .select("_group", "_piece",
+        in_order = W.partitionBy("_group").orderBy("_piece")
+        earlier = in_order.rowsBetween(W.unboundedPreceding, -1)
+        # only a key that crosses into a range has a row here, at most one per range
+        carry = (cut.groupBy("_group", "_piece").agg(*totals)
+                    .select("_group", "_piece", F.row_number().over(in_order).alias("_nth_piece"),
                             *(F.sum(f"_c_{n}").over(earlier).alias(f"_c_{n}") for n in sums),
                             *(F.max(f"_c_{n}").over(earlier).alias(f"_c_{n}") for n in maxes),
-                            *(F.last(f"_c_{n}").over(earlier).alias(f"_c_{n}") for n in lags)))
+                            *(F.last(f"_c_{n}").over(earlier).alias(f"_c_{n}") for n in lags))
+                    .where("_nth_piece > 1").drop("_nth_piece"))
         joined = local.join(carry, ["_group", "_piece"], "left").withColumns({
             **{n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in sums},
             **{n: F.greatest(n, f"_c_{n}") for n in maxes},
@@ -139,21 +71,25 @@ class CutGroups:
                for n in lags},
         })
         carried = [f"_c_{n}" for n in (*sums, *maxes, *lags)]
-        return CutGroups(joined.drop("_first", *inputs, *carried), self._order, True)
+        return CutGroups(joined.drop("_first", *inputs, *carried), self._order, False)
 
     def rows(self) -> DataFrame:
         return self._rows.drop("_group", "_piece")
 
 
 def cut_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               max_rows: int = MAX_GROUP_ROWS) -> CutGroups:
+               pieces: int | None = None) -> CutGroups:
     """Prepare ``df`` for running values per key.
 
-    ``order`` must be a total order within the key; its first column is a number
-    or a timestamp.
+    ``order`` must be a total order within the key, of any sortable types; nulls come first.
+    Ranges follow the key and the whole order, so ties and nulls in its first columns are
+    split too. ``pieces`` sets the number of ranges, by default Spark does.
     """
-    rows, any_cut = _cut(df, keys, order[0], max_rows)
-    return CutGroups(rows, order, any_cut)
+    by = [*keys, *order]
+    ranged = df.repartitionByRange(pieces, *by) if pieces else df.repartitionByRange(*by)
+    piece = F.shiftright(F.monotonically_increasing_id(), _IN_PARTITION_BITS).cast("int")
+    placed = materialize(ranged.withColumn("_piece", piece), "pieces")
+    return CutGroups(placed.withColumn("_group", F.struct(*keys)), order, True)
 
 
 def number_rows(df: DataFrame, order: Sequence[str | Column], *, start: int = 1,
@@ -223,7 +159,7 @@ def _slice_rows(df: DataFrame, order: Sequence[Column], skip: int, n: int) -> Da
         return df.orderBy(*order).offset(skip).limit(n)
     place = F.col("_place")
     return (number_rows(df, order, name="_place")
-            .where((place > skip) & (place <= skip + n)).drop("_place"))
+            .where((place > skip) & (place <= skip + n)).orderBy("_place").drop("_place"))
 
 
 def latest_row(df: DataFrame, group: Sequence[str], newest: Sequence[str]) -> DataFrame:

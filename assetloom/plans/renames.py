@@ -28,9 +28,8 @@ def rename_plan(files: DataFrame, path: str = "path", start: int = 1, width: int
 
 def rename_clashes(plan: DataFrame, all_files: DataFrame, path: str = "path") -> DataFrame:
     """Planned names held by files that are not renamed themselves."""
-    staying = drop_done(all_files.select(path), plan, [path], max_rows=None)
-    return keep_listed(plan, staying.select(F.col(path).alias("new_path")), ["new_path"],
-                       max_rows=None)
+    staying = drop_done(all_files.select(path), plan, [path])
+    return keep_listed(plan, staying.select(F.col(path).alias("new_path")), ["new_path"])
 
 
 def rename_stats(plan: DataFrame, clashes: DataFrame) -> DataFrame:

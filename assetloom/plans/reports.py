@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from assetloom.functions import strings as S
 from assetloom.operators import ledger as L
 from assetloom.operators.joins import drop_done, keyed_join
-from assetloom.operators.ordering import MAX_GROUP_ROWS
 from assetloom.plans.segments import fixed_segments
 
 
@@ -20,18 +19,16 @@ def cleaned_urls(urls: DataFrame, patterns: Iterable[str], url: str = "url",
     return clean.withColumn("valid", S.matches_any_prefix(F.col(url), patterns))
 
 
-def pending_urls(cleaned: DataFrame, done: DataFrame, url: str = "url",
-                 max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+def pending_urls(cleaned: DataFrame, done: DataFrame, url: str = "url") -> DataFrame:
     """Valid URLs that are not done; copies are kept."""
-    return drop_done(cleaned.where("valid"), done, [url], max_rows).drop("valid")
+    return drop_done(cleaned.where("valid"), done, [url]).drop("valid")
 
 
 def pending_report(cleaned: DataFrame, done: DataFrame, url: str = "url",
-                   group: Sequence[str] = (),
-                   max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                   group: Sequence[str] = ()) -> DataFrame:
     """listed, invalid, done, pending and percent done of the valid ones."""
     marks = done.select(url).distinct().withColumn("_done", F.lit(True))
-    joined = keyed_join(cleaned, marks, [url], "left", max_rows)
+    joined = keyed_join(cleaned, marks, [url], "left")
     is_done = F.coalesce(F.col("_done"), F.lit(False)) & F.col("valid")
     n_valid, n_done = F.count_if(F.col("valid")), F.count_if(is_done)
     return joined.groupBy(*group).agg(
@@ -58,7 +55,7 @@ def pending_cut_report(assets: DataFrame, done: DataFrame, key: str, duration: s
 
 
 def ledger_health(events: DataFrame, now: Column, minutes: int, key: Sequence[str] = ("task_id",),
-                  max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                  pieces: int | None = None) -> DataFrame:
     """Per host: tasks by state, done rate, stuck tasks and wrong transitions.
 
     ``events`` holds task keys, ``state`` (canonical), ``host``, ``updated_at``
@@ -72,7 +69,7 @@ def ledger_health(events: DataFrame, now: Column, minutes: int, key: Sequence[st
         F.count(F.lit(1)).alias("tasks"),
         *(F.count_if(F.col("state") == s).alias(s) for s in L.STATES),
         F.count_if(held & old).alias("stuck"))
-    wrong = (L.transitions(events, key, "state", max_rows=max_rows)
+    wrong = (L.transitions(events, key, "state", pieces=pieces)
              .groupBy("host").agg(F.count_if(~F.col("allowed")).alias("wrong_steps")))
     return per_host.join(wrong, "host", "full_outer").select(
         "host", *(F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)

@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from assetloom.functions import dates as D, strings as S
 from assetloom.operators.joins import keyed_join
 from assetloom.operators.metrics import scene_counts
-from assetloom.operators.ordering import MAX_GROUP_ROWS, cut_groups
+from assetloom.operators.ordering import cut_groups
 from assetloom.session import materialize
 
 
 def number_scenes(frames: DataFrame, video: str, order: list[str], score: str,
                   threshold: float = 30.0, min_len: int = 0,
-                  max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                  pieces: int | None = None) -> DataFrame:
     """Add ``scene_no`` (from 1); a frame scoring ``threshold`` or more starts a scene.
 
     The first frame of a video starts scene 1 whatever it scores. With
@@ -21,7 +21,7 @@ def number_scenes(frames: DataFrame, video: str, order: list[str], score: str,
     none (``order[0]`` is then the frame number).
     """
     cut = F.coalesce(F.col(score) >= threshold, F.lit(False))
-    groups = cut_groups(frames, [video], order, max_rows).running(sums={"_nth": F.lit(1)})
+    groups = cut_groups(frames, [video], order, pieces).running(sums={"_nth": F.lit(1)})
     if min_len > 0:
         # the last cut up to here, seen from the next row, is the last cut before it
         groups = (groups.running(maxes={"_cut_at": F.when(cut, F.col(order[0]))})
@@ -45,16 +45,14 @@ def scene_intervals(numbered: DataFrame, video: str = "video_id",
         D.timecode(F.col("last_frame") + 1, F.col("_fps")).alias("end_code"))
 
 
-def split_plan(scenes: DataFrame, video: str = "video_id", ext: str = ".mp4",
-               max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def split_plan(scenes: DataFrame, video: str = "video_id", ext: str = ".mp4") -> DataFrame:
     """Output name per scene of the videos that have several.
 
-    The intervals are written once: they are counted, checked for hot videos and
-    joined.
+    The intervals are written once: they are counted and joined.
     """
     placed = materialize(scenes, "scenes")
     several = scene_counts(placed, video).where("multi_scene").select(video, "n_scenes")
     name = S.output_name(F.col(video).cast("string"), F.lit("scene"),
                          S.padded(F.col("scene_no")), ext=ext)
-    return (keyed_join(placed, several, [video], "inner", max_rows)
+    return (keyed_join(placed, several, [video], "inner")
             .withColumn("out_name", name))

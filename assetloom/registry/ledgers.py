@@ -14,7 +14,7 @@ FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc
 GROUP BY source""")
 def pending_docs(t):
     docs = t.documents.select("doc_id", "source", "n_chars")
-    return (J.drop_done(docs, t.labels, ["doc_id"], max_rows=None, unique_done=True)
+    return (J.drop_done(docs, t.labels, ["doc_id"], unique_done=True)
              .groupBy("source").agg(F.count(F.lit(1)).alias("n_pending"),
                                     F.sum("n_chars").alias("n_chars")))
 
@@ -35,8 +35,7 @@ def pending_cuts(t):
 @query("JN-3", """
 SELECT doc_id, coalesce(quality, 0) AS quality FROM documents LEFT JOIN labels USING (doc_id)""")
 def status_default(t):
-    return J.with_default(t.documents.select("doc_id"), t.labels, ["doc_id"], "quality",
-                          max_rows=None)
+    return J.with_default(t.documents.select("doc_id"), t.labels, ["doc_id"], "quality")
 
 
 @query("JN-2", """
@@ -165,7 +164,7 @@ WHERE (text ILIKE '%mento%' OR text ILIKE '%the%') AND coalesce(quality, 0) = 0
 ORDER BY doc_id LIMIT 50""")
 def keyword_batch(t):
     docs = t.documents.select("doc_id", "source", "text")
-    tasks = J.with_default(docs, t.labels, ["doc_id"], "quality", max_rows=None)
+    tasks = J.with_default(docs, t.labels, ["doc_id"], "quality")
     return L.pending_by_keyword(tasks, "text", ["mento", "the"], ["doc_id"], "quality").select(
         "doc_id", "source")
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from assetloom.operators.filters import stable_flags
 from assetloom.operators.ledger import insert_ignore
-from assetloom.operators.ordering import MAX_GROUP_ROWS, latest_row, top_per_group
+from assetloom.operators.ordering import latest_row, top_per_group
 from assetloom.session import scratch_path
 from assetloom.streaming.arrivals import drain
 
@@ -38,7 +38,9 @@ def _written(spark: SparkSession, path: str, schema, before: int) -> DataFrame:
     full = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in schema)}, batch bigint"
     try:
         table = spark.read.schema(full).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise  # only a missing path means that nothing is written yet
         return spark.createDataFrame([], full)
     return table.where(F.col("batch") < before)
 
@@ -100,17 +102,19 @@ def release_batches(waiting: str, released: str, size: str, trigger_bytes: float
         held = _written(spark, waiting, batch.schema, batch_id).where(
             F.col("batch") == batch_id - 1).drop("batch")
         together = held.unionByName(batch).persist()
-        total = together.agg(F.coalesce(F.sum(size), F.lit(0)).alias("total")).scalar()
-        is_open = (total >= trigger_bytes) | in_window
-        together.where(is_open).write.mode("overwrite").parquet(_batch_folder(released, batch_id))
-        together.where(~is_open).write.mode("overwrite").parquet(_batch_folder(waiting, batch_id))
-        together.unpersist()
+        try:
+            total = together.agg(F.coalesce(F.sum(size), F.lit(0)).alias("total")).scalar()
+            is_open = (total >= trigger_bytes) | in_window
+            together.where(is_open).write.mode("overwrite").parquet(_batch_folder(released, batch_id))
+            together.where(~is_open).write.mode("overwrite").parquet(_batch_folder(waiting, batch_id))
+        finally:
+            together.unpersist()
     return write
 
 
 def stable_batches(out: str, recent: str, checks: int = 4, key: str = "path",
                    ts: Sequence[str] = ("snapshot_ts",), size: str = "length",
-                   max_rows: int = MAX_GROUP_ROWS):
+                   pieces: int | None = None):
     """``foreachBatch`` writer: judge each snapshot row by the ``checks`` before it.
 
     The last ``checks`` rows per file go with the next batch. A batch is an
@@ -122,12 +126,14 @@ def stable_batches(out: str, recent: str, checks: int = 4, key: str = "path",
             F.col("batch") == batch_id - 1).drop("batch")
         together = before.withColumn("_new", F.lit(False)).unionByName(
             batch.withColumn("_new", F.lit(True))).persist()
-        flagged = stable_flags(together, checks, key, ts, size, max_rows)
-        (flagged.where("_new").drop("_new", "size_change")
-                .write.mode("overwrite").parquet(_batch_folder(out, batch_id)))
-        (top_per_group(together.drop("_new"), [key], [F.desc(c) for c in ts], checks)
-         .drop("rank").write.mode("overwrite").parquet(_batch_folder(recent, batch_id)))
-        together.unpersist()
+        try:
+            flagged = stable_flags(together, checks, key, ts, size, pieces)
+            (flagged.where("_new").drop("_new", "size_change")
+                    .write.mode("overwrite").parquet(_batch_folder(out, batch_id)))
+            (top_per_group(together.drop("_new"), [key], [F.desc(c) for c in ts], checks)
+             .drop("rank").write.mode("overwrite").parquet(_batch_folder(recent, batch_id)))
+        finally:
+            together.unpersist()
     return write
 
 

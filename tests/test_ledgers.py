@@ -119,12 +119,25 @@ def test_best_resolution(spark):
 def test_page_marks_stop_at_a_failed_page(spark):
     pages = spark.createDataFrame([("a", 1, True), ("a", 2, True), ("a", 2, False), ("a", 4, True),
                                    ("b", 1, False), ("b", 2, True)], "k string, page int, ok boolean")
-    for max_rows in (2, 1000):
-        marks = M.page_marks(pages, ["k"], "page", F.col("ok"), max_rows=max_rows)
+    for pieces in (None, 3):
+        marks = M.page_marks(pages, ["k"], "page", F.col("ok"), pieces=pieces)
         assert rows(marks) == [("a", 2), ("b", 0)]
     assert rows(M.pages_to_fetch(marks, add=3)) == [("a", 3), ("b", 1), ("b", 2), ("b", 3)]
 
 
+def test_page_marks_from_a_later_page(spark):
+    pages = spark.createDataFrame([("before", p, True) for p in range(1, 31)] + [("after", 40, True)]
+                                  + [("across", p, p != 33) for p in range(29, 36)], "k string, page int, ok boolean")
+    marks = M.page_marks(pages, ["k"], "page", F.col("ok"), start=31)
+    assert rows(marks) == [("across", 32), ("after", 30), ("before", 30)]
+    assert rows(M.pages_to_fetch(marks, add=2, start=31)) == [("after", 31), ("after", 32), ("before", 31), ("before", 32)]
+
+
+def test_reconcile_counts_a_repeated_path_once(spark):
+    a = spark.createDataFrame([("x", 1)] * 3, "path string, length int")
+    assert [r["verdict"] for r in J.reconcile_sizes(a, a).collect()] == ["ok"]
+
+
 def test_reconcile(spark):
     a = spark.createDataFrame([("x", 1), ("y", 2), ("z", 3)], "path string, length int")
     b = spark.createDataFrame([("x", 1), ("y", 9), ("w", 3)], "path string, length int")

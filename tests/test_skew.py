@@ -27,47 +27,57 @@ def as_set(df):
     return sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("max_rows", [10, 60, 400, 10_000])
-def test_running_equals_window(skewed, max_rows):
+@pytest.mark.parametrize("pieces", [None, 1, 5, 40])
+def test_running_equals_window(skewed, pieces):
     w = W.partitionBy("k").orderBy("t", "id")
     upto = w.rowsBetween(W.unboundedPreceding, 0)
     plain = skewed.select("k", "t", "id", "v", F.coalesce(F.sum("v").over(upto), F.lit(0)).alias("s"),
                           F.max("v").over(upto).alias("m"), F.lag("v").over(w).alias("l"))
-    cut = O.cut_groups(skewed, ["k"], ["t", "id"], max_rows).running(
+    cut = O.cut_groups(skewed, ["k"], ["t", "id"], pieces).running(
         sums={"s": F.col("v")}, maxes={"m": F.col("v")}, lags={"l": F.col("v")}).rows()
     assert as_set(cut.select(*plain.columns)) == as_set(plain)
 
 
-def test_finer_cuts_equal_window(skewed, monkeypatch):
-    monkeypatch.setattr(O, "MAX_QUANTILES", 3)
-    cut = O.cut_groups(skewed, ["k"], ["t", "id"], 20)
-    assert cut._rows.select("_piece").distinct().count() > 10
-    w = W.partitionBy("k").orderBy("t", "id")
-    plain = skewed.select("k", "id", F.lag("v").over(w).alias("l"), F.row_number().over(w).alias("n"))
-    got = cut.running(lags={"l": F.col("v")}, sums={"n": F.lit(1)}).rows().select("k", "id", "l", "n")
+@pytest.mark.parametrize("time", ["date'2024-01-01' + t", "CAST(t AS STRING)", "7", "CAST(NULL AS INT)"])
+def test_hot_group_is_cut_by_any_order(skewed, time):
+    """Dates, texts, ties and nulls: pieces stay within bound and the rows are right."""
+    rows = skewed.where("k = 'hot'").withColumn("at", F.expr(time)).select("k", "at", "id", "v")
+    groups = O.cut_groups(rows, ["k"], ["at", "id"], 8)
+    assert groups._rows.groupBy("_group", "_piece").count().agg(F.max("count")).first()[0] < 150
+    w = W.partitionBy("k").orderBy("at", "id")
+    plain = rows.withColumns({"l": F.lag("v").over(w), "n": F.row_number().over(w)})
+    got = groups.running(lags={"l": F.col("v")}, sums={"n": F.lit(1)}).rows().select(*plain.columns)
     assert as_set(got) == as_set(plain)
 
 
-def test_hot_group_is_cut(skewed):
-    groups = O.cut_groups(skewed, ["k"], ["t", "id"], 60)
-    sizes = groups._rows.groupBy("_group", "_piece").count().agg(F.max("count")).first()[0]
-    assert sizes < 150  # the hot key alone has 500 rows
+def test_chained_values_read_a_constant_number_of_tables(skewed):
+    plan = number_scenes(skewed, "k", ["t", "id"], "v", 3, min_len=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") + plan.count("Relation[") == 2
+
+
+def test_building_joins_starts_no_job(spark, skewed):
+    tracker, group = spark.sparkContext.statusTracker(), "planning"
+    spark.sparkContext.setJobGroup(group, group)
+    done = skewed.select("k", "id")
+    J.drop_done(skewed, done, ["k"]), J.keep_listed(skewed, done, ["k"]), J.with_default(skewed.drop("v"), skewed, ["k"], "v")
+    assert not tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-@pytest.mark.parametrize("max_rows", [20, 10_000])
-def test_stable_and_scenes(skewed, max_rows):
+@pytest.mark.parametrize("pieces", [None, 30])
+def test_stable_and_scenes(skewed, pieces):
     rows = skewed.where("t IS NOT NULL").select("k", "t", "id", F.coalesce("v", F.lit(0)).alias("v"))
     f = W.partitionBy("k").orderBy("t", "id").rowsBetween(-2, 0)
     plain = rows.select("k", "id", ((F.count("v").over(f) == 3) & (F.min("v").over(f) == F.max("v").over(f))
                                     & (F.col("v") > 0)).alias("stable"))
-    mine = stable_flags(rows, 2, "k", ["t", "id"], "v", max_rows).select("k", "id", "stable")
+    mine = stable_flags(rows, 2, "k", ["t", "id"], "v", pieces).select("k", "id", "stable")
     assert as_set(mine) == as_set(plain)
 
     w = W.partitionBy("k").orderBy("t", "id")
     plain = rows.withColumn("n", F.row_number().over(w)).select(
         "k", "id", (1 + F.sum(F.when((F.col("v") >= 3) & (F.col("n") > 1), 1).otherwise(0)).over(w))
         .alias("scene_no"))
-    mine = number_scenes(rows, "k", ["t", "id"], "v", 3, max_rows=max_rows)
+    mine = number_scenes(rows, "k", ["t", "id"], "v", 3, pieces=pieces)
     assert as_set(mine.select("k", "id", "scene_no")) == as_set(plain)
 
 
@@ -80,8 +90,8 @@ def test_hot_group_without_times(spark):
 def test_min_scene_length(spark):
     frames = spark.createDataFrame([(1, n, 40.0 if n in (5, 7, 20, 31) else 0.0) for n in range(40)],
                                    "video int, frame int, score double")
-    for max_rows in (8, 1000):
-        got = number_scenes(frames, "video", ["frame"], "score", 30, min_len=10, max_rows=max_rows)
+    for pieces in (None, 6):
+        got = number_scenes(frames, "video", ["frame"], "score", 30, min_len=10, pieces=pieces)
         starts = got.groupBy("scene_no").agg(F.min("frame")).collect()
         assert sorted(r[1] for r in starts) == [0, 5, 20, 31]
 
@@ -90,13 +100,13 @@ def test_min_scene_length(spark):
 def test_keyed_join(spark, skewed, how):
     right = spark.createDataFrame([("hot", 1), ("k3", 2), ("zz", 3)], "k string, x int")
     plain = skewed.join(right, ["k"], how)
-    cut = J.keyed_join(skewed, right, ["k"], how, max_rows=50)
+    cut = J.keyed_join(skewed, right, ["k"], how)
     assert as_set(cut.select(*plain.columns)) == as_set(plain)
 
 
 def test_anti_and_semi_make_the_whole(skewed, spark):
     done = spark.createDataFrame([("hot",), ("k3",), ("k3",)], "k string")
-    gone, kept = J.drop_done(skewed, done, ["k"], 50), J.keep_listed(skewed, done, ["k"], 50)
+    gone, kept = J.drop_done(skewed, done, ["k"]), J.keep_listed(skewed, done, ["k"])
     assert as_set(gone.unionByName(kept)) == as_set(skewed)
     assert gone.where("k IS NULL").count() == skewed.where("k IS NULL").count()
 

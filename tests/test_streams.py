@@ -31,13 +31,13 @@ def test_stable(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, batch.select(*got.columns).collect()))
 
 
-@pytest.mark.parametrize("max_rows", [10, 1000])
-def test_stable_batches(spark, tmp_path, max_rows):
+@pytest.mark.parametrize("pieces", [None, 5])
+def test_stable_batches(spark, tmp_path, pieces):
     rows = [(f"f{i % 4 if i % 2 else 0}", T0 + timedelta(seconds=i), (i // 12) % 3) for i in range(96)]
     schema = "path string, snapshot_ts timestamp, length bigint"
     stream = as_files(spark, rows, schema, 4, str(tmp_path / "in"))
     out = str(tmp_path / "out")
-    write = tables.stable_batches(out, str(tmp_path / "recent"), 2, max_rows=max_rows)
+    write = tables.stable_batches(out, str(tmp_path / "recent"), 2, pieces=pieces)
     tables.drain_batches(stream, write, "stable")
     batch = stable_flags(spark.createDataFrame(rows, schema), 2).drop("size_change")
     got = spark.read.parquet(out).select(*batch.columns)
