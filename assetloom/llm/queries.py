@@ -78,7 +78,7 @@ FROM masked GROUP BY conv_id""",
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 every AS (
-  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM split),
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM split),
 keyed AS (
   SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM every),
@@ -86,8 +86,8 @@ shared AS (
   SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10
   GROUP BY key HAVING count(DISTINCT doc_id) > 1),
 judged AS (
-  SELECT doc_id, line, at, coalesce(first <> doc_id, false) AS gone FROM keyed LEFT JOIN shared USING (key))
+  SELECT doc_id, line, pos, coalesce(first <> doc_id, false) AS gone FROM keyed LEFT JOIN shared USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id""",
 }
