@@ -21,6 +21,8 @@ BLOCK_BITS = BITS // BLOCKS
 RADIUS = 24
 #: Items one pass over the documents takes; more items are done in further passes.
 ITEMS_PER_PASS = 20_000
+#: (window, item) marks held at once.
+MARKS_PER_BLOCK = 1 << 22
 
 HITS = "doc_id bigint, item_id bigint, first_word bigint, n_words bigint, similarity double"
 
@@ -72,18 +74,22 @@ class ItemIndex:
             self._of_block.append((starts, item[order]))
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) pairs within the radius."""
-        found = []
+        """(window, item) pairs within the radius, in that order; windows are looked up in blocks."""
+        some = max(1, MARKS_PER_BLOCK // len(self.prints))
+        found = [self._candidates(prints[i:i + some], i) for i in range(0, len(prints), some)]
+        return np.concatenate([w for w, _ in found]), np.concatenate([i for _, i in found])
+
+    def _candidates(self, prints: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+        marked = np.zeros((len(prints), len(self.prints)), bool)
         for b, (starts, items) in enumerate(self._of_block):
             value = ((prints >> np.uint64(BLOCK_BITS * b)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
             low, n = starts[value], starts[value + 1] - starts[value]
             window = np.repeat(np.arange(len(prints)), n)
             place = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            found.append(window * len(self.prints) + items[place])
-        both = np.unique(np.concatenate(found))
-        window, item = both // len(self.prints), both % len(self.prints)
+            marked[window, items[place]] = True
+        window, item = np.nonzero(marked)
         near = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
-        return window[near], item[near]
+        return window[near] + first, item[near]
 
 
 class Benchmark:
@@ -106,7 +112,7 @@ class Benchmark:
         self._lengths = {}
         for n, group in by_length.items():
             prints = np.concatenate([_packed(self._weighed(v).sum(0, keepdims=True)) for _, v in group])
-            self._lengths[n] = ([i for i, _ in group], [v for _, v in group], ItemIndex(prints))
+            self._lengths[n] = ([i for i, _ in group], [self._bag(v) for _, v in group], ItemIndex(prints))
 
     def _weights(self, values: np.ndarray) -> np.ndarray:
         """Weight of each shingle; those of no item count fully."""
@@ -118,12 +124,21 @@ class Benchmark:
     def _weighed(self, values: np.ndarray) -> np.ndarray:
         return _signs(values) * self._weights(values)[:, None]
 
-    def similarity(self, a: np.ndarray, b: np.ndarray) -> float:
-        """Weighted Jaccard similarity of two bags of shingles."""
-        values, which = np.unique(np.concatenate([a, b]), return_inverse=True)
-        x, y = (np.bincount(part, minlength=len(values)) for part in (which[:len(a)], which[len(a):]))
-        w = self._weights(values)
-        return float((w * np.minimum(x, y)).sum() / (w * np.maximum(x, y)).sum())
+    def _bag(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """Distinct shingles, how often each, their weights, and the weight of all."""
+        distinct, counts = np.unique(values, return_counts=True)
+        weights = self._weights(distinct)
+        return distinct, counts, weights, float((weights * counts).sum())
+
+    @staticmethod
+    def similarity(window: np.ndarray, weight: float, bag: tuple[np.ndarray, np.ndarray, np.ndarray, float]) -> float:
+        """Weighted Jaccard similarity of a window's shingles, of a known weight, and an item's bag."""
+        distinct, counts, weights, total = bag
+        at = np.minimum(np.searchsorted(distinct, window), len(distinct) - 1)
+        there = np.bincount(at[distinct[at] == window], minlength=len(distinct))
+        both = float((weights * np.minimum(there, counts)).sum())
+        # rounded, so that equal windows stay equal whatever the order of the sums
+        return round(both / (weight + total - both), 9)
 
     def scan(self, text: str) -> list[tuple[int, int, int, float]]:
         """(item, first word, words, similarity): the best window of each item found.
@@ -161,7 +176,7 @@ class Benchmark:
     def _windows(self, n: int, size: int, low: int, part: np.ndarray, sums: np.ndarray, best: dict) -> None:
         if len(part) < size:
             return
-        ids, values, index = self._lengths[n]
+        ids, bags, index = self._lengths[n]
         total, known = (sums[size:, BITS + i] - sums[:-size, BITS + i] for i in (0, 1))
         starts = np.flatnonzero(known >= LEAST_SIMILARITY * total - 1e-6)
         if not len(starts):
@@ -169,7 +184,7 @@ class Benchmark:
         prints = _packed(np.round(sums[starts + size, :BITS] - sums[starts, :BITS], 6))
         for w, i in zip(*index.candidates(prints), strict=True):
             start = int(starts[w])
-            alike = self.similarity(part[start:start + size], values[i])
+            alike = self.similarity(part[start:start + size], float(total[start]), bags[i])
             if alike >= LEAST_SIMILARITY and alike > best.get(ids[i], (0, 0, 0.0))[2]:
                 best[ids[i]] = (low + start, n, alike)
 
