@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -67,10 +68,10 @@ class ItemIndex:
         self._of_block = []
         for b in range(BLOCKS):
             own = ((prints >> np.uint64(BLOCK_BITS * b)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint32)
-            value = (own[:, None] ^ masks[None, :]).ravel()
+            value = (own[:, None] ^ masks[None, :]).ravel().astype(np.uint16)  # sorted by radix
             item = np.repeat(np.arange(len(prints)), len(masks))
             order = np.argsort(value, kind="stable")
-            starts = np.searchsorted(value[order], np.arange((1 << BLOCK_BITS) + 1))
+            starts = np.concatenate([[0], np.cumsum(np.bincount(value, minlength=1 << BLOCK_BITS))])
             self._of_block.append((starts, item[order]))
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,6 +190,12 @@ class Benchmark:
                 best[ids[i]] = (low + start, n, alike)
 
 
+@lru_cache(maxsize=1)
+def _prepared(items: tuple[tuple[int, str], ...]) -> Benchmark:
+    """The benchmark block a Python worker looked at last, kept for its next task."""
+    return Benchmark(list(items))
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, items_per_pass: int = ITEMS_PER_PASS) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, similarity) for each document that holds an item.
 
@@ -214,10 +221,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, items_per_pass: int =
     schema = like(HITS)
     found = None
     for b in range(blocks):
-        own = [(r["item_id"], r["text"]) for r in items.where(block == b).collect()]
+        own = tuple(sorted((r["item_id"], r["text"]) for r in items.where(block == b).collect()))
 
         def scan(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
-            prepared = Benchmark(own)
+            prepared = _prepared(own)
             for batch in batches:
                 rows = [(doc_id, *hit)
                         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True)
