@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from assetloom.llm.components import components
 from assetloom.llm.text import GOLDEN, WordHashes, like, mixed, shingles
@@ -16,9 +16,12 @@ from assetloom.session import materialize
 BANDS, ROWS = 32, 5
 BINS = BANDS * ROWS
 #: Star centres per bucket in the first round, and how much more in each further one.
-CENTERS, FASTER = 1, 8
+CENTERS, FASTER = 1, 16
+#: Marks of three bits, any two of which differ in two bits, so differing bits count differing bins.
+MARKS = np.array([0b000, 0b011, 0b101, 0b110], np.uint64)
+MARKS_PER_LONG, LONGS = 21, -(-BINS // 21)
 
-SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
+SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"
 
 
 def shingle_set(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
@@ -30,17 +33,49 @@ _EDGES = (np.arange(BINS + 1, dtype=object) * (1 << 64) // BINS)
 _STARTS = np.array(_EDGES[:-1], dtype=np.uint64)
 
 
-def signature(values: np.ndarray) -> np.ndarray:
-    """One-permutation signature of a non-empty sorted set: the smallest value of each bin.
+def smallest(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest value of each bin of a sorted set, and which bins have one."""
+    at = np.searchsorted(values, _STARTS)
+    filled = np.append(at[1:], len(values)) > at
+    out = np.zeros(BINS, np.uint64)
+    out[filled] = values[at[filled]]
+    return out, filled
+
+
+def sketch(values: np.ndarray, filled: np.ndarray) -> np.ndarray:
+    """A mark per bin, packed: one for an empty bin, else one of three by its smallest value.
+
+    Where two sets' marks differ, the smaller of the two smallest values is in one set only,
+    so the number of such bins is a lower bound of the size of their symmetric difference.
+    """
+    marks = np.zeros(LONGS * MARKS_PER_LONG, np.uint64)
+    marks[:BINS] = MARKS[np.where(filled, mixed(values) % np.uint64(3) + np.uint64(1), np.uint64(0))]
+    shifts = np.arange(MARKS_PER_LONG, dtype=np.uint64) * np.uint64(3)
+    return (marks.reshape(LONGS, -1) << shifts).sum(1, dtype=np.uint64).view(np.int64)
+
+
+def differing_bits(a: str, b: str) -> Column:
+    """Two for each bin with different marks in two sketch columns."""
+    total = F.lit(0)
+    for i in range(LONGS):
+        total = total + F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+    return total
+
+
+def may_link(percent: int) -> Column:
+    """Whether sizes and sketches of a node and a centre allow a similarity of ``percent``; never false for a link."""
+    low, high = F.least("n_shingles", "center_n"), F.greatest("n_shingles", "center_n")
+    return (100 * low >= percent * high) & (
+        (100 + percent) * differing_bits("sketch", "center_sketch") <= 2 * (100 - percent) * (low + high))
+
+
+def signature(out: np.ndarray, filled: np.ndarray) -> np.ndarray:
+    """One-permutation signature: the smallest value of each bin; at least one bin is filled.
 
     An empty bin takes the value of a filled bin drawn by a hash of the bin and the
     number of the draw (optimal densification), the same draw for every document.
     """
-    at = np.searchsorted(values, _STARTS)
-    ends = np.append(at[1:], len(values))
-    filled = ends > at
-    out = np.zeros(BINS, np.uint64)
-    out[filled] = values[at[filled]]
+    out = out.copy()
     empty = np.flatnonzero(~filled)
     draw = np.uint64(1)
     while len(empty):
@@ -67,12 +102,16 @@ def signed_documents(docs: DataFrame, n: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for text in batch.column("text"):
                 values = shingle_set((text.as_py() or "").encode(), n, hashes)
                 name = np.frombuffer(xxhash.xxh3_128_digest(values.tobytes()), ">i8")
-                bands = band_hashes(signature(values)) if len(values) else np.zeros(0, np.int64)
-                for column, value in zip(out, (len(values), int(name[0]), int(name[1]), bands), strict=True):
+                bands = marks = np.zeros(0, np.int64)
+                if len(values):
+                    bins = smallest(values)
+                    bands, marks = band_hashes(signature(*bins)), sketch(*bins)
+                row = (len(values), int(name[0]), int(name[1]), bands, marks)
+                for column, value in zip(out, row, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()),
@@ -125,9 +164,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     signature share a bucket (``BANDS`` of ``ROWS`` values: a pair at 85 per cent shares none with
     a chance of 10^-8, at 80 per cent of 4 * 10^-6). A bucket gives star-shaped edges from its
     most shared node, not all pairs. Edges are confirmed on whole sets. Where a bucket
-    still has nodes of several components, further rounds take its next nodes as centres, 8
+    still has nodes of several components, further rounds take its next nodes as centres, 16
     times as many each time, until every bucket is one component or every node of it
-    has been a centre, so no pair of a bucket goes untested.
+    has been a centre. A node and a centre whose set sizes or sketches rule the similarity out
+    make no edge (an exact bound, see ``sketch``); no other pair of a bucket goes untested.
 
     Null and empty texts and texts of white space have no shingles and are linked
     with nothing; fewer than ``n`` words make one shingle. Rows with one doc_id are one
@@ -139,29 +179,34 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     sets = full.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_copies"))
     sets = materialize(sets, "sets")
     nodes = full.join(sets.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    placed = nodes.select(F.col("doc_id").alias("node"), F.posexplode("bands").alias("band", "hash")).select(
+    nodes = nodes.withColumnRenamed("doc_id", "node")
+    marks = nodes.select("node", "n_shingles", "sketch")
+    placed = nodes.select("node", F.posexplode("bands").alias("band", "hash")).select(
         F.xxhash64("band", "hash").alias("bucket"), "node")
     sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialize(placed.join(sizes, "bucket"), "buckets")
     weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
-    buckets = materialize(shared.join(weights, "node").select("bucket", "node", "weight"), "weighed")
+    buckets = materialize(shared.join(weights, "node").join(marks, "node")
+                          .select("bucket", "node", "weight", "n_shingles", "sketch"), "weighed")
 
-    edges = tested = None
+    tested = None
     labels = buckets.select("node", F.col("node").alias("component")).where("1 = 0")
     open_, centers = buckets.withColumn("component", F.col("node")), CENTERS
     by_weight = W.partitionBy("bucket").orderBy(F.desc("weight"), "node")
     while not open_.isEmpty():
         tops = (open_.withColumn("rank", F.row_number().over(by_weight)).where(F.col("rank") <= centers)
-                     .select("bucket", F.col("node").alias("center"), F.col("component").alias("of")))
-        pairs = (open_.join(tops, "bucket").where("component <> of")
+                     .select("bucket", F.col("node").alias("center"), F.col("component").alias("of"),
+                             F.col("n_shingles").alias("center_n"), F.col("sketch").alias("center_sketch")))
+        pairs = (open_.join(tops, "bucket").where((F.col("component") != F.col("of")) & may_link(percent))
                       .select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = materialize(confirmed(pairs, texts, n, percent), "links")
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges)
+        if not found.isEmpty():  # else the components stay as they are
+            known = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+            labels = components(known.unionByName(found))
         labelled = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         # nodes that have been centres are done in their bucket
         left = labelled.withColumn("rank", F.row_number().over(by_weight)).where(F.col("rank") > centers).drop("rank")

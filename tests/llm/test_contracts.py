@@ -196,6 +196,26 @@ def test_near_duplicates(docs, n, percent):
     assert minhash.keep_one(docs, n, percent).columns == docs.columns
 
 
+def test_near_duplicate_bound_loses_no_link(spark):
+    import numpy as np
+    draw = np.random.default_rng(2)
+    rows, links = [], []
+    for i in range(400):
+        size, new = int(draw.integers(1, 1200)), draw.random() * 0.6
+        one = np.unique(draw.integers(0, 2**64, size, dtype=np.uint64))
+        other = np.unique(np.concatenate([one[draw.random(len(one)) >= new],
+                                          draw.integers(0, 2**64, int(size * new) + 1, dtype=np.uint64)]))
+        same = len(np.intersect1d(one, other))
+        links.append(100 * same >= 80 * (len(one) + len(other) - same))
+        marks = [minhash.sketch(*minhash.smallest(x)).tolist() for x in (one, other)]
+        rows.append((i, len(one), len(other), *marks))
+    frame = spark.createDataFrame(
+        rows, "i int, n_shingles bigint, center_n bigint, sketch array<bigint>, center_sketch array<bigint>")
+    may = [r["may"] for r in frame.select("i", minhash.may_link(80).alias("may")).orderBy("i").collect()]
+    assert all(m for m, link in zip(may, links, strict=True) if link) and any(links)
+    assert sum(may) < len(may)  # it rules pairs out, most of all small sets
+
+
 def test_near_duplicates_without_keys(spark):
     rows = [(None, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, None), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
