@@ -2,22 +2,31 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetloom.llm.text import whole, words_of
+from assetloom.session import materialize
 
 # The base rules.
 WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of the words
 
-#: Buckets for hashed word unigrams and bigrams; both models and the lookup are this large.
-BUCKETS = 4096
+#: Distinct n-grams a bucket holds on average; the number of buckets follows the corpus.
+LOAD = 16
+#: Buckets one pass over the documents looks up; more buckets are done in further passes.
+BLOCK = 1 << 22
+#: Buckets that are put into one row before a block is.
+CHUNK = 1 << 12
 #: Pseudo-count of every bucket.
 SMOOTHING = 1.0
-#: Mean log ratio per n-gram below which a document is rejected. The raw corpus holds the
-#: trusted part, so text like the trusted is near zero, and odd text well below.
+#: Mean log ratio per n-gram below which a document is rejected where the labels name no
+#: trusted or no bad document to choose it by.
 LEAST_SCORE = -0.1
+#: Steps between which a threshold is chosen.
+STEP = 0.001
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -49,60 +58,130 @@ def base_counts(docs: DataFrame) -> DataFrame:
                   | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))).drop("lines", "grams", "placed")
 
 
-def _bucket(*words: Column) -> Column:
-    return F.pmod(F.xxhash64(*words), F.lit(BUCKETS)).cast("int")
-
+def _grams(rows: DataFrame, *kept: str) -> DataFrame:
+    """A row with ``gram`` for each word and each pair of words."""
+    words = rows.select(words_of(whole("text")).alias("words"), *kept)
+    pairs = F.arrays_zip(F.col("words").alias("a"), F.slice(F.col("words"), 2, 1 << 30).alias("b"))
+    both = F.array(F.xxhash64("a"), F.when(F.col("b").isNotNull(), F.xxhash64("a", "b")))
+    return (words.select(F.inline(pairs), *kept).select(F.explode(both).alias("gram"), *kept)
+                 .where("gram IS NOT NULL"))
+
+
+def count_buckets(docs: DataFrame) -> int:
+    """One bucket for ``LOAD`` distinct n-grams of all documents. They are counted by a sketch
+    with a deviation of 1 per cent, which is the same for any order and partitioning."""
+    n = _grams(docs).agg(F.approx_count_distinct("gram", 0.01)).first()[0]
+    return max(1, -(-n // LOAD))
+
+
+def ngram_counts(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
+    """bucket, n_raw, n_target: n-grams of all and of the trusted documents; empty buckets have no row."""
+    trusted = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).distinct()
+    flagged = docs.join(trusted, docs["doc_id"] == trusted["_id"], "left").select(
+        "text", F.col("_id").isNotNull().cast("int").alias("trusted"))
+    return (_grams(flagged, "trusted").groupBy(F.pmod("gram", F.lit(buckets)).alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n_raw"), F.sum("trusted").alias("n_target")))
+
+
+def ngram_ratios(counts: DataFrame, buckets: int, low: int) -> DataFrame:
+    """One row for the buckets from ``low`` on, ``BLOCK`` at most: for each ``ratio``, the log of its
+    share in the trusted documents over its share in all, and ``without``, the same with one n-gram less
+    in the trusted ones."""
+    high = min(buckets, low + BLOCK)
+    raw, target = (x or 0 for x in counts.agg(F.sum("n_raw"), F.sum("n_target")).first())
+    every = counts.sparkSession.range(low, high).withColumnRenamed("id", "bucket")
+    own = every.join(counts.where(F.col("bucket").between(low, high - 1)), "bucket", "left").na.fill(0)
+    share = lambda n, total: (n + SMOOTHING) / (total + SMOOTHING * buckets)
+    ratio = lambda n: (F.log(share(n, target) / share(F.col("n_raw"), raw)) if target else F.lit(0.0)).cast("float")
+    both = F.struct(ratio(F.col("n_target")).alias("ratio"),
+                    ratio(F.greatest(F.col("n_target") - 1, F.lit(0))).alias("without"))
+    chunks = own.groupBy(F.expr(f"bucket div {CHUNK}").alias("chunk")).agg(
+        F.array_sort(F.collect_list(F.struct("bucket", both.alias("both")))).alias("own"))
+    return chunks.agg(F.array_sort(F.collect_list(F.struct("chunk", F.col("own.both").alias("own")))).alias("all")).select(
+        F.flatten(F.col("all.own")).alias("ratios"))
+
+
+def _sums(words: DataFrame, counts: DataFrame, buckets: int, low: int) -> DataFrame:
+    """Add ``sums``: the ratios of the document's n-grams whose buckets are in the block from ``low`` on."""
+    of = lambda *w: F.get("ratios", (F.pmod(F.xxhash64(*w), F.lit(buckets)) - low).cast("int"))
+    first = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0.0).alias("ratio"), F.lit(0.0).alias("without"))
 
-def ngram_ratios(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row with ``ratios``: for each bucket the log of its share in the trusted documents
-    over its share in all. All documents are counted; ``BUCKETS`` rows reach the last step."""
-    trusted = (labels.where("quality = 1").select(F.col("doc_id").alias("_id")).distinct())
+    def add(so_far: Column, word: Column) -> Column:
+        one, two = of(word), F.when(so_far["last"].isNotNull(), of(so_far["last"], word))
+        return F.struct(word.alias("last"), *(
+            (so_far[x] + F.coalesce(one[x], F.lit(0.0)) + F.coalesce(two[x], F.lit(0.0))).alias(x)
+            for x in ("ratio", "without")))
 
-    def counted(rows: DataFrame, name: str) -> DataFrame:
-        words = rows.select(words_of(whole("text")).alias("words"))
-        pairs = F.arrays_zip(F.col("words").alias("a"), F.slice(F.col("words"), 2, 1 << 30).alias("b"))
-        both = F.array(_bucket("a"), F.when(F.col("b").isNotNull(), _bucket("a", "b")))
-        return (words.select(F.inline(pairs)).select(F.explode(both).alias("bucket"))
-                     .where("bucket IS NOT NULL").groupBy("bucket").agg(F.count(F.lit(1)).alias(name)))
+    return words.withColumn("ratios", ngram_ratios(counts, buckets, low).scalar()).withColumn(
+        "sums", F.aggregate("words", first, add, lambda s: F.struct(s["ratio"], s["without"]))).drop("ratios")
 
-    raw = counted(docs, "n_raw")
-    target = counted(docs.join(trusted, docs["doc_id"] == trusted["_id"], "left_semi"), "n_target")
-    every = docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    table = every.join(raw, "bucket", "left").join(target, "bucket", "left").na.fill(0)
-    rows = table.agg(F.array_sort(F.collect_list(F.struct("bucket", "n_raw", "n_target"))).alias("rows"),
-                     F.sum("n_raw").alias("raw"), F.sum("n_target").alias("target"))
-    share = lambda n, total: (n + SMOOTHING) / (F.col(total) + SMOOTHING * BUCKETS)
-    return rows.select(F.transform("rows", lambda r: F.when(
-        F.col("target") > 0, F.log(share(r["n_target"], "target") / share(r["n_raw"], "raw")))
-        .otherwise(F.lit(0.0))).alias("ratios"))
 
+def choose_least(scored: DataFrame, labels: DataFrame) -> float:
+    """The threshold that parts trusted from bad documents best, of those that pass the base rules.
 
-def score_quality(docs: DataFrame, labels: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """Add base counts, ``score`` and ``kept`` to every document.
+    It maximises the kept share of the trusted plus the lost share of the bad ones; among equals it is
+    the middle of the lowest stretch. Trusted documents count with ``score_without``, as the model was
+    made from them and other good documents score lower.
+    """
+    known = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("_quality"))
+    score = F.when(F.col("_quality") == 1, F.col("score_without")).otherwise(F.col("score"))
+    rows = (scored.where(~F.col("base_failed")).select("doc_id", "score", "score_without").join(known, "doc_id")
+                  .groupBy(F.floor(score / STEP).alias("level"))
+                  .agg(F.count_if(F.col("_quality") == 1), F.count_if(F.col("_quality") == 0)).collect())
+    good, bad = (sum(r[k] for r in rows) for k in (1, 2))
+    if not good or not bad:
+        return LEAST_SCORE
+    at = {r[0]: (r[1], r[2]) for r in rows}
+    kept, lost, best, stretch = good, 0, -1, []
+    for level in range(min(at), max(at) + 2):
+        value = kept * bad + lost * good
+        if value > best:
+            best, stretch = value, [level]
+        elif value == best and stretch[-1] == level - 1:
+            stretch.append(level)
+        more = at.get(level, (0, 0))
+        kept, lost = kept - more[0], lost + more[1]
+    return stretch[len(stretch) // 2] * STEP
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, least: float | None = None) -> DataFrame:
+    """Add base counts, ``score``, ``score_without`` and ``kept`` to every document.
 
     ``score`` is the mean log ratio of the document's hashed word unigrams and bigrams
     between a multinomial over trusted documents (``labels`` with quality 1) and one over
-    all documents. ``kept`` is false where a base rule fails and else says whether the
-    score is at least ``least``; nothing is drawn at random. Without trusted documents
-    every ratio is 0, so only the base rules decide.
-
-    The lookup is one array of ``BUCKETS`` numbers, so it stays the same size for any
-    corpus. Null texts have no words and fail; repeated rows are judged alike; labels may
+    all documents. ``score_without`` takes each n-gram from the trusted counts first, as if the
+    document were not among them. ``kept`` is false where a base rule fails and else says whether the
+    score is at least ``least``, by default ``choose_least``; nothing is drawn at random. Without
+    trusted documents every ratio is 0, so only the base rules decide.
+
+    The number of buckets follows the number of distinct n-grams. They are looked up in blocks of
+    ``BLOCK``, one pass over the documents per block, so a task's memory does not grow with them.
+    Null texts have no words and fail; repeated rows are judged alike; labels may
     repeat or name unknown documents. Columns that the result adds are replaced.
     """
-    added = ("ratios", "words", "lines", "grams", "placed", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-             "n_repeat_words", "base_failed", "score", "kept")
-    counted = base_counts(docs.drop(*added)).withColumn("ratios", ngram_ratios(docs, labels).scalar())
-    first = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0.0).alias("sum"))
-
-    def add(so_far: Column, word: Column) -> Column:
-        pair = F.when(so_far["last"].isNotNull(), F.get("ratios", _bucket(so_far["last"], word))).otherwise(0.0)
-        return F.struct(word.alias("last"), (so_far["sum"] + F.get("ratios", _bucket(word)) + pair).alias("sum"))
-
-    total = F.aggregate("words", first, add, lambda s: s["sum"])
-    scored = counted.withColumn("score", F.when(
-        F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(F.lit(0.0)))
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least)).drop("words", "ratios")
+    added = ("ratios", "sums", "words", "lines", "grams", "placed", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+             "n_repeat_words", "base_failed", "score", "score_without", "kept")
+    docs = docs.drop(*added)
+    buckets = count_buckets(docs)
+    counts = materialize(ngram_counts(docs, labels, buckets), "ngram_counts")
+    lows = range(0, buckets, BLOCK)
+    if len(lows) == 1:
+        counted = _sums(base_counts(docs), counts, buckets, 0)
+    else:  # texts are told apart by two hashes
+        keys = [F.xxhash64(whole("text")).alias("_key"), F.xxhash64(whole("text"), F.lit(1)).alias("_key2")]
+        parts = [materialize(_sums(docs.select(*keys, words_of(whole("text")).alias("words")), counts, buckets, low)
+                             .select("_key", "_key2", "sums.*").distinct(), "ngram_sums") for low in lows]
+        whole_sums = reduce(DataFrame.unionByName, parts).groupBy("_key", "_key2").agg(
+            F.struct(F.sum("ratio").alias("ratio"), F.sum("without").alias("without")).alias("sums"))
+        counted = base_counts(docs).withColumns({"_key": keys[0], "_key2": keys[1]}).join(
+            whole_sums, ["_key", "_key2"], "left").drop("_key", "_key2")
+    n = 2 * F.col("n_words") - 1
+    scored = counted.withColumns({name: F.when(F.col("n_words") > 0, F.col("sums")[x] / n).otherwise(F.lit(0.0))
+                                  for name, x in (("score", "ratio"), ("score_without", "without"))}).drop("words", "sums")
+    if least is None:
+        scored = materialize(scored, "scored")
+        least = choose_least(scored, labels)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least))
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -113,7 +192,4 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that pass, with their columns."""
-    scored = score_quality(docs, labels.select("doc_id", "quality"))
-    # the row number keeps the filter above the projection, else the arrays in it are computed per use
-    numbered = scored.withColumn("_seen", F.monotonically_increasing_id())
-    return numbered.where(F.col("kept") & (F.col("_seen") >= 0)).select(*docs.columns)
+    return score_quality(docs, labels.select("doc_id", "quality")).where("kept").select(*docs.columns)

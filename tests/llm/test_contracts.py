@@ -188,6 +188,30 @@ def test_quality(docs, spark):
     assert quality.quality_report(docs.where("1 = 0"), labels).count() == 0
 
 
+@pytest.mark.parametrize("half, most_bad, least_good", [(False, 0.05, 0.99), (True, 0.15, 0.95)])
+def test_quality_parts_labels(spark, half, most_bad, least_good):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    # with half, every second trusted document is kept from the model and judged as any other
+    known = labels.where("quality = 0 OR xxhash64(doc_id) % 2 = 0") if half else labels
+    got = by_id(quality.quality_report(docs, known), "base_failed", "kept")
+    shares = defaultdict(list)
+    for i, label in pairs(labels.select("doc_id", F.col("quality").alias("text"))):
+        if i in got and not got[i][0]:
+            shares[label].append(got[i][1])
+    assert sum(shares[0]) <= most_bad * len(shares[0])
+    assert sum(shares[1]) >= least_good * len(shares[1])
+
+
+def test_quality_in_blocks(spark, small, monkeypatch):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    want = by_id(quality.quality_report(small, labels), "kept", "score")
+    monkeypatch.setattr(quality, "BLOCK", 2000)
+    monkeypatch.setattr(quality, "CHUNK", 300)
+    got = by_id(quality.quality_report(small, labels), "kept", "score")
+    assert {i: g[0] for i, g in got.items()} == {i: w[0] for i, w in want.items()}
+    assert all(abs(got[i][1] - w[1]) < 2e-6 for i, w in want.items())
+
+
 @pytest.mark.parametrize("n, percent", [(3, 85), (5, 80)])
 def test_near_duplicates(docs, n, percent):
     got = by_id(minhash.near_duplicates(docs, n, percent), "n_shingles", "component_id", "kept")
