@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -56,10 +57,11 @@ TEMPLATES = {
     ),
 }
 
-#: Words one of which a line must hold to be looked at; each template has some.
-TRIGGERS = r"(?i)licen[sc]e|creative commons|permission is hereby granted|all rights reserved|redistribution and use|free software"
-#: Share of a block's compressed bytes that a template must save to be compared word by word.
-LEAST_SAVED = 0.25
+#: Words one of which a text must hold to be looked at; each template has some. Any white space, line
+#: break or comment mark may stand between them.
+TRIGGERS = "(?i)" + "|".join(x.replace(" ", r"\W+") for x in (
+    "licen[sc]e", "creative commons", "permission is hereby granted", "all rights reserved", "redistribution and use",
+    "free software"))
 #: Share of a template's words that may be missing, changed or strange.
 MOST_DIFFERENT = 0.1
 
@@ -77,6 +79,7 @@ class Templates:
         options = {"level": 3, "write_content_size": False, "write_dict_id": False, "write_checksum": False}
         self._plain = zstandard.ZstdCompressor(**options)
         self.rows = []
+        self._seen: dict[tuple[str, ...], list[tuple]] = {}
         for name, texts in templates.items():
             for text in texts:
                 words = [w.lower() for w in _WORD.findall(text)]
@@ -96,6 +99,13 @@ class Templates:
         blocks = [b for b in SequenceMatcher(None, words, want, autojunk=False).get_matching_blocks() if b.size]
         if not blocks:
             return 0, 0, len(want), 0, ""
+        # words that match far from the rest are left out where that costs less than what lies between
+        def cost(i: int, j: int) -> int:
+            same = sum(b.size for b in blocks[i:j + 1])
+            return len(want) - same + blocks[j].a + blocks[j].size - blocks[i].a - same
+
+        i, j = min(((i, j) for i in range(len(blocks)) for j in range(i, len(blocks))), key=lambda x: cost(*x))
+        blocks = blocks[i:j + 1]
         first, end = blocks[0].a, blocks[-1].a + blocks[-1].size
         same = sum(b.size for b in blocks)
         notes = []
@@ -107,32 +117,41 @@ class Templates:
                 at_a, at_b = b.a + b.size, b.b + b.size
         return first, end, len(want) - same, end - first - same, " ".join(notes)
 
-    def scan(self, line: str) -> list[tuple]:
-        """Licenses a line announces: start, end, name, share saved, rank, missing, strange, differences."""
-        found = list(_WORD.finditer(line))
+    def confirmed(self, part: tuple[str, ...]) -> list[tuple]:
+        """Templates found in a block: order, first word, end, name, share saved, rank, missing, strange, differences."""
+        hits, held = [], Counter(part)
+        for rank, (saved, i) in enumerate(self.ranked(" ".join(part)), 1):
+            name, want, _ = self.rows[i]
+            # the saving only ranks: text around a short notice hides it. An exact bound rules out the others.
+            if len(want) - sum((Counter(want) & held).values()) > MOST_DIFFERENT * len(want):
+                continue
+            first, end, missing, strange, notes = self.wording(list(part), i)
+            if missing + strange <= MOST_DIFFERENT * len(want):
+                key = (missing - len(want), missing + strange, rank)
+                hits.append((key, first, end, name, saved, rank, missing, strange, notes))
+        return hits
+
+    def scan(self, text: str) -> list[tuple]:
+        """Licenses a text announces: start, end, name, share saved, rank, missing, strange, differences."""
+        found = list(_WORD.finditer(text))
         words = [m.group().lower() for m in found]
         ends = [m.end() for m in found]
         reach = max(len(w) for _, w, _ in self.rows) + 2
         hits, looked = [], -1
-        for trigger in _TRIGGER.finditer(line):
+        for trigger in _TRIGGER.finditer(text):
             # a block around the trigger, as long as the longest template either way
             middle = bisect_right(ends, trigger.start())
             if middle == looked:
                 continue
             looked = middle
             low = max(0, middle - reach)
-            part = words[low:middle + reach]
-            size = len(" ".join(part))
-            for rank, (saved, i) in enumerate(self.ranked(" ".join(part)), 1):
-                name, want, _ = self.rows[i]
-                # a long block dilutes the saving, so it is measured against the template's own size
-                if saved * size < LEAST_SAVED * len(" ".join(want)):
-                    continue
-                first, end, missing, strange, notes = self.wording(part, i)
-                if missing + strange <= MOST_DIFFERENT * len(want):
-                    key = (missing - len(want), missing + strange, rank)
-                    hits.append((key, found[low + first].start(), ends[low + end - 1], name, saved, rank,
-                                 missing, strange, notes))
+            part = tuple(words[low:middle + reach])
+            if part not in self._seen:
+                if len(self._seen) > 10_000:
+                    self._seen.clear()
+                self._seen[part] = self.confirmed(part)
+            hits += [(key, found[low + first].start(), ends[low + end - 1], *rest)
+                     for key, first, end, *rest in self._seen[part]]
         out: list[tuple] = []
         for _, start, end, *rest in sorted(hits):
             if all(end <= a or b <= start for a, b, *_ in out):
@@ -141,14 +160,15 @@ class Templates:
 
 
 def license_hits(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """One row per license notice in a line: doc_id, line (from 0), start and end in code points of the
+    """One row per license notice: doc_id, line (from 0) where it starts, start and end in code points of the
     text, license, share of compressed bytes saved, rank of the template by it, words missing, words
     strange, and the wording differences (-missing, +strange).
 
-    Lines with a trigger word are the candidates. Around each trigger a block is compressed alone
+    A notice may span lines; only words count, so white space, line breaks and comment marks between them do
+    not matter. Around each trigger word a block is compressed alone
     and with every template as raw zstandard dictionary; templates are ranked by the bytes they save,
-    and those that save enough are confirmed by the exact difference in words. Among the confirmed the
-    ones that explain most words win, then the fewest differences, then the rank; hits of a line do not overlap.
+    and confirmed by the exact difference in words. Among the confirmed the
+    ones that explain most words win, then the fewest differences, then the rank; hits of a text do not overlap.
 
     Only documents that hold a trigger leave the JVM; nothing is shuffled. Null and empty texts
     have no hits; repeated rows give repeated hits; other columns are not read.
@@ -158,20 +178,10 @@ def license_hits(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None =
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prepared = Templates(chosen)
-        seen: dict[str, list[tuple]] = {}
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                at = 0
-                for number, line in enumerate(text.split("\n")):
-                    if _TRIGGER.search(line):
-                        if line not in seen:
-                            if len(seen) > 10_000:
-                                seen.clear()
-                            seen[line] = prepared.scan(line)
-                        for start, end, *rest in seen[line]:
-                            rows.append((doc_id, number, at + start, at + end, *rest))
-                    at += len(line) + 1
+            rows = [(doc_id, text.count("\n", 0, hit[0]), *hit)
+                    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
+                    for hit in prepared.scan(text)]
             columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(v), f.type) for v, f in zip(columns, schema, strict=True)], schema=schema)

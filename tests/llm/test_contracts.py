@@ -329,6 +329,24 @@ def test_license_wording(spark):
     assert got == {(5, "CC-BY-4.0"), (5, "reserved")}
 
 
+@pytest.mark.parametrize("width", [40, 60, 80])
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# "])
+def test_wrapped_licenses(width, mark):
+    import textwrap
+    prepared = licenses.Templates(licenses.TEMPLATES)
+    for name, texts in licenses.TEMPLATES.items():
+        for notice in texts:
+            lines = ["some code of ours, the first of the file", *textwrap.wrap(notice, width, break_on_hyphens=False), "and more of the software"]
+            text = "\n".join(mark + x for x in lines)
+            assert name in {h[2] for h in prepared.scan(text)}, text
+
+
+def test_wrapped_license_line(spark):
+    text = "a\n# Permission is hereby\n# granted, " + licenses.TEMPLATES["MIT"][1].split("granted, ")[1].replace(" of ", "\n# of ")
+    rows = licenses.license_report(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
+    assert [(r["license"], r["line"], r["start"], r["n_missing"]) for r in rows] == [("MIT", 1, 4, 0)]
+
+
 @pytest.mark.parametrize("shards", [24, 1, 7])
 def test_shards(docs, shards):
     rows = sharding.document_shards(docs, shards).collect()
