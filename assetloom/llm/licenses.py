@@ -62,16 +62,32 @@ TEMPLATES = {
 TRIGGERS = "(?i)" + "|".join(x.replace(" ", r"\W+") for x in (
     "licen[sc]e", "creative commons", "permission is hereby granted", "all rights reserved", "redistribution and use",
     "free software"))
-#: Share of a template's words that may be missing, changed or strange.
+#: Share of a template's words that may be missing, changed or strange, if none of them decides.
 MOST_DIFFERENT = 0.1
 
 HITS = ("doc_id bigint, line bigint, start bigint, end bigint, license string, saved double, rank int, "
         "n_missing bigint, n_strange bigint, wording string")
 
-_WORD = re.compile(r"\w[\w.+-]*\w|\w")
+#: Words that tell licenses apart, besides numbers: a template's own may not differ, and none may be added.
+NAMES = frozenset("""mit apache gnu general lesser library affero bsd clause mozilla creative commons cc by sa nc nd cc0
+    attribution sharealike noncommercial noderivatives noderivs eclipse isc unlicense zero boost spdx""".split())
+
+_WORD = re.compile(r"\w[\w.+]*\w|\w")
+_NUMBER = re.compile(r"v?\.?(\d+(?:\.\d+)*?)(?:\.0)*")
 _TRIGGER = re.compile(TRIGGERS.removeprefix("(?i)"), re.IGNORECASE)
 
 
+def _plain(word: str) -> str:
+    """The word as it is compared: small letters, versions without ``v`` and without ``.0``."""
+    number = _NUMBER.fullmatch(word.lower())
+    return number[1] if number else word.lower()
+
+
+def _decides(word: str) -> bool:
+    # longer numbers are years and numbers of lines
+    return word in NAMES or (word[0].isdigit() and len(word) <= 4 and ("." in word or len(word) <= 2))
+
+
 class Templates:
     """Compressors with each template as raw dictionary."""
 
@@ -82,7 +98,7 @@ class Templates:
         self._seen: dict[tuple[str, ...], list[tuple]] = {}
         for name, texts in templates.items():
             for text in texts:
-                words = [w.lower() for w in _WORD.findall(text)]
+                words = [_plain(w) for w in _WORD.findall(text)]
                 raw = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 self.rows.append((name, words, zstandard.ZstdCompressor(dict_data=raw, **options)))
 
@@ -93,12 +109,13 @@ class Templates:
         saved = [((alone - len(c.compress(data))) / alone, -i) for i, (_, _, c) in enumerate(self.rows)]
         return [(s, -i) for s, i in sorted(saved, reverse=True)]
 
-    def wording(self, words: list[str], template: int) -> tuple[int, int, int, int, str]:
-        """Best stretch of ``words``: first, end, words missing from it, words strange in it, the differences."""
+    def wording(self, words: list[str], template: int) -> tuple[int, int, int, int, str, bool]:
+        """Best stretch of ``words``: first, end, words missing from it, words strange in it or in the place of its
+        first or last words, the differences, and whether a word that decides is among them."""
         want = self.rows[template][1]
         blocks = [b for b in SequenceMatcher(None, words, want, autojunk=False).get_matching_blocks() if b.size]
         if not blocks:
-            return 0, 0, len(want), 0, ""
+            return 0, 0, len(want), 0, "", True
         # words that match far from the rest are left out where that costs less than what lies between
         def cost(i: int, j: int) -> int:
             same = sum(b.size for b in blocks[i:j + 1])
@@ -108,14 +125,18 @@ class Templates:
         blocks = blocks[i:j + 1]
         first, end = blocks[0].a, blocks[-1].a + blocks[-1].size
         same = sum(b.size for b in blocks)
-        notes = []
-        at_a, at_b = first, 0
+        notes, differ, strange = [], [], 0
+        # words that stand where the template's first or last words are missing belong to the comparison
+        at_a, at_b = max(0, first - blocks[0].b), 0
+        last = min(len(words), end + len(want) - blocks[-1].b - blocks[-1].size)
         for b in [*blocks, None]:
-            a_to, b_to = (b.a, b.b) if b else (end, len(want))
+            a_to, b_to = (b.a, b.b) if b else (last, len(want))
             notes += [f"-{w}" for w in want[at_b:b_to]] + [f"+{w}" for w in words[at_a:a_to]]
+            differ += want[at_b:b_to] + words[at_a:a_to]
+            strange += a_to - at_a
             if b:
                 at_a, at_b = b.a + b.size, b.b + b.size
-        return first, end, len(want) - same, end - first - same, " ".join(notes)
+        return first, end, len(want) - same, strange, " ".join(notes), any(map(_decides, differ))
 
     def confirmed(self, part: tuple[str, ...]) -> list[tuple]:
         """Templates found in a block: order, first word, end, name, share saved, rank, missing, strange, differences."""
@@ -125,8 +146,8 @@ class Templates:
             # the saving only ranks: text around a short notice hides it. An exact bound rules out the others.
             if len(want) - sum((Counter(want) & held).values()) > MOST_DIFFERENT * len(want):
                 continue
-            first, end, missing, strange, notes = self.wording(list(part), i)
-            if missing + strange <= MOST_DIFFERENT * len(want):
+            first, end, missing, strange, notes, other = self.wording(list(part), i)
+            if not other and missing + strange <= MOST_DIFFERENT * len(want):
                 key = (missing - len(want), missing + strange, rank)
                 hits.append((key, first, end, name, saved, rank, missing, strange, notes))
         return hits
@@ -134,7 +155,7 @@ class Templates:
     def scan(self, text: str) -> list[tuple]:
         """Licenses a text announces: start, end, name, share saved, rank, missing, strange, differences."""
         found = list(_WORD.finditer(text))
-        words = [m.group().lower() for m in found]
+        words = [_plain(m.group()) for m in found]
         ends = [m.end() for m in found]
         reach = max(len(w) for _, w, _ in self.rows) + 2
         hits, looked = [], -1

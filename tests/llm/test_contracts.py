@@ -336,11 +336,31 @@ def test_wrapped_licenses(width, mark):
     prepared = licenses.Templates(licenses.TEMPLATES)
     for name, texts in licenses.TEMPLATES.items():
         for notice in texts:
-            lines = ["some code of ours, the first of the file", *textwrap.wrap(notice, width, break_on_hyphens=False), "and more of the software"]
+            lines = ["some code of ours, the first of the file", *textwrap.wrap(notice, width), "and more of the software"]
             text = "\n".join(mark + x for x in lines)
             assert name in {h[2] for h in prepared.scan(text)}, text
 
 
+@pytest.mark.parametrize("name, at, old, new", [
+    ("GPL-3.0", 0, "version 3", "version 2"), ("GPL-3.0", 1, "version 3", "version 2"), ("GPL-3.0", 1, "GNU", "GNU Lesser"),
+    ("GPL-3.0", 1, "GNU", "GNU Affero"), ("MPL-2.0", 0, "v. 2.0", "v. 1.1"), ("Apache-2.0", 1, "2.0", "1.1"),
+    ("CC-BY-4.0", 0, "Attribution", "Attribution-NoDerivatives"), ("CC-BY-4.0", 0, "4.0", "3.0"),
+    ("CC-BY-SA-4.0", 0, "Share", "NonCommercial-Share")])
+def test_license_deciding_words(name, at, old, new):
+    notice, prepared = licenses.TEMPLATES[name][at], licenses.Templates(licenses.TEMPLATES)
+    assert name in {h[2] for h in prepared.scan(f"see here. {notice} More text.")}
+    assert old in notice
+    found = {h[2] for h in prepared.scan(f"see here. {notice.replace(old, new)} More text.")}
+    assert name not in found and not any(x.startswith("CC") for x in found)
+
+
+def test_license_versions_and_other_differences():
+    prepared = licenses.Templates(licenses.TEMPLATES)
+    text = licenses.TEMPLATES["GPL-3.0"][1]
+    for own in (text, text.replace("This program", "The program"), text.replace("version 3", "version 3.0")):
+        assert [h[2] for h in prepared.scan("x " * 40 + own + " y" * 40)] == ["GPL-3.0"]
+
+
 def test_wrapped_license_line(spark):
     text = "a\n# Permission is hereby\n# granted, " + licenses.TEMPLATES["MIT"][1].split("granted, ")[1].replace(" of ", "\n# of ")
     rows = licenses.license_report(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
