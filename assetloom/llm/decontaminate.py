@@ -144,7 +144,8 @@ class Benchmark:
     def scan(self, text: str) -> list[tuple[int, int, int, float]]:
         """(item, first word, words, similarity): the best window of each item found.
 
-        For each item length, windows of that many words are fingerprinted at every word. Windows whose
+        For each item length, windows of that many words are fingerprinted at every word; a shorter text is
+        one window. Windows whose
         shingles of any item weigh less than the least similarity asks for are passed over.
         """
         words = self._hashes.of(text.encode().split())
@@ -175,9 +176,8 @@ class Benchmark:
         return [(item, *found) for item, found in sorted(best.items())]
 
     def _windows(self, n: int, size: int, low: int, part: np.ndarray, sums: np.ndarray, best: dict) -> None:
-        if len(part) < size:
-            return
-        ids, bags, index = self._lengths[n]
+        # only the part of a text shorter than the item is shorter than the window, and it is the whole text then
+        n, size, (ids, bags, index) = n - max(0, size - len(part)), min(size, len(part)), self._lengths[n]
         total, known = (sums[size:, BITS + i] - sums[:-size, BITS + i] for i in (0, 1))
         starts = np.flatnonzero(known >= LEAST_SIMILARITY * total - 1e-6)
         if not len(starts):
@@ -199,7 +199,7 @@ def _prepared(items: tuple[tuple[int, str], ...]) -> Benchmark:
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, items_per_pass: int = ITEMS_PER_PASS) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, similarity) for each document that holds an item.
 
-    An item is held where a window of as many words has a weighted similarity of
+    An item is held where a window of as many words, or the whole of a shorter text, has a weighted similarity of
     ``LEAST_SIMILARITY`` or more over five-word shingles; case and outer punctuation of words do not count.
     The best window of an item is told, the first among equals. Windows are found by fingerprint
     (see ``ItemIndex``) and confirmed on their whole bags of shingles.

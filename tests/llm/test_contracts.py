@@ -298,6 +298,20 @@ def test_leaks_in_tables(spark):
     assert got and got == _plain_leaks(pairs(docs), [(r["item_id"], r["text"]) for r in items.collect()])
 
 
+def test_leaks_in_texts_shorter_than_the_item():
+    long = [f"w{i}" for i in range(60)]
+    found = decontaminate.Benchmark([(1, " ".join(long)), (2, "one two three four five")])
+    grams = lambda n: n - 4
+    for cut in (long[:58], long[2:], long[1:59], long[:50], long[:47]):
+        alike = grams(len(cut)) / grams(60)
+        want = [(1, 0, len(cut), round(alike, 9))] if alike >= 0.8 else []
+        assert found.scan(" ".join(cut)) == want
+    assert [h[0] for h in found.scan(" ".join([*long[:3], "x", *long[4:58]]))] == [1]  # 50 of 60 shingles
+    assert found.scan(" ".join([*long[:30], "x", *long[31:58]])) == [(1, 0, 58, round(49 / 61, 9))]
+    assert found.scan(" ".join([*long[:30], "x", *long[31:57]])) == []  # 48 of 61
+    assert found.scan("one two three four") == []
+
+
 def test_hamming_blocks_miss_nothing():
     import numpy as np
     draw = np.random.default_rng(2)
