@@ -96,31 +96,35 @@ class ItemIndex:
 class Benchmark:
     """Items prepared for scanning: shingle weights, and an index per item length."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], shared: dict[int, int] | None = None):
+        """``shared``: shingles of several items of the whole benchmark and of how many, by default of ``items``."""
         self._hashes = _Words()
         by_length: dict[int, list] = defaultdict(list)
         counts: dict[int, int] = defaultdict(int)
         for item_id, text in sorted(items):
-            words = self._hashes.of((text or "").encode().split())
-            if len(words):
-                values = shingles(words, SHINGLE_WORDS)
-                by_length[len(words)].append((item_id, values))
+            values = item_shingles(text, self._hashes)
+            if len(values):
+                by_length[len((text or "").encode().split())].append((item_id, values))
                 for v in set(values.tolist()):
                     counts[v] += 1
         self.known = np.array(sorted(counts), np.uint64)
+        shared = {v: n for v, n in counts.items() if n > 1} if shared is None else shared
+        self.shared = np.array(sorted(shared), np.uint64)
         # a shingle of many items says less about each of them
-        self.weight = np.array([1 / np.log2(1 + counts[int(v)]) for v in self.known])
+        self.weight = np.array([1 / np.log2(1 + shared[int(v)]) for v in self.shared])
         self._lengths = {}
         for n, group in by_length.items():
-            prints = np.concatenate([_packed(self._weighed(v).sum(0, keepdims=True)) for _, v in group])
-            self._lengths[n] = ([i for i, _ in group], [self._bag(v) for _, v in group], ItemIndex(prints))
+            indexes = [ItemIndex(np.concatenate([_packed(signs(v).sum(0, keepdims=True)) for _, v in group]))
+                       for signs in (self._weighed, _signs)]
+            bags = [self._bag(v) for _, v in group]
+            self._lengths[n] = ([i for i, _ in group], bags, *indexes, all((b[2] == 1).all() for b in bags))
 
     def _weights(self, values: np.ndarray) -> np.ndarray:
-        """Weight of each shingle; those of no item count fully."""
-        if not len(self.known):
+        """Weight of each shingle; those of one item or none count fully."""
+        if not len(self.shared):
             return np.ones(len(values))
-        at = np.minimum(np.searchsorted(self.known, values), len(self.known) - 1)
-        return np.where(self.known[at] == values, self.weight[at], 1.0)
+        at = np.minimum(np.searchsorted(self.shared, values), len(self.shared) - 1)
+        return np.where(self.shared[at] == values, self.weight[at], 1.0)
 
     def _weighed(self, values: np.ndarray) -> np.ndarray:
         return _signs(values) * self._weights(values)[:, None]
@@ -133,20 +137,22 @@ class Benchmark:
 
     @staticmethod
     def similarity(window: np.ndarray, weight: float, bag: tuple[np.ndarray, np.ndarray, np.ndarray, float]) -> float:
-        """Weighted Jaccard similarity of a window's shingles, of a known weight, and an item's bag."""
+        """The larger of the weighted and the plain Jaccard similarity of a window's shingles, of a known weight,
+        and an item's bag."""
         distinct, counts, weights, total = bag
         at = np.minimum(np.searchsorted(distinct, window), len(distinct) - 1)
         there = np.bincount(at[distinct[at] == window], minlength=len(distinct))
-        both = float((weights * np.minimum(there, counts)).sum())
+        same = np.minimum(there, counts)
+        both, plain = float((weights * same).sum()), int(same.sum())
         # rounded, so that equal windows stay equal whatever the order of the sums
-        return round(both / (weight + total - both), 9)
+        return round(max(both / (weight + total - both), plain / (len(window) + int(counts.sum()) - plain)), 9)
 
     def scan(self, text: str) -> list[tuple[int, int, int, float]]:
         """(item, first word, words, similarity): the best window of each item found.
 
         For each item length, windows of that many words are fingerprinted at every word; a shorter text is
         one window. Windows whose
-        shingles of any item weigh less than the least similarity asks for are passed over.
+        shingles of any item weigh less and are fewer than the least similarity asks for are passed over.
         """
         words = self._hashes.of(text.encode().split())
         best: dict[int, tuple] = {}
@@ -166,10 +172,13 @@ class Benchmark:
                 low, high = max(0, int(group[0]) - reach), min(len(values), int(group[-1]) + reach)
                 part = values[low:high]
                 weights = self._weights(part)
-                sums = np.zeros((len(part) + 1, BITS + 2))
-                sums[1:, :BITS] = _signs(part) * weights[:, None]
-                sums[1:, BITS] = weights
-                sums[1:, BITS + 1] = weights * (self.known[at[low:high]] == part)
+                sums = np.zeros((len(part) + 1, 2 * BITS + 3))
+                signs, known = _signs(part), self.known[at[low:high]] == part
+                sums[1:, :BITS] = signs * weights[:, None]
+                sums[1:, BITS:2 * BITS] = signs
+                sums[1:, 2 * BITS] = weights
+                sums[1:, 2 * BITS + 1] = weights * known
+                sums[1:, 2 * BITS + 2] = known
                 sums = np.cumsum(sums, axis=0)
                 for n in lengths:
                     self._windows(n, n - n_shingle + 1, low, part, sums, best)
@@ -177,36 +186,61 @@ class Benchmark:
 
     def _windows(self, n: int, size: int, low: int, part: np.ndarray, sums: np.ndarray, best: dict) -> None:
         # only the part of a text shorter than the item is shorter than the window, and it is the whole text then
-        n, size, (ids, bags, index) = n - max(0, size - len(part)), min(size, len(part)), self._lengths[n]
-        total, known = (sums[size:, BITS + i] - sums[:-size, BITS + i] for i in (0, 1))
-        starts = np.flatnonzero(known >= LEAST_SIMILARITY * total - 1e-6)
-        if not len(starts):
-            return
-        prints = _packed(np.round(sums[starts + size, :BITS] - sums[starts, :BITS], 6))
-        for w, i in zip(*index.candidates(prints), strict=True):
-            start = int(starts[w])
+        n, size, (ids, bags, weighed, plain, full) = (
+            n - max(0, size - len(part)), min(size, len(part)), self._lengths[n])
+        total, known, n_known = (sums[size:, 2 * BITS + i] - sums[:-size, 2 * BITS + i] for i in range(3))
+        near = set()
+        for index, first, enough in ((weighed, 0, known >= LEAST_SIMILARITY * total - 1e-6),
+                                     (plain, BITS, n_known >= LEAST_SIMILARITY * size)):
+            if index is plain and full:  # where all weights are 1, both prints are the same
+                enough &= total < size - 1e-6
+            starts = np.flatnonzero(enough)
+            if len(starts):
+                prints = _packed(np.round(sums[starts + size, first:first + BITS] - sums[starts, first:first + BITS], 6))
+                w, i = index.candidates(prints)
+                near.update(zip(starts[w].tolist(), i.tolist(), strict=True))
+        for start, i in sorted(near):
             alike = self.similarity(part[start:start + size], float(total[start]), bags[i])
             if alike >= LEAST_SIMILARITY and alike > best.get(ids[i], (0, 0, 0.0))[2]:
                 best[ids[i]] = (low + start, n, alike)
 
 
+def item_shingles(text: str | None, hashes: WordHashes) -> np.ndarray:
+    return shingles(hashes.of((text or "").encode().split()), SHINGLE_WORDS)
+
+
+def shared_shingles(items: DataFrame) -> dict[int, int]:
+    """Shingles that several items hold, and how many do."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Words()
+        for batch in batches:
+            own = [np.unique(item_shingles(t, hashes)) for t in batch.column("text").to_pylist()]
+            values = np.concatenate([np.empty(0, np.uint64), *own]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(values)], ["shingle"])
+
+    rows = (items.select("text").mapInArrow(count, "shingle bigint").groupBy("shingle").count()
+                 .where("count > 1").collect())
+    return {r[0] % (1 << 64): r[1] for r in rows}
+
+
 @lru_cache(maxsize=1)
-def _prepared(items: tuple[tuple[int, str], ...]) -> Benchmark:
+def _prepared(items: tuple[tuple[int, str], ...], shared: tuple[tuple[int, int], ...]) -> Benchmark:
     """The benchmark block a Python worker looked at last, kept for its next task."""
-    return Benchmark(list(items))
+    return Benchmark(list(items), dict(shared))
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, items_per_pass: int = ITEMS_PER_PASS) -> DataFrame:
     """(doc_id, item_id, first_word, n_words, similarity) for each document that holds an item.
 
-    An item is held where a window of as many words, or the whole of a shorter text, has a weighted similarity of
-    ``LEAST_SIMILARITY`` or more over five-word shingles; case and outer punctuation of words do not count.
+    An item is held where a window of as many words, or the whole of a shorter text, has a weighted or plain similarity of
+    ``LEAST_SIMILARITY`` or more over five-word shingles, the larger of which is told; a shingle weighs less
+    the more items of the whole benchmark hold it; case and outer punctuation of words do not count.
     The best window of an item is told, the first among equals. Windows are found by fingerprint
     (see ``ItemIndex``) and confirmed on their whole bags of shingles.
 
     ``benchmark`` is a stated set of queries. It reaches the executors in blocks of
-    ``items_per_pass`` items, one scan of the documents per block, so a task's memory does not
-    grow with it; documents are neither shuffled nor joined.
+    ``items_per_pass`` items, one scan of the documents per block, so of items
+    a task holds no more at once; shingles of several items go to all blocks. Documents are neither shuffled nor joined.
 
     Null and empty documents and items match nothing. An item shorter than five words
     is one shingle and matches only in full. Repeated document rows give repeated hits; items
@@ -219,12 +253,13 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, items_per_pass: int =
     block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     schema = like(HITS)
+    shared = tuple(sorted(shared_shingles(items).items()))
     found = None
     for b in range(blocks):
         own = tuple(sorted((r["item_id"], r["text"]) for r in items.where(block == b).collect()))
 
         def scan(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
-            prepared = _prepared(own)
+            prepared = _prepared(own, shared)
             for batch in batches:
                 rows = [(doc_id, *hit)
                         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True)

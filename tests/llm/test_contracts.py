@@ -312,6 +312,18 @@ def test_leaks_in_texts_shorter_than_the_item():
     assert found.scan("one two three four") == []
 
 
+def test_leaks_of_items_that_are_alike(spark):
+    long = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(long)) for i in range(9)] + [(20, "other words " * 9), (21, " ".join(long[:40]))]
+    docs = spark.createDataFrame([(1, " ".join([*long[:30], "x", *long[31:]])), (2, "pad " * 70 + " ".join(long)),
+                                  (3, " ".join([*long[:30], "x", *long[31:50], "y", *long[51:]]))], "doc_id int, text string")
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    got = {tuple(r) for r in decontaminate.benchmark_hits(docs, benchmark).collect()}
+    assert {(d, i) for d, i, *_ in got} == {(1, i) for i in range(9)} | {(2, i) for i in [*range(9), 21]}
+    assert {r for r in got if r[0] == 1} == {(1, i, 0, 60, round(51 / 61, 9)) for i in range(9)}
+    assert {tuple(r) for r in decontaminate.benchmark_hits(docs, benchmark, 2).collect()} == got
+
+
 def test_hamming_blocks_miss_nothing():
     import numpy as np
     draw = np.random.default_rng(2)
