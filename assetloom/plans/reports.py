@@ -43,7 +43,7 @@ def pending_cut_report(assets: DataFrame, done: DataFrame, key: str, duration: s
                        step: float = 90) -> DataFrame:
     """Of the known assets: which are pending and eligible, and how would they be
     cut? Assets, parts and seconds per group. ``key`` is unique in both tables."""
-    pending = drop_done(assets, done, [key], None, unique_done=True)
+    pending = drop_done(assets, done, [key], unique_done=True)
     span = F.col(duration) >= shortest
     if longest is not None:
         span = span & (F.col(duration) <= longest)
