@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assetloom.llm import (chat, decontaminate, licenses, line_dedup, minhash, packing, quality, secrets, sharding,
-                           suffix_repeats)
+from assetloom.llm import (chat, collocations, decontaminate, exact_dedup, licenses, line_dedup, minhash, packing,
+                           quality, secrets, sharding, suffix_repeats, vector_codes)
 from assetloom.llm.text import table
 
 
@@ -51,14 +51,108 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.document_shards(table(spark, folder, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, folder, "embeddings"))
+
+
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, folder, "documents"))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 # Fixed value: the text of both turns of conversation -1.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_secrets, op3_chat_format, op4_best_fit_packing, op5_decontamination, op6_line_dedup,
-    op7_license_scan, op8_quality, op9_minhash, op10_sharding)}
+    op7_license_scan, op8_quality, op9_minhash, op10_sharding, op11_vector_codes, op12_exact_dedup,
+    op13_collocations)}
+
+
+def _vector_sql(rounds: int = 2) -> str:
+    """Assignments and means of each round, one after the other."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT id, p, min(CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda t: (t[1] - t[2]) * (t[1] - t[2])))
+                         AS BIGINT) * 64 + e) AS found
+  FROM parts a JOIN book{k} b USING (p) GROUP BY id, p)""")
+        if k < rounds:
+            steps.append(f"""sums{k} AS (
+  SELECT p, found % 64 AS e, pos, sum(x[pos]) AS s, count(*) AS c
+  FROM near{k} JOIN parts USING (id, p), (SELECT unnest(range(1, 65)) AS pos) WHERE pos <= len(x) GROUP BY ALL),
+means{k} AS (
+  SELECT p, e, list(CAST((s - ((s % c + c) % c)) // c AS BIGINT) ORDER BY pos) AS x FROM sums{k} GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN means{k} m USING (p, e))""")
+    body = ",\n".join(steps)
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT id, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS x
+  FROM kept, (SELECT unnest(range(16)) AS p)),
+book0 AS MATERIALIZED (SELECT p, id - 1 AS e, x FROM parts WHERE id <= 64),
+{body},
+coded AS (
+  SELECT id, string_agg(printf('%02x', found % 64), '' ORDER BY p) AS code, CAST(sum(found // 64) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (id)"""
+
 
 SQL: dict[str, str] = {
+    "op11_vector_codes": _vector_sql(),
+    "op12_exact_dedup": """
+WITH plain AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS content
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+       sha256(content) AS text_sha256, count(*) OVER (PARTITION BY doc_id, content) AS n_rows
+FROM plain WINDOW g AS (PARTITION BY content)""",
+    "op13_collocations": r"""
+WITH plain AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM plain),
+words AS MATERIALIZED (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \x09]+'), lambda x: x <> '') AS w FROM pieces),
+starts AS (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS pos FROM words, (SELECT unnest([1, 2, 3, 4]) AS m)),
+counts AS MATERIALIZED (
+  SELECT lang, m, array_to_string(list_slice(w, pos, pos + m - 1), ' ') AS phrase, count(*) AS f
+  FROM starts GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE m = 1 GROUP BY lang),
+cand AS MATERIALIZED (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1 AND f >= 30),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') AS p1,
+         array_to_string(list_slice(w, k + 1, m), ' ') AS p2
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+scored AS (
+  SELECT c.lang, c.phrase, a, x.f AS l, y.f AS r, k,
+         CAST((CAST(2000000 AS HUGEINT) * a) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = p1 JOIN counts y ON y.lang = c.lang AND y.phrase = p2),
+least AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(list_slice(w, pos, pos + j - 1), ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, m - j + 2)) AS pos FROM (SELECT *, unnest(range(2, m)) AS j FROM cand))
+  GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM least s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
     "op3_chat_format": r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
