@@ -135,24 +135,26 @@ def _mine(total: int, support: int, bits: int):
 
 
 def _unite(support: int):
-    """Of the phrases of a bucket those that may be frequent, told to each shard that holds them.
+    """Of the phrases of a bucket those that may be frequent, told to each shard that may hold them.
 
-    A shard that does not tell a phrase has it at most once less than its own support.
+    A shard that does not tell a phrase has it at most once less than its own support. A shard with support 1 tells
+    all it has, so it hears of its own phrases only; the others, fewer than ``support``, hear of all.
     """
     def unite(key: tuple, rows: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x, "<u4") for x in rows.column("keys").to_pylist()]
         counts = np.concatenate([np.frombuffer(x, "<u8") for x in rows.column("counts").to_pylist()]).astype(np.int64)
         unseen = rows.column("support").to_numpy() - 1
-        ends = np.cumsum([len(x) for x in keys])
-        together = np.concatenate(keys)
-        distinct, of = np.unique(together, return_inverse=True)
+        distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
         most = np.zeros(len(distinct), np.int64)
         np.add.at(most, of, counts - np.repeat(unseen, [len(x) for x in keys]))
-        wanted = (most + unseen.sum() >= support)[of]
-        out = [(shard, key[0].as_py(), own[wanted[end - len(own):end]].tobytes())
-               for shard, own, end in zip(rows.column("shard").to_pylist(), keys, ends, strict=True)]
-        return pa.Table.from_pylist([dict(zip(("shard", "bucket", "keys"), x, strict=True)) for x in out if x[2]],
-                                    like(CANDIDATES))
+        wanted = most + unseen.sum() >= support
+        ends = np.cumsum([len(x) for x in keys])
+        out = []
+        for shard, own, end, less in zip(rows.column("shard").to_pylist(), keys, ends, unseen, strict=True):
+            told = distinct[wanted] if less else own[wanted[of[end - len(own):end]]]
+            if len(told):
+                out.append({"shard": shard, "bucket": key[0].as_py(), "keys": told.tobytes()})
+        return pa.Table.from_pylist(out, like(CANDIDATES))
     return unite
 
 
