@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,23 +14,26 @@ WINDOW = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of the words
 
-#: Distinct n-grams a bucket holds on average; the number of buckets follows the corpus.
-LOAD = 16
-#: Buckets one pass over the documents looks up; more buckets are done in further passes.
-BLOCK = 1 << 22
-#: Buckets that are put into one row before a block is.
+#: Buckets of hashed n-grams for each unit of the cube root of the corpus's bytes. The table grows with the
+#: corpus, slowly enough to be sent to every task: 0.2 million buckets at 0.5 GB, 12 million at 100 TB.
+BUCKETS = 256
+#: Buckets that are put into one row before the whole table is.
 CHUNK = 1 << 12
 #: Pseudo-count of every bucket.
 SMOOTHING = 1.0
+#: One trusted document in so many does not make the model but helps to choose the threshold.
+FOLDS = 5
+#: Trusted documents up to which their ids are broadcast (about 100 MB in a task); more are joined by shuffling.
+BROADCAST_IDS = 4_000_000
 #: Mean log ratio per n-gram below which a document is rejected where the labels name no
-#: trusted or no bad document to choose it by.
+#: held-out trusted or no bad document to choose it by.
 LEAST_SCORE = -0.1
 #: Steps between which a threshold is chosen.
 STEP = 0.001
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Add ``words`` and the base counts; a null text has no words."""
+    """Add ``words`` and the base counts to rows of ``text``; a null text has no words."""
     text = whole("text")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counted = docs.withColumns({"words": words_of(text), "lines": lines}).withColumn(
@@ -58,75 +61,68 @@ def base_counts(docs: DataFrame) -> DataFrame:
                   | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))).drop("lines", "grams", "placed")
 
 
-def _grams(rows: DataFrame, *kept: str) -> DataFrame:
-    """A row with ``gram`` for each word and each pair of words."""
-    words = rows.select(words_of(whole("text")).alias("words"), *kept)
-    pairs = F.arrays_zip(F.col("words").alias("a"), F.slice(F.col("words"), 2, 1 << 30).alias("b"))
-    both = F.array(F.xxhash64("a"), F.when(F.col("b").isNotNull(), F.xxhash64("a", "b")))
-    return (words.select(F.inline(pairs), *kept).select(F.explode(both).alias("gram"), *kept)
-                 .where("gram IS NOT NULL"))
+def _bucket(buckets: int, *words: Column) -> Column:
+    return F.pmod(F.xxhash64(*words), F.lit(buckets)).cast("int")
 
 
 def count_buckets(docs: DataFrame) -> int:
-    """One bucket for ``LOAD`` distinct n-grams of all documents. They are counted by a sketch
-    with a deviation of 1 per cent, which is the same for any order and partitioning."""
-    n = _grams(docs).agg(F.approx_count_distinct("gram", 0.01)).first()[0]
-    return max(1, -(-n // LOAD))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(BUCKETS, BUCKETS * round(size ** (1 / 3)))
+
+
+def _held_out(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(FOLDS)) == 0
 
 
 def ngram_counts(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
-    """bucket, n_raw, n_target: n-grams of all and of the trusted documents; empty buckets have no row."""
-    trusted = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).distinct()
-    flagged = docs.join(trusted, docs["doc_id"] == trusted["_id"], "left").select(
-        "text", F.col("_id").isNotNull().cast("int").alias("trusted"))
-    return (_grams(flagged, "trusted").groupBy(F.pmod("gram", F.lit(buckets)).alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("n_raw"), F.sum("trusted").alias("n_target")))
-
-
-def ngram_ratios(counts: DataFrame, buckets: int, low: int) -> DataFrame:
-    """One row for the buckets from ``low`` on, ``BLOCK`` at most: for each ``ratio``, the log of its
-    share in the trusted documents over its share in all, and ``without``, the same with one n-gram less
-    in the trusted ones."""
-    high = min(buckets, low + BLOCK)
+    """bucket, n_raw, n_target: word unigrams and bigrams of all documents and of the trusted ones that are not
+    held out; empty buckets have no row. No text is shuffled: a task sends one row for each
+    bucket at most, and the ids of the trusted documents come to it as long as they are few enough."""
+    trusted = materialize(labels.where("quality = 1").select(F.col("doc_id").alias("_id"))
+                          .where(F.col("_id").isNotNull() & ~_held_out(F.col("_id"))).distinct(), "trusted")
+    small = trusted.count() <= BROADCAST_IDS
+    flagged = docs.join(F.broadcast(trusted) if small else trusted, docs["doc_id"] == F.col("_id"), "left")
+    words = flagged.select(words_of(whole("text")).alias("words"), F.col("_id").isNotNull().cast("int").alias("trusted"))
+    one = F.transform("words", lambda w: _bucket(buckets, w))
+    two = F.zip_with(F.col("words"), F.slice(F.col("words"), 2, 1 << 30),
+                     lambda a, b: F.when(b.isNotNull(), _bucket(buckets, a, b)))
+    return (words.select(F.explode(F.concat(one, two)).alias("bucket"), "trusted").where("bucket IS NOT NULL")
+                 .groupBy("bucket").agg(F.count(F.lit(1)).alias("n_raw"), F.sum("trusted").alias("n_target")))
+
+
+def ngram_ratios(counts: DataFrame, buckets: int) -> DataFrame:
+    """One row, ``ratios``: for each bucket the log of its share in the trusted documents over its share in all."""
     raw, target = (x or 0 for x in counts.agg(F.sum("n_raw"), F.sum("n_target")).first())
-    every = counts.sparkSession.range(low, high).withColumnRenamed("id", "bucket")
-    own = every.join(counts.where(F.col("bucket").between(low, high - 1)), "bucket", "left").na.fill(0)
-    share = lambda n, total: (n + SMOOTHING) / (total + SMOOTHING * buckets)
-    ratio = lambda n: (F.log(share(n, target) / share(F.col("n_raw"), raw)) if target else F.lit(0.0)).cast("float")
-    both = F.struct(ratio(F.col("n_target")).alias("ratio"),
-                    ratio(F.greatest(F.col("n_target") - 1, F.lit(0))).alias("without"))
+    own = counts.sparkSession.range(buckets).withColumnRenamed("id", "bucket").join(counts, "bucket", "left").na.fill(0)
+    share = lambda n, total: (F.col(n) + SMOOTHING) / (total + SMOOTHING * buckets)
+    ratio = (F.log(share("n_target", target) / share("n_raw", raw)) if target else F.lit(0.0)).cast("float").alias("ratio")
     chunks = own.groupBy(F.expr(f"bucket div {CHUNK}").alias("chunk")).agg(
-        F.array_sort(F.collect_list(F.struct("bucket", both.alias("both")))).alias("own"))
-    return chunks.agg(F.array_sort(F.collect_list(F.struct("chunk", F.col("own.both").alias("own")))).alias("all")).select(
+        F.array_sort(F.collect_list(F.struct("bucket", ratio))).alias("own"))
+    return chunks.agg(F.array_sort(F.collect_list(F.struct("chunk", F.col("own.ratio").alias("own")))).alias("all")).select(
         F.flatten(F.col("all.own")).alias("ratios"))
 
 
-def _sums(words: DataFrame, counts: DataFrame, buckets: int, low: int) -> DataFrame:
-    """Add ``sums``: the ratios of the document's n-grams whose buckets are in the block from ``low`` on."""
-    of = lambda *w: F.get("ratios", (F.pmod(F.xxhash64(*w), F.lit(buckets)) - low).cast("int"))
-    first = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0.0).alias("ratio"), F.lit(0.0).alias("without"))
-
-    def add(so_far: Column, word: Column) -> Column:
-        one, two = of(word), F.when(so_far["last"].isNotNull(), of(so_far["last"], word))
-        return F.struct(word.alias("last"), *(
-            (so_far[x] + F.coalesce(one[x], F.lit(0.0)) + F.coalesce(two[x], F.lit(0.0))).alias(x)
-            for x in ("ratio", "without")))
-
-    return words.withColumn("ratios", ngram_ratios(counts, buckets, low).scalar()).withColumn(
-        "sums", F.aggregate("words", first, add, lambda s: F.struct(s["ratio"], s["without"]))).drop("ratios")
+def _score(buckets: int) -> Column:
+    """Mean of ``ratios`` over the word unigrams and bigrams of ``words``; 0 without words."""
+    of = lambda *w: F.coalesce(F.get("ratios", _bucket(buckets, *w)), F.lit(0.0))
+    first = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0.0).alias("sum"))
+    total = F.aggregate("words", first, lambda s, w: F.struct(
+        w.alias("last"), (s["sum"] + of(w) + F.when(s["last"].isNull(), 0.0).otherwise(of(s["last"], w))).alias("sum")),
+        lambda s: s["sum"])
+    return F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(F.lit(0.0))
 
 
 def choose_least(scored: DataFrame, labels: DataFrame) -> float:
-    """The threshold that parts trusted from bad documents best, of those that pass the base rules.
+    """The threshold that parts held-out trusted from bad documents best, of those that pass the base rules.
 
     It maximises the kept share of the trusted plus the lost share of the bad ones; among equals it is
-    the middle of the lowest stretch. Trusted documents count with ``score_without``, as the model was
-    made from them and other good documents score lower.
+    the middle of the lowest stretch. A document with both labels counts as trusted. One row for each ``STEP`` of the
+    scores reaches the driver.
     """
-    known = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("_quality"))
-    score = F.when(F.col("_quality") == 1, F.col("score_without")).otherwise(F.col("score"))
-    rows = (scored.where(~F.col("base_failed")).select("doc_id", "score", "score_without").join(known, "doc_id")
-                  .groupBy(F.floor(score / STEP).alias("level"))
+    known = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("_quality")).where(
+        (F.col("_quality") == 0) | ((F.col("_quality") == 1) & _held_out(F.col("doc_id"))))
+    rows = (scored.where(~F.col("base_failed")).select("doc_id", "score").join(known, "doc_id")
+                  .groupBy(F.floor(F.col("score") / STEP).alias("level"))
                   .agg(F.count_if(F.col("_quality") == 1), F.count_if(F.col("_quality") == 0)).collect())
     good, bad = (sum(r[k] for r in rows) for k in (1, 2))
     if not good or not bad:
@@ -144,40 +140,29 @@ def choose_least(scored: DataFrame, labels: DataFrame) -> float:
     return stretch[len(stretch) // 2] * STEP
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, least: float | None = None) -> DataFrame:
-    """Add base counts, ``score``, ``score_without`` and ``kept`` to every document.
+def score_quality(docs: DataFrame, labels: DataFrame, least: float | None = None,
+                  carried: Sequence[str] | None = None) -> DataFrame:
+    """doc_id, row (the ``carried`` columns of the document, by default all), the base counts, ``score`` and
+    ``kept`` of every document.
 
     ``score`` is the mean log ratio of the document's hashed word unigrams and bigrams
     between a multinomial over trusted documents (``labels`` with quality 1) and one over
-    all documents. ``score_without`` takes each n-gram from the trusted counts first, as if the
-    document were not among them. ``kept`` is false where a base rule fails and else says whether the
-    score is at least ``least``, by default ``choose_least``; nothing is drawn at random. Without
+    all documents. ``kept`` is false where a base rule fails and else says whether the
+    score is at least ``least``, by default ``choose_least``; nothing is drawn at random. One in ``FOLDS`` trusted
+    documents, by a hash of doc_id, is held out of the model and helps to choose the threshold. Without
     trusted documents every ratio is 0, so only the base rules decide.
 
-    The number of buckets follows the number of distinct n-grams. They are looked up in blocks of
-    ``BLOCK``, one pass over the documents per block, so a task's memory does not grow with them.
     Null texts have no words and fail; repeated rows are judged alike; labels may
-    repeat or name unknown documents. Columns that the result adds are replaced.
+    repeat, be null or name unknown documents. The columns of ``docs`` may have any names besides doc_id and text.
     """
-    added = ("ratios", "sums", "words", "lines", "grams", "placed", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-             "n_repeat_words", "base_failed", "score", "score_without", "kept")
-    docs = docs.drop(*added)
-    buckets = count_buckets(docs)
-    counts = materialize(ngram_counts(docs, labels, buckets), "ngram_counts")
-    lows = range(0, buckets, BLOCK)
-    if len(lows) == 1:
-        counted = _sums(base_counts(docs), counts, buckets, 0)
-    else:  # texts are told apart by two hashes
-        keys = [F.xxhash64(whole("text")).alias("_key"), F.xxhash64(whole("text"), F.lit(1)).alias("_key2")]
-        parts = [materialize(_sums(docs.select(*keys, words_of(whole("text")).alias("words")), counts, buckets, low)
-                             .select("_key", "_key2", "sums.*").distinct(), "ngram_sums") for low in lows]
-        whole_sums = reduce(DataFrame.unionByName, parts).groupBy("_key", "_key2").agg(
-            F.struct(F.sum("ratio").alias("ratio"), F.sum("without").alias("without")).alias("sums"))
-        counted = base_counts(docs).withColumns({"_key": keys[0], "_key2": keys[1]}).join(
-            whole_sums, ["_key", "_key2"], "left").drop("_key", "_key2")
-    n = 2 * F.col("n_words") - 1
-    scored = counted.withColumns({name: F.when(F.col("n_words") > 0, F.col("sums")[x] / n).otherwise(F.lit(0.0))
-                                  for name, x in (("score", "ratio"), ("score_without", "without"))}).drop("words", "sums")
+    plain = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in (docs.columns if carried is None else carried)))
+                        .alias("row"))
+    labels = labels.select("doc_id", "quality")
+    buckets = count_buckets(plain)
+    counts = materialize(ngram_counts(plain, labels, buckets), "ngram_counts")
+    ratios = materialize(ngram_ratios(counts, buckets), "ngram_ratios")
+    scored = (base_counts(plain).withColumn("ratios", ratios.scalar()).withColumn("score", _score(buckets))
+              .drop("words", "ratios", "text"))
     if least is None:
         scored = materialize(scored, "scored")
         least = choose_least(scored, labels)
@@ -185,11 +170,11 @@ def score_quality(docs: DataFrame, labels: DataFrame, least: float | None = None
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score_quality(docs.select("doc_id", "text"), labels.select("doc_id", "quality")).select(
+    return score_quality(docs, labels, carried=["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("score", 6).alias("score"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that pass, with their columns."""
-    return score_quality(docs, labels.select("doc_id", "quality")).where("kept").select(*docs.columns)
+    return score_quality(docs, labels).where("kept").select("row.*")
