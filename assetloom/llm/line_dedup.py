@@ -13,9 +13,8 @@ from assetloom.llm.text import SPACE_CHARS, like, mixed
 from assetloom.session import materialize
 
 LEAST_CHARS = 10
-#: Keys that one shard of the index is made for, and probes that one copy of it answers.
-SHARD_KEYS = 500_000
-COPY_PROBES = 2_000_000
+#: Lines of all documents that one shard of the index answers, or one copy of it where some are very frequent.
+TASK_PROBES = 200_000
 #: Bits per key on each level of the perfect hash.
 SPREAD = 1.5
 
@@ -172,30 +171,26 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(docs[gone]), pa.array(keys[gone])], schema=schema)
 
 
-def repeated_lines(docs: DataFrame, shards: int | None = None) -> DataFrame:
-    """(doc_id, key): lines each document loses, by the first hash of their keys.
+def _dealt(docs: DataFrame, shards: int | None) -> tuple[DataFrame, int]:
+    """Rows for ``_answer``: the index of each shard, for each of its copies, and the probes; and the shards.
 
-    Lines are counted with a partial aggregate before the shuffle. Those of two or more
-    documents make the index: one row of arrays per shard, built in its own task. Probes
-    (hashes, not lines) go to the shard that can answer them; a shard whose lines are
-    in very many documents is copied, and its probes are dealt over the copies.
+    The shards follow the lines of all documents, as all of them are probes, not only those that are repeated. A shard with
+    more than its share of them is copied, and its probes are dealt over the copies.
     """
-    spark = docs.sparkSession
     lines = materialize(docs.select("doc_id", "text").mapInArrow(_line_hashes, LINES), "lines")
-    counts = materialize(lines.groupBy("key", "print").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
-        .where("first < last").drop("last"), "line-counts")
-    n_shards = shards or 1 + counts.count() // SHARD_KEYS
+    n_shards = shards or 1 + lines.count() // TASK_PROBES
     shard = F.pmod(F.col("key"), F.lit(n_shards)).cast("int").alias("shard")
+    counts = (lines.groupBy("key", "print").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+        .where("first < last").select(shard, "key", "print", "n", "first"))
 
     def build(key, pdf):
         index = ShardIndex.build(*(pdf[c].to_numpy(np.int64) for c in ("key", "print", "n", "first")))
-        return pdf.iloc[:1].assign(shard=np.int32(key[0]), probes=int(pdf["n"].sum()), index=index.to_bytes())[
-            ["shard", "probes", "index"]]
+        return pdf.iloc[:1].assign(shard=np.int32(key[0]), index=index.to_bytes())[["shard", "index"]]
 
-    indexes = materialize(counts.select(shard, "key", "print", "n", "first").groupBy("shard").applyInPandas(
-        build, "shard int, probes bigint, index binary"), "line-index")
-    sized = indexes.select("shard", (1 + F.floor(F.col("probes") / COPY_PROBES)).cast("int").alias("copies"))
+    indexes = materialize(counts.groupBy("shard").applyInPandas(build, "shard int, index binary"), "line-index")
+    sized = materialize(lines.groupBy(shard).agg((1 + F.floor(F.count(F.lit(1)) / TASK_PROBES)).cast("int").alias("copies")),
+                        "line-shards")
     none = lambda kind: F.lit(None).cast(kind)
     served = indexes.join(sized, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"),
@@ -203,9 +198,29 @@ def repeated_lines(docs: DataFrame, shards: int | None = None) -> DataFrame:
     asked = lines.select(shard, "key", "print", "doc_id").join(sized.where("copies > 1"), "shard", "left").select(
         "shard", F.pmod(F.xxhash64("doc_id"), F.coalesce("copies", F.lit(1))).cast("int").alias("copy"),
         F.lit(1).alias("kind"), "key", "print", "doc_id", none("binary").alias("index"))
-    parts = max(n_shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return (served.unionByName(asked).repartition(parts, "shard", "copy")
-            .sortWithinPartitions("shard", "copy", "kind").mapInArrow(_answer, "doc_id bigint, key bigint"))
+    return served.unionByName(asked), n_shards
+
+
+def _by_task(dealt: DataFrame, n_shards: int) -> DataFrame:
+    parts = max(n_shards, int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # by ranges: hashing would put several shards into one task and none into others
+    return dealt.repartitionByRange(parts, "shard", "copy")
+
+
+def probes_by_task(docs: DataFrame, shards: int | None = None) -> DataFrame:
+    """How many lines each task that answers probes looks up: one row with ``count`` per task that has any."""
+    return _by_task(*_dealt(docs, shards)).where("kind = 1").groupBy(F.spark_partition_id().alias("task")).count()
+
+
+def repeated_lines(docs: DataFrame, shards: int | None = None) -> DataFrame:
+    """(doc_id, key): lines each document loses, by the first hash of their keys.
+
+    Lines are counted with a partial aggregate before the shuffle. Those of two or more
+    documents make the index: one row of arrays per shard, built in its own task. Probes
+    (hashes, not lines) go to the shard that can answer them.
+    """
+    return (_by_task(*_dealt(docs, shards)).sortWithinPartitions("shard", "copy", "kind")
+            .mapInArrow(_answer, "doc_id bigint, key bigint"))
 
 
 def drop_repeated_lines(docs: DataFrame, shards: int | None = None) -> DataFrame:
@@ -218,17 +233,24 @@ def drop_repeated_lines(docs: DataFrame, shards: int | None = None) -> DataFrame
 
     Null and empty texts are one empty line (a null text becomes empty). Rows with one
     doc_id count as one document; rows without are neither counted nor changed. Other
-    columns pass through; ``n_lines``, ``n_dropped`` and ``_gone`` of the input are replaced.
+    columns pass through, whatever their names; ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
-    plain = docs.drop("n_lines", "n_dropped", "_gone")
-    gone = repeated_lines(plain, shards).groupBy("doc_id").agg(F.collect_set("key").alias("_gone"))
-    schema = ", ".join([f"`{n}` {t}" for n, t in plain.dtypes] + ["n_lines bigint", "n_dropped bigint"])
-    names = [*plain.columns, "n_lines", "n_dropped"]
+    cut = _cut(docs, shards)
+    own = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c)
+           for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return cut.select(*own, "n_lines", "n_dropped")
+
+
+def _cut(docs: DataFrame, shards: int | None = None) -> DataFrame:
+    """row (the columns of a document without its text), text, n_lines, n_dropped."""
+    gone = repeated_lines(docs, shards).groupBy("doc_id").agg(F.collect_set("key").alias("gone"))
+    others = F.struct("doc_id", *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
+    packed = docs.select("doc_id", "text", others.alias("row")).join(gone, "doc_id", "left").select("row", "text", "gone")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, n_lines, n_dropped = [], [], []
-            for text, lost in zip(batch.column("text"), batch.column("_gone"), strict=True):
+            for text, lost in zip(batch.column("text"), batch.column("gone"), strict=True):
                 data = (text.as_py() or "").encode()
                 lines = data.split(b"\n")
                 n_lines.append(len(lines))
@@ -238,19 +260,20 @@ def drop_repeated_lines(docs: DataFrame, shards: int | None = None) -> DataFrame
                     data = b"\n".join(lines)
                 n_dropped.append(n_lines[-1] - len(lines))
                 texts.append(data.decode())
-            new = {"text": pa.array(texts, pa.string()), "n_lines": pa.array(n_lines, pa.int64()),
-                   "n_dropped": pa.array(n_dropped, pa.int64())}
-            yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
+                names=["row", "text", "n_lines", "n_dropped"])
 
-    return plain.join(gone, "doc_id", "left").select(*plain.columns, "_gone").mapInArrow(rebuild, schema)
+    kind = packed.schema["row"].dataType.simpleString()
+    return packed.mapInArrow(rebuild, f"row {kind}, text string, n_lines bigint, n_dropped bigint")
 
 
 def drop_and_count(docs: DataFrame) -> DataFrame:
     """Documents without their repeated lines, with their columns; ``n_chars``, if there is one, is counted anew."""
-    cut = drop_repeated_lines(docs)
+    own = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+        own["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return _cut(docs).select(*(own.get(c, F.col("row").getField(c).alias(c)) for c in docs.columns))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
