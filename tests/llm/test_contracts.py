@@ -157,8 +157,7 @@ def test_lines(docs):
 
 
 def test_lines_in_copied_shards(odd, monkeypatch):
-    monkeypatch.setattr(line_dedup, "COPY_PROBES", 2)
-    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 2)
+    monkeypatch.setattr(line_dedup, "TASK_PROBES", 2)
     assert by_id(line_dedup.line_report(odd), "n_lines", "n_dropped", "kept_sha256") == brute.lines(pairs(odd))
 
 
@@ -202,14 +201,100 @@ def test_quality_parts_labels(spark, half, most_bad, least_good):
     assert sum(shares[1]) >= least_good * len(shares[1])
 
 
-def test_quality_in_blocks(spark, small, monkeypatch):
-    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-    want = by_id(quality.quality_report(small, labels), "kept", "score")
-    monkeypatch.setattr(quality, "BLOCK", 2000)
+def _plain_scores(docs, labels):
+    """doc_id -> (score, kept), and the threshold: a restatement with its own hashing and loops."""
+    import math
+    import struct
+
+    import numpy as np
+    import xxhash
+
+    def hashed(*values):
+        seed = 42
+        for v in values:
+            data = v.encode() if isinstance(v, str) else struct.pack("<q", v)
+            seed = xxhash.xxh64_intdigest(data, seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    size = max(256, 256 * round(sum(len((t or "").encode()) for _, t in docs) ** (1 / 3)))
+    folds = {i: hashed(i) % 5 == 0 for i, _ in docs}
+    trusted = {i for i, q in labels if q == 1}
+    raw, target, grams = Counter(), Counter(), {}
+    for i, text in docs:
+        own = brute.words(text)
+        grams[i] = [hashed(w) % size for w in own] + [hashed(*p) % size for p in zip(own, own[1:])]
+        raw.update(grams[i])
+        if i in trusted and not folds[i]:
+            target.update(grams[i])
+    n_raw, n_target = sum(raw.values()), sum(target.values())
+    ratio = lambda b: float(np.float32(math.log(((target[b] + 1) / (n_target + size)) / ((raw[b] + 1) / (n_raw + size)))))
+    score = {i: sum(map(ratio, g)) / len(g) if g and n_target else 0.0 for i, g in grams.items()}
+    failed = {i: brute.base_quality(t)[-1] for i, t in docs}
+    best = {}
+    for i, q in labels:
+        best[i] = max(q, best.get(i, q))
+    good = [score[i] for i, q in best.items() if q == 1 and i in score and folds[i] and not failed[i]]
+    bad = [score[i] for i, q in best.items() if q == 0 and i in score and not failed[i]]
+    least = -0.1
+    if good and bad:
+        levels = sorted({math.floor(x / 0.001) for x in good + bad})
+        value = {k: (sum(math.floor(x / 0.001) >= k for x in good) * len(bad) + sum(math.floor(x / 0.001) < k for x in bad) * len(good))
+                 for k in range(levels[0], levels[-1] + 2)}
+        first = min(k for k in value if value[k] == max(value.values()))
+        stretch = [first]
+        while value.get(stretch[-1] + 1) == value[first]:
+            stretch.append(stretch[-1] + 1)
+        least = stretch[len(stretch) // 2] * 0.001
+    return {i: (score[i], not failed[i] and score[i] >= least) for i in score}, least
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_quality_scores_and_threshold(spark, monkeypatch, sf):
+    folder = f"/root/testdata/sf{sf}"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    known = [tuple(r) for r in labels.select("doc_id", "quality").where("quality IS NOT NULL").collect()]
+    want, least = _plain_scores(pairs(docs), known)
+    assert least != quality.LEAST_SCORE
     monkeypatch.setattr(quality, "CHUNK", 300)
-    got = by_id(quality.quality_report(small, labels), "kept", "score")
-    assert {i: g[0] for i, g in got.items()} == {i: w[0] for i, w in want.items()}
-    assert all(abs(got[i][1] - w[1]) < 2e-6 for i, w in want.items())
+    if sf == "0.001":
+        monkeypatch.setattr(quality, "BROADCAST_IDS", 1)
+    got = by_id(quality.quality_report(docs, labels), "score", "kept")
+    assert all(abs(got[i][0] - score) < 2e-6 for i, (score, _) in want.items())
+    assert {i for i, (score, kept) in want.items() if kept != got[i][1] and abs(score - least) > 1e-6} == set()
+
+
+def test_quality_keeps_columns_of_any_name(spark, small):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    names = ("_id", "words", "lines", "grams", "placed", "sums", "ratios", "score", "kept", "row", "bucket", "_quality", "a.b")
+    wide = small.withColumns({n: F.lit("own") for n in names})
+    kept = quality.keep_good(wide, labels)
+    assert kept.columns == wide.columns
+    rows = kept.collect()
+    assert {r["doc_id"] for r in rows} == {i for i, (k,) in by_id(quality.quality_report(small, labels), "kept").items() if k}
+    assert all(r[n] == "own" for r in rows for n in names)
+
+
+def test_line_probes_are_spread(spark, monkeypatch):
+    """Most lines stand in one document; they too are dealt over the tasks, and so is a line of all documents."""
+    monkeypatch.setattr(line_dedup, "TASK_PROBES", 1000)
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat_ws("\n", F.lit("one and the same line"), F.array_join(
+        F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.concat(F.lit("line of its own "), F.col("id").cast("string"),
+                                                                        F.lit(" "), i.cast("string"))), "\n")).alias("text"))
+    probes = line_dedup.probes_by_task(docs, 16)
+    seen = sorted(r["count"] for r in probes.collect())
+    assert sum(seen) == 400 * 41 and len(seen) >= 12 and seen[-1] <= 3 * seen[len(seen) // 2]
+    assert line_dedup.line_report(docs).agg(F.sum("n_dropped")).first()[0] == 399
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark, small):
+    names = ("_gone", "n_lines", "n_dropped", "key", "shard", "first")
+    wide = small.withColumns({n: F.lit("own") for n in names})
+    cut = line_dedup.drop_and_count(wide)
+    assert cut.columns == wide.columns
+    rows = {r["doc_id"]: r for r in cut.collect()}
+    assert all(r[n] == "own" for r in rows.values() for n in names)
+    want = {r["doc_id"]: r["text"] for r in line_dedup.drop_repeated_lines(small).collect()}
+    assert {i: r["text"] for i, r in rows.items()} == want
 
 
 @pytest.mark.parametrize("n, percent", [(3, 85), (5, 80)])
