@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetloom.llm.text import whole, words_of
@@ -38,9 +36,13 @@ def base_counts(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     counted = docs.withColumns({"words": words_of(text), "lines": lines}).withColumn(
         "n_words", F.size("words").cast("bigint"))
-    grams = F.when(F.col("n_words") >= WINDOW, F.transform(
-        F.sequence(F.lit(1), (F.col("n_words") - WINDOW + 1).cast("int")),
-        lambda i: F.xxhash64(F.slice("words", i, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
+    # hashes of 1, 2, 4 and then 8 words in a row; those that would run over the end are cut off
+    counted = counted.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    for width in (1, 2, 4):
+        counted = counted.withColumn("hashes", F.zip_with("hashes", F.slice("hashes", width + 1, 1 << 30),
+                                                          lambda one, next_: F.xxhash64(one, next_)))
+    grams = F.when(F.col("n_words") >= WINDOW, F.slice("hashes", F.lit(1), (F.col("n_words") - (WINDOW - 1)).cast("int"))
+                   ).otherwise(F.array().cast("array<bigint>"))
     counted = counted.withColumn("grams", grams).withColumn(
         "placed", F.when(F.size(F.array_distinct("grams")) < F.size("grams"), F.sort_array(F.transform(
             "grams", lambda g, i: F.struct(g.alias("gram"), i.alias("at"))))))
@@ -58,10 +60,16 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint"),
         "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("bigint"),
     }).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS)
-                  | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))).drop("lines", "grams", "placed")
+                  | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))).drop("lines", "hashes", "grams", "placed")
+
+
+def _pairs(rows: DataFrame, *kept: str) -> DataFrame:
+    """A row for each word ``a`` of ``text``, with the word ``b`` after it, and the ``kept`` columns."""
+    words = rows.select(words_of(whole("text")).alias("words"), *kept)
+    return words.select(F.inline(F.arrays_zip(F.col("words").alias("a"), F.slice("words", 2, 1 << 30).alias("b"))), *kept)
 
 
-def _bucket(buckets: int, *words: Column) -> Column:
+def _bucket(buckets: int, *words: str) -> Column:
     return F.pmod(F.xxhash64(*words), F.lit(buckets)).cast("int")
 
 
@@ -82,12 +90,10 @@ def ngram_counts(docs: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
                           .where(F.col("_id").isNotNull() & ~_held_out(F.col("_id"))).distinct(), "trusted")
     small = trusted.count() <= BROADCAST_IDS
     flagged = docs.join(F.broadcast(trusted) if small else trusted, docs["doc_id"] == F.col("_id"), "left")
-    words = flagged.select(words_of(whole("text")).alias("words"), F.col("_id").isNotNull().cast("int").alias("trusted"))
-    one = F.transform("words", lambda w: _bucket(buckets, w))
-    two = F.zip_with(F.col("words"), F.slice(F.col("words"), 2, 1 << 30),
-                     lambda a, b: F.when(b.isNotNull(), _bucket(buckets, a, b)))
-    return (words.select(F.explode(F.concat(one, two)).alias("bucket"), "trusted").where("bucket IS NOT NULL")
-                 .groupBy("bucket").agg(F.count(F.lit(1)).alias("n_raw"), F.sum("trusted").alias("n_target")))
+    grams = F.array(_bucket(buckets, "a"), F.when(F.col("b").isNotNull(), _bucket(buckets, "a", "b")))
+    return (_pairs(flagged.withColumn("trusted", F.col("_id").isNotNull().cast("int")), "trusted")
+            .select(F.explode(grams).alias("bucket"), "trusted").where("bucket IS NOT NULL")
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias("n_raw"), F.sum("trusted").alias("n_target")))
 
 
 def ngram_ratios(counts: DataFrame, buckets: int) -> DataFrame:
@@ -102,14 +108,19 @@ def ngram_ratios(counts: DataFrame, buckets: int) -> DataFrame:
         F.flatten(F.col("all.own")).alias("ratios"))
 
 
-def _score(buckets: int) -> Column:
-    """Mean of ``ratios`` over the word unigrams and bigrams of ``words``; 0 without words."""
-    of = lambda *w: F.coalesce(F.get("ratios", _bucket(buckets, *w)), F.lit(0.0))
-    first = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0.0).alias("sum"))
-    total = F.aggregate("words", first, lambda s, w: F.struct(
-        w.alias("last"), (s["sum"] + of(w) + F.when(s["last"].isNull(), 0.0).otherwise(of(s["last"], w))).alias("sum")),
-        lambda s: s["sum"])
-    return F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(F.lit(0.0))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Add ``key``, by which rows of one document are told apart from others: its doc_id and two hashes of its text."""
+    return docs.withColumn("key", F.struct("doc_id", F.xxhash64(whole("text")).alias("h"),
+                                           F.xxhash64(whole("text"), F.lit(1)).alias("i")))
+
+
+def _scores(keyed: DataFrame, ratios: DataFrame, buckets: int) -> DataFrame:
+    """key, score: the mean ratio of the word unigrams and bigrams of a document. A document is summed up
+    in the task that reads it; one row of it is shuffled. Documents without words have no row."""
+    of = lambda *w: F.get(ratios.scalar(), _bucket(buckets, *w)).cast("double")
+    told = _pairs(keyed, "key").select("key", (of("a") + F.when(F.col("b").isNotNull(), of("a", "b")).otherwise(0.0)).alias("r"),
+                                       F.col("b").isNotNull().cast("int").alias("second"))
+    return told.groupBy("key").agg((F.sum("r") / (F.count(F.lit(1)) + F.sum("second"))).alias("score"))
 
 
 def choose_least(scored: DataFrame, labels: DataFrame) -> float:
@@ -140,10 +151,8 @@ def choose_least(scored: DataFrame, labels: DataFrame) -> float:
     return stretch[len(stretch) // 2] * STEP
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, least: float | None = None,
-                  carried: Sequence[str] | None = None) -> DataFrame:
-    """doc_id, row (the ``carried`` columns of the document, by default all), the base counts, ``score`` and
-    ``kept`` of every document.
+def score_quality(docs: DataFrame, labels: DataFrame, least: float | None = None) -> DataFrame:
+    """doc_id, key, the base counts, ``score`` and ``kept`` of every document; ``key`` is that of ``_keyed``.
 
     ``score`` is the mean log ratio of the document's hashed word unigrams and bigrams
     between a multinomial over trusted documents (``labels`` with quality 1) and one over
@@ -152,17 +161,16 @@ def score_quality(docs: DataFrame, labels: DataFrame, least: float | None = None
     documents, by a hash of doc_id, is held out of the model and helps to choose the threshold. Without
     trusted documents every ratio is 0, so only the base rules decide.
 
-    Null texts have no words and fail; repeated rows are judged alike; labels may
-    repeat, be null or name unknown documents. The columns of ``docs`` may have any names besides doc_id and text.
+    Null texts have no words and fail; repeated rows are judged alike, each for itself; labels may
+    repeat, be null or name unknown documents. Other columns of ``docs`` are ignored.
     """
-    plain = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in (docs.columns if carried is None else carried)))
-                        .alias("row"))
-    labels = labels.select("doc_id", "quality")
+    plain, labels = docs.select("doc_id", "text"), labels.select("doc_id", "quality")
     buckets = count_buckets(plain)
     counts = materialize(ngram_counts(plain, labels, buckets), "ngram_counts")
     ratios = materialize(ngram_ratios(counts, buckets), "ngram_ratios")
-    scored = (base_counts(plain).withColumn("ratios", ratios.scalar()).withColumn("score", _score(buckets))
-              .drop("words", "ratios", "text"))
+    keyed = _keyed(plain)
+    scored = (base_counts(keyed).drop("words", "text").join(_scores(keyed, ratios, buckets), "key", "left")
+              .withColumn("score", F.coalesce("score", F.lit(0.0))))
     if least is None:
         scored = materialize(scored, "scored")
         least = choose_least(scored, labels)
@@ -170,11 +178,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, least: float | None = None
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score_quality(docs, labels, carried=["doc_id"]).select(
+    return score_quality(docs, labels).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("score", 6).alias("score"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents that pass, with their columns."""
-    return score_quality(docs, labels).where("kept").select("row.*")
+    """Documents that pass, with their columns, which may have any names besides doc_id and text."""
+    good = score_quality(docs, labels).where("kept").select("key").distinct()
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    return _keyed(docs.select("doc_id", "text", row)).join(good, "key", "left_semi").select("row.*")
