@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +20,11 @@ BLOCK_BITS = BITS // BLOCKS
 #: Hamming distance searched. Sets at a similarity of 0.8 differ in 10 of 64 bits on average
 #: with a deviation of 3, so beyond 24 bits lies about one pair in a million.
 RADIUS = 24
-#: Items one pass over the documents takes; more items are done in further passes.
-ITEMS_PER_PASS = 20_000
+#: Items one pass over the documents takes; more items are done in further passes. An index holds 32 kB for each
+#: item, so a task needs about 400 MB for both at most.
+ITEMS_PER_PASS = 6_000
+#: Eighths of the items whose bits are worked out at a time.
+CHUNK = 64
 #: (window, item) marks held at once.
 MARKS_PER_BLOCK = 1 << 22
 
@@ -57,22 +60,24 @@ class ItemIndex:
     """Multi-index over the fingerprints of benchmark items of one number of shingles.
 
     Two fingerprints within ``RADIUS`` agree up to RADIUS / BLOCKS bits in at least one of
-    the ``BLOCKS`` blocks. Per block, all values within that distance of an item's value
-    lead to the item, so the union over blocks misses no item within the radius.
+    the ``BLOCKS`` blocks. Per block, each value has a bit for every item whose own value is within
+    that distance, so the union over blocks misses no item within the radius.
     """
 
     def __init__(self, prints: np.ndarray):
         self.prints = prints
-        near = [x for x in range(1 << BLOCK_BITS) if x.bit_count() <= RADIUS // BLOCKS]
-        masks = np.array(near, np.uint32)
-        self._of_block = []
+        values = np.arange(1 << BLOCK_BITS, dtype=np.uint16)
+        #: for each block and value one bit per item
+        self._near = []
         for b in range(BLOCKS):
-            own = ((prints >> np.uint64(BLOCK_BITS * b)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint32)
-            value = (own[:, None] ^ masks[None, :]).ravel().astype(np.uint16)  # sorted by radix
-            item = np.repeat(np.arange(len(prints)), len(masks))
-            order = np.argsort(value, kind="stable")
-            starts = np.concatenate([[0], np.cumsum(np.bincount(value, minlength=1 << BLOCK_BITS))])
-            self._of_block.append((starts, item[order]))
+            own = self._block(prints, b)
+            parts = [np.packbits(np.bitwise_count(values[:, None] ^ own[None, i:i + 8 * CHUNK]) <= RADIUS // BLOCKS, axis=1)
+                     for i in range(0, len(own), 8 * CHUNK)]
+            self._near.append(np.concatenate(parts, axis=1))
+
+    @staticmethod
+    def _block(prints: np.ndarray, b: int) -> np.ndarray:
+        return ((prints >> np.uint64(BLOCK_BITS * b)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint16)
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) pairs within the radius, in that order; windows are looked up in blocks."""
@@ -81,13 +86,8 @@ class ItemIndex:
         return np.concatenate([w for w, _ in found]), np.concatenate([i for _, i in found])
 
     def _candidates(self, prints: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
-        marked = np.zeros((len(prints), len(self.prints)), bool)
-        for b, (starts, items) in enumerate(self._of_block):
-            value = ((prints >> np.uint64(BLOCK_BITS * b)) & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
-            low, n = starts[value], starts[value + 1] - starts[value]
-            window = np.repeat(np.arange(len(prints)), n)
-            place = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            marked[window, items[place]] = True
+        bits = reduce(np.bitwise_or, (near[self._block(prints, b)] for b, near in enumerate(self._near)))
+        marked = np.unpackbits(bits, axis=1, count=len(self.prints))
         window, item = np.nonzero(marked)
         near = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
         return window[near] + first, item[near]
