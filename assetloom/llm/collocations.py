@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from assetloom.llm.salting import salt_of, salted_lookup
 from assetloom.llm.text import GOLDEN, WordHashes, like, mixed, whole
@@ -158,11 +158,18 @@ def _unite(support: int):
     return unite
 
 
+def _rows(lang: str, length: int, phrases: list[bytes], counts: np.ndarray) -> pa.Table:
+    n = len(phrases)
+    return pa.Table.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), n), pa.array(np.full(n, length, np.int32)),
+                                 pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())],
+                                schema=like(COUNTED))
+
+
 def _count(bits: int):
     """The exact counts of a shard's candidates, by their words; ``words`` 0 counts all words of a language."""
     stop = np.uint64(WordHashes()[BREAK])
 
-    def counted(lang: str, texts: list[bytes], wanted: np.ndarray) -> Iterator[tuple]:
+    def counted(lang: str, texts: list[bytes], wanted: np.ndarray) -> Iterator[pa.Table]:
         hashes, ids, names = WordHashes(), {}, []
         codes, keys = [], []
         for words in words_of_texts(texts):
@@ -174,7 +181,7 @@ def _count(bits: int):
         if not codes:
             return
         codes, keys = np.concatenate(codes), np.concatenate(keys)
-        yield lang, 0, "", int(np.count_nonzero(keys != stop))
+        yield _rows(lang, 0, [b""], np.array([np.count_nonzero(keys != stop)]))
         marked = np.zeros(1 << 20, bool)
         marked[wanted & np.uint64((1 << 20) - 1)] = True
         phrases, ones = [], np.full(len(codes), -1, np.int64)  # of the last length: its phrase at each position
@@ -192,18 +199,16 @@ def _count(bits: int):
                        [phrases[p >> 32] + b" " + names[p & 0xFFFFFFFF] for p in distinct.tolist()])
             ones = np.full(len(codes), -1, np.int64)
             ones[at] = of
-            for phrase, k in zip(phrases, n.tolist(), strict=True):
-                yield lang, length, phrase.decode(), k
+            yield _rows(lang, length, phrases, n)
 
     def count(key: tuple, rows: pa.Table, candidates: pa.Table) -> pa.Table:
-        out = []
+        out = [_rows("", 0, [], np.empty(0, np.int64))]
         wanted = [np.frombuffer(x, "<u4").astype(np.uint64) | np.uint64(bucket << 32) for bucket, x in zip(
             candidates.column("bucket").to_pylist(), candidates.column("keys").to_pylist(), strict=True)]
         wanted = np.sort(np.concatenate(wanted)) if wanted else np.array([1 << 63], np.uint64)
         for lang, texts in _texts_by_lang(rows).items():
             out += counted(lang, texts, wanted)
-        names = ("lang", "words", "phrase", "n")
-        return pa.Table.from_pylist([dict(zip(names, x, strict=True)) for x in out], like(COUNTED))
+        return pa.concat_tables(out)
     return count
 
 
@@ -226,6 +231,16 @@ def phrase_counts(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
                    .where((F.col("n") >= support) | (F.col("words") == 0)))
 
 
+def _wide(count: Column) -> Column:
+    """A count whose products do not overflow."""
+    return count.cast("decimal(19,0)")
+
+
+def score_of(a: Column, left: Column, right: Column) -> Column:
+    """floor(SCALE * a / (left + right)), exact for counts of any size."""
+    return F.call_function("div", F.lit(SCALE).cast("decimal(7,0)") * _wide(a), _wide(left) + _wide(right))
+
+
 def collocations(docs: DataFrame, support: int = SUPPORT, first: int = FIRST) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the best phrases of 2 to 4 words of each language.
 
@@ -248,9 +263,7 @@ def collocations(docs: DataFrame, support: int = SUPPORT, first: int = FIRST) ->
     side = lambda name, n: phrases.select("lang", F.col("phrase").alias(name), F.col("n").alias(n))
     half = materialize(salted_lookup(cuts, side("left", "l"), ["lang", "left"], salt_of("phrase")), "cuts")
     sides = salted_lookup(half, side("right", "r"), ["lang", "right"], salt_of("phrase"))
-    exact = lambda x: F.col(x).cast("decimal(19,0)")
-    score = F.call_function("div", F.lit(SCALE).cast("decimal(7,0)") * exact("a"), exact("l") + exact("r"))
-    scored = (sides.withColumn("score", score).groupBy("lang", "phrase")
+    scored = (sides.withColumn("score", score_of(F.col("a"), F.col("l"), F.col("r"))).groupBy("lang", "phrase")
                    .agg(F.min(F.struct("score", "k", "a", "l", "r")).alias("cut")).select("lang", "phrase", "cut.*"))
     inner = (long.where("words > 2").select("lang", "a", "own", "words",
                                            F.explode(F.sequence(F.lit(2), F.col("words") - 1)).alias("length"))
@@ -258,7 +271,7 @@ def collocations(docs: DataFrame, support: int = SUPPORT, first: int = FIRST) ->
                          F.explode(F.sequence(F.lit(1), F.col("words") - F.col("length") + 1)).alias("start"))
                  .groupBy("lang", part(F.col("start"), F.col("length")).alias("phrase")).agg(F.max("a").alias("longer")))
     kept = (scored.join(inner, ["lang", "phrase"], "left")
-                  .where(F.col("longer").isNull() | (exact("longer") * 100 < exact("a") * COVERED)))
+                  .where(F.col("longer").isNull() | (_wide(F.col("longer")) * 100 < _wide(F.col("a")) * COVERED)))
     top = top_per_group(kept, ["lang"], [F.desc("score"), F.desc("a"), F.asc("phrase")], first)
     words = counts.where("words = 0").select("lang", "n")
     return top.join(words, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r",
