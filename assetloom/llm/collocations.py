@@ -107,6 +107,18 @@ def _levels(lang: str, hashes: np.ndarray, stop: np.uint64, bits: int) -> Iterat
         yield starts, (high << np.uint64(32)) | (mix & np.uint64(0xFFFFFFFF))
 
 
+def _packed(values: np.ndarray, rising: bool = True) -> bytes:
+    """32-bit values, rising ones as steps, by planes of bytes: the high bytes are mostly 0 and compress well."""
+    steps = np.diff(values.astype("<u4"), prepend=np.uint32(0)) if rising else values.astype("<u4")
+    return np.ascontiguousarray(steps, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(data: bytes, rising: bool = True) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(4, len(data) // 4)
+    values = np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return np.cumsum(values, dtype=np.uint32) if rising else values
+
+
 def _mine(total: int, support: int, bits: int):
     """Locally frequent phrases of each shard: for each bucket one row of sorted keys and their counts."""
     stop = np.uint64(WordHashes()[BREAK])
@@ -127,7 +139,7 @@ def _mine(total: int, support: int, bits: int):
         for bucket in range(1 << bits):  # empty ones too: they tell what the shard may hold unseen
             here = slice(cuts[bucket], cuts[bucket + 1])
             yield {"bucket": bucket, "shard": shard, "support": least,
-                   "keys": keys[here].astype("<u4").tobytes(), "counts": counts[here].astype("<u8").tobytes()}
+                   "keys": _packed(keys[here] & np.uint64(0xFFFFFFFF)), "counts": _packed(counts[here], rising=False)}
 
     def mine(key: tuple, rows: pa.Table) -> pa.Table:
         return pa.Table.from_pylist(list(blocks(key[0].as_py(), _texts_by_lang(rows))), like(MINED))
@@ -141,8 +153,8 @@ def _unite(support: int):
     all it has, so it hears of its own phrases only; the others, fewer than ``support``, hear of all.
     """
     def unite(key: tuple, rows: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, "<u4") for x in rows.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, "<u8") for x in rows.column("counts").to_pylist()]).astype(np.int64)
+        keys = [_unpacked(x) for x in rows.column("keys").to_pylist()]
+        counts = np.concatenate([_unpacked(x, rising=False) for x in rows.column("counts").to_pylist()]).astype(np.int64)
         unseen = rows.column("support").to_numpy() - 1
         distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
         most = np.zeros(len(distinct), np.int64)
@@ -153,7 +165,7 @@ def _unite(support: int):
         for shard, own, end, less in zip(rows.column("shard").to_pylist(), keys, ends, unseen, strict=True):
             told = distinct[wanted] if less else own[wanted[of[end - len(own):end]]]
             if len(told):
-                out.append({"shard": shard, "bucket": key[0].as_py(), "keys": told.tobytes()})
+                out.append({"shard": shard, "bucket": key[0].as_py(), "keys": _packed(told)})
         return pa.Table.from_pylist(out, like(CANDIDATES))
     return unite
 
@@ -203,7 +215,7 @@ def _count(bits: int):
 
     def count(key: tuple, rows: pa.Table, candidates: pa.Table) -> pa.Table:
         out = [_rows("", 0, [], np.empty(0, np.int64))]
-        wanted = [np.frombuffer(x, "<u4").astype(np.uint64) | np.uint64(bucket << 32) for bucket, x in zip(
+        wanted = [_unpacked(x).astype(np.uint64) | np.uint64(bucket << 32) for bucket, x in zip(
             candidates.column("bucket").to_pylist(), candidates.column("keys").to_pylist(), strict=True)]
         wanted = np.sort(np.concatenate(wanted)) if wanted else np.array([1 << 63], np.uint64)
         for lang, texts in _texts_by_lang(rows).items():
