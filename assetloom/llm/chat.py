@@ -78,6 +78,12 @@ def flattened(parts: Column) -> tuple[Column, Column]:
         "array<struct<type:string,ref:string,tokens:bigint>>"))
 
 
+def plain_text(parts: Column) -> Column:
+    """The parts as they came, references for attachments; ties are ordered by it."""
+    return F.coalesce(F.array_join(F.transform(parts, lambda p: F.coalesce(
+        F.when(p["type"].isin(*UNIT_TOKENS), p["ref"]).otherwise(p["text"]), F.lit(""))), ""), F.lit(""))
+
+
 def format_chats(turns: DataFrame, parts: str = "parts") -> DataFrame:
     """One row per conversation and block of ``BLOCK_TURNS`` turns; the blocks of a
     conversation joined in order are its record.
@@ -94,13 +100,16 @@ def format_chats(turns: DataFrame, parts: str = "parts") -> DataFrame:
     body, attached = flattened(F.col(parts))
     role = F.coalesce("role", F.lit(""))
     head = F.concat(F.lit(START), _escaped_role(role), F.lit("\n"))
+    plain = plain_text(F.col(parts))
     told = turns.select(
         "conv_id", F.col("turn").cast("bigint").alias("turn"), role.alias("role"), head.alias("head"),
-        body.alias("body"), attached.alias("attached"))
-    one = F.struct("turn", "role", "body", "head", "attached")
+        body.alias("body"), attached.alias("attached"), F.when(plain != body, plain).alias("plain"))
+    one = F.struct("turn", "role", "body", "head", "attached", "plain")
+    place = lambda t: F.struct(t["turn"], t["role"], F.coalesce(t["plain"], t["body"]))
+    by_place = lambda s, t: F.when(place(s) < place(t), -1).when(place(s) > place(t), 1).otherwise(0)
     block = F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62)))
     blocks = (told.groupBy("conv_id", block.alias("block"))
-                  .agg(F.array_sort(F.collect_list(one)).alias("turns")))
+                  .agg(F.array_sort(F.collect_list(one), by_place).alias("turns")))
     tail = F.lit(END + "\n")
     pieces = F.transform("turns", lambda t: F.concat(t["head"], t["body"], tail))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("out"))

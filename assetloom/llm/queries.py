@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assetloom.llm import (chat, collocations, decontaminate, exact_dedup, licenses, line_dedup, minhash, packing,
                            quality, secrets, sharding, suffix_repeats, vector_codes)
@@ -19,8 +19,10 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    own = [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)]
-    return chat.chat_digests(turns.unionByName(spark.createDataFrame(own, turns.schema)))
+    own = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                F.lit(CONTROL_TEXT).alias("text"))
+    return chat.chat_digests(turns.unionByName(own))
 
 
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,9 +164,9 @@ masked AS (
   SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss,
          regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS safe FROM turns)
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(sum(length(loss)) AS BIGINT) AS loss_chars,
-       sha256(string_agg(loss, '' ORDER BY turn, role, text)) AS loss_sha256,
+       sha256(string_agg(loss, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
        CAST(sum(length('<|im_start|>' || role || chr(10) || safe || '<|im_end|>' || chr(10))) AS BIGINT)
          AS formatted_chars, CAST(0 AS BIGINT) AS media_tokens
 FROM masked GROUP BY conv_id""",
