@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetloom.llm.text import whole
@@ -31,6 +33,42 @@ _SPAN = "struct<start:int,kind:int,end:int>"
 _FAR = 1 << 30
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _walk(items: Column, state: dict[str, Column],
+          step: Callable[[Column, Column], tuple[dict[str, Column], Column]], kind: str) -> Column:
+    """Pass over ``items`` in order and collect what ``step`` tells: the new state and an array of
+    ``kind`` to add, null for none.
+
+    Adding to an array copies it. So the items are taken in blocks of about the root of their number: an array
+    of a block is added to within the block, and once to the array of blocks.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def inner(so_far: Column, item: Column) -> Column:
+        new, told = step(so_far, item)
+        out = F.when(told.isNull(), so_far["out"]).otherwise(F.concat(so_far["out"], told))
+        return F.struct(*(c.alias(n) for n, c in new.items()), out.alias("out"))
+
+    def outer(so_far: Column, block: Column) -> Column:
+        start = F.struct(*(so_far["now"][n].alias(n) for n in state), none.alias("out"))
+        return F.struct(F.aggregate(block, start, inner).alias("now"),
+                        F.concat(so_far["done"], F.array(so_far["now"]["out"])).alias("done"))
+
+    def whole_walk(own: Column) -> Column:
+        width = F.greatest(F.lit(32), F.ceil(F.sqrt(F.size(own))).cast("int"))
+        blocks = F.transform(F.sequence(F.lit(1), F.greatest(F.size(own), F.lit(1)), width), lambda i: F.slice(own, i, width))
+        first = F.struct(F.struct(*(c.alias(n) for n, c in state.items()), none.alias("out")).alias("now"),
+                         F.array().cast(f"array<array<{kind}>>").alias("done"))
+        return F.aggregate(blocks, first, outer,
+                           lambda s: F.flatten(F.concat(s["done"], F.array(s["now"]["out"]))))
+
+    return _let(items, whole_walk)
+
+
 def _spans(text: Column, kind: str, pattern: str, ok=None) -> Column:
     """Leftmost non-overlapping matches as sorted (start, kind, end), in code points.
 
@@ -41,17 +79,15 @@ def _spans(text: Column, kind: str, pattern: str, ok=None) -> Column:
     pieces = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.arrays_zip(pieces.alias("piece"), found.alias("match"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
 
-    def step(so_far: Column, pair: Column) -> Column:
+    def step(so_far: Column, pair: Column) -> tuple[dict[str, Column], Column]:
         begin = so_far["at"] + F.length(pair["piece"])
         end = begin + F.length(pair["match"])
         span = F.array(F.struct(begin.alias("start"), F.lit(number).alias("kind"), end.alias("end")))
         good = pair["match"].isNotNull() if ok is None else pair["match"].isNotNull() & ok(pair["match"])
-        return F.struct(F.coalesce(end, begin).alias("at"),
-                        F.when(good, F.concat(so_far["out"], span)).otherwise(so_far["out"]).alias("out"))
+        return {"at": F.coalesce(end, begin)}, F.when(good, span)
 
-    walked = F.aggregate(pairs, start, step, lambda s: s["out"])
+    walked = _walk(pairs, {"at": F.lit(0)}, step, _SPAN)
     return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
@@ -64,23 +100,21 @@ def _sweep(parts: Column, forward: bool, keep: list[str]) -> Column:
     side = "before" if forward else "after"
     names = [f"{side}_{r}" for r in (ID, SECRET, PLACE)] + [f"{side}_base"]
     none = -_FAR if forward else _FAR
-    kind = f"array<struct<start:int,kind:int,end:int,{','.join(f'{n}:int' for n in (*keep, *names))}>>"
-    state = F.struct(*(F.lit(none).alias(n) for n in names), F.array().cast(kind).alias("out"))
+    kind = f"struct<start:int,kind:int,end:int,{','.join(f'{n}:int' for n in (*keep, *names))}>"
 
-    def step(so_far: Column, part: Column) -> Column:
+    def step(so_far: Column, part: Column) -> tuple[dict[str, Column], Column]:
         edge = part["end"] if forward else part["start"]
         best = F.greatest if forward else F.least
         role = _role(part["kind"])
         told = F.array(F.struct(
             *(part[n].alias(n) for n in ("start", "kind", "end", *keep)), *(so_far[n].alias(n) for n in names)))
-        return F.struct(
-            *(F.when(role == r, best(so_far[f"{side}_{r}"], edge)).otherwise(so_far[f"{side}_{r}"])
-              .alias(f"{side}_{r}") for r in (ID, SECRET, PLACE)),
-            F.when(part["kind"] < len(BASE), best(so_far[f"{side}_base"], edge))
-             .otherwise(so_far[f"{side}_base"]).alias(f"{side}_base"),
-            F.concat(so_far["out"], told).alias("out"))
-
-    return F.aggregate(parts, state, step, lambda s: s["out"])
+        new = {f"{side}_{r}": F.when(role == r, best(so_far[f"{side}_{r}"], edge)).otherwise(so_far[f"{side}_{r}"])
+               for r in (ID, SECRET, PLACE)}
+        new[f"{side}_base"] = F.when(part["kind"] < len(BASE), best(so_far[f"{side}_base"], edge)).otherwise(
+            so_far[f"{side}_base"])
+        return new, told
+
+    return _walk(parts, {n: F.lit(none) for n in names}, step, kind)
 
 
 def _linked(parts: Column, scope: int) -> Column:
