@@ -368,6 +368,12 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # places are told by doc_id, so ids of several texts take no part
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    unclear = materialize(texts.groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
+                          .where("low <> high AND doc_id IS NOT NULL").select("doc_id"), "unclear")
+    if not unclear.isEmpty():
+        texts = texts.join(unclear, "doc_id", "left_anti")
     # ranges of (gram, body) split a gram that very many documents share
     compared = materialize(
         texts.mapInArrow(_region_rows, REGIONS).repartitionByRange(parts, "gram", "body")
@@ -405,7 +411,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     or before it in the same document) goes. Strings are judged on the input.
 
     Null and empty texts have no bytes. Rows repeated whole are one document and get the same
-    result; doc_id must tell different texts apart. Rows without doc_id are left as they are. An
+    result. Rows without doc_id, and those whose doc_id has several different texts, are left as they are and make no
+    other text a repeat. An
     empty table gives no rows; other columns are not read. Hashes decide only which
     regions are compared, but for regions equal as a whole (128 bits).
     """
