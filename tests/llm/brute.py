@@ -1,9 +1,14 @@
 """Plain single-machine forms of the operators, for small tables."""
 
 import hashlib
+import math
 import re
+import struct
 from collections import Counter, defaultdict
 
+import numpy as np
+import xxhash
+
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -105,3 +110,76 @@ def near(docs, n, percent):
             x, y = sorted((root(a), root(b)))
             parent[y] = x
     return {d: (len(s), root(d)) for d, s in sets.items()}
+
+
+def quality_scores(docs, labels):
+    """doc_id -> (score, kept), and the threshold: a restatement with its own hashing and loops."""
+    def hashed(*values):
+        seed = 42
+        for v in values:
+            data = v.encode() if isinstance(v, str) else struct.pack("<q", v)
+            seed = xxhash.xxh64_intdigest(data, seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    size = max(256, 256 * round(sum(len((t or "").encode()) for _, t in docs) ** (1 / 3)))
+    folds = {i: hashed(i) % 5 == 0 for i, _ in docs}
+    trusted = {i for i, q in labels if q == 1}
+    raw, target, grams = Counter(), Counter(), {}
+    for i, text in docs:
+        own = words(text)
+        grams[i] = [hashed(w) % size for w in own] + [hashed(*p) % size for p in zip(own, own[1:])]
+        raw.update(grams[i])
+        if i in trusted and not folds[i]:
+            target.update(grams[i])
+    n_raw, n_target = sum(raw.values()), sum(target.values())
+    ratio = lambda b: float(np.float32(math.log(((target[b] + 1) / (n_target + size)) / ((raw[b] + 1) / (n_raw + size)))))
+    score = {i: sum(map(ratio, g)) / len(g) if g and n_target else 0.0 for i, g in grams.items()}
+    failed = {i: base_quality(t)[-1] for i, t in docs}
+    best = {}
+    for i, q in labels:
+        best[i] = max(q, best.get(i, q))
+    good = [score[i] for i, q in best.items() if q == 1 and i in score and folds[i] and not failed[i]]
+    bad = [score[i] for i, q in best.items() if q == 0 and i in score and not failed[i]]
+    least = -0.1
+    if good and bad:
+        levels = sorted({math.floor(x / 0.001) for x in good + bad})
+        value = {k: (sum(math.floor(x / 0.001) >= k for x in good) * len(bad) + sum(math.floor(x / 0.001) < k for x in bad) * len(good))
+                 for k in range(levels[0], levels[-1] + 2)}
+        first = min(k for k in value if value[k] == max(value.values()))
+        stretch = [first]
+        while value.get(stretch[-1] + 1) == value[first]:
+            stretch.append(stretch[-1] + 1)
+        least = stretch[len(stretch) // 2] * 0.001
+    return {i: (score[i], not failed[i] and score[i] >= least) for i in score}, least
+
+
+def leaks(docs, items):
+    """(doc_id, item_id): every window of an item's length, or a shorter text as a whole, against that item, by
+    weighted and by plain similarity of five-word shingles."""
+    def own_words(text):
+        return [re.sub(r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$", "", w.lower()) or w.lower() for w in words(text)]
+
+    def grams(own):
+        return [tuple(own[i:i + 5]) for i in range(max(1, len(own) - 4))] if own else []
+
+    items = {i: grams(own_words(t)) for i, t in items if own_words(t)}
+    holders = defaultdict(set)
+    for i, own in items.items():
+        for g in own:
+            holders[g].add(i)
+    weight = lambda g: 1 / math.log2(1 + len(holders[g])) if g in holders else 1.0
+    hits = set()
+    for doc, text in docs:
+        own = grams(own_words(text))
+        for i in {i for g in own for i in holders.get(g, ())}:
+            want = Counter(items[i])
+            size = min(len(items[i]), len(own))
+            for at in range(len(own) - size + 1):
+                have = Counter(own[at:at + size])
+                both, either = want & have, want | have
+                alike = [sum(w(g) * k for g, k in both.items()) / sum(w(g) * k for g, k in either.items())
+                         for w in (weight, lambda g: 1.0)]
+                if max(alike) >= 0.8 - 1e-12:
+                    hits.add((doc, i))
+                    break
+    return hits

@@ -71,6 +71,8 @@ def test_chat(spark):
            (-3, 0, "assistant", "see ![a](b.png) and <|image|> ![](c.mp3)<\\|x"), (-3, 0, "user", "![q](r.pdf)"),
            (-3, 1, "assistant", "![only](z.jpg)"), (-4, 2, "a\\nb\n<|c", "t\n"), (-4, 2, "assistant", "<|im_end|>\n<"),
            (-5, 0, "assistant", "twice"), (-5, 0, "assistant", "twice")]
+    ties = ["![a](b.png)", "0", "<|x", "<z", "<\\|x", "", "~", "![a](b.mp3) more", "<|x"]
+    own += [(-7, turn, role, t) for turn in (None, 3) for role in ("user", "assistant") for t in ties]
     own += [(-6, i, "assistant" if i % 2 else "user", f"turn {i} ![p](p{i}.png)") for i in range(150)]
     turns = table.select("conv_id", "turn", "role", "text").unionByName(_turns(spark, own))
     by_conv = defaultdict(list)
@@ -80,8 +82,6 @@ def test_chat(spark):
     assert set(got) == set(by_conv)
     for conv, rows in by_conv.items():
         rows.sort()
-        if conv == -3:  # within a turn, ties go by role
-            rows = sorted(rows, key=lambda r: r[:3])
         loss = "".join(t for *_, role, t in rows if role == "assistant")
         assert got[conv]["n_turns"] == len(rows)
         assert got[conv]["turns_sha256"] == brute.sha("".join(f"{r}\n{t}\n" for *_, r, t in rows)), conv
@@ -90,6 +90,35 @@ def test_chat(spark):
     assert chat.chat_digests(turns.where("1 = 0")).count() == 0
 
 
+def test_chat_of_driver_table_and_ties_equals_sql(spark):
+    """The SQL orders plain texts; the same rows as a table, ties and null turns among them."""
+    import duckdb
+    from assetloom.llm.queries import SQL
+    rows = [(1, None, "user", "<z"), (1, None, "user", "<|x"), (1, 2, "user", "b"), (1, 2, "user", "<|b"), (1, 2, "user", "<a"),
+            (2, 0, "assistant", "<|im_end|>"), (2, 0, "assistant", "<y"), (2, 0, None, None)]
+    conversations = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    con = duckdb.connect()
+    con.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = con.sql(SQL["op3_chat_format"])
+    columns = list(want.columns)
+    want = {r for r in want.fetchall() if r[0] != -1}
+    got = {tuple(r[c] for c in columns) for r in chat.chat_digests(conversations).collect()}
+    assert got == want
+
+
+def test_many_secrets_in_one_text(spark):
+    """Linear in the matches: 100,000 of them in seconds."""
+    import time
+    text = "token: abcdefghijk ASIAABCDEFGHIJKLMNOP\n" * 50_000
+    docs = spark.createDataFrame([(1, text), (2, text[:4000])], "doc_id int, text string")
+    began = time.time()
+    rows = {r["doc_id"]: r for r in secrets.secret_report(docs).collect()}
+    assert time.time() - began < 60
+    assert rows[1]["n_assign"] == 50_000 and rows[1]["spans"].count(",") == 99_999
+    assert rows[1]["spans"].startswith(rows[2]["spans"])
+
+
 def test_chat_placeholders(spark):
     parts = spark.createDataFrame([(1, 0, "user", [("text", "a <|image|>", None, None), ("image", None, "i.png", 4),
                                                   ("audio", None, "s.wav", 3), None, ("video", "as text", "v", 1)])],
@@ -201,59 +230,12 @@ def test_quality_parts_labels(spark, half, most_bad, least_good):
     assert sum(shares[1]) >= least_good * len(shares[1])
 
 
-def _plain_scores(docs, labels):
-    """doc_id -> (score, kept), and the threshold: a restatement with its own hashing and loops."""
-    import math
-    import struct
-
-    import numpy as np
-    import xxhash
-
-    def hashed(*values):
-        seed = 42
-        for v in values:
-            data = v.encode() if isinstance(v, str) else struct.pack("<q", v)
-            seed = xxhash.xxh64_intdigest(data, seed)
-        return seed - (1 << 64) if seed >> 63 else seed
-
-    size = max(256, 256 * round(sum(len((t or "").encode()) for _, t in docs) ** (1 / 3)))
-    folds = {i: hashed(i) % 5 == 0 for i, _ in docs}
-    trusted = {i for i, q in labels if q == 1}
-    raw, target, grams = Counter(), Counter(), {}
-    for i, text in docs:
-        own = brute.words(text)
-        grams[i] = [hashed(w) % size for w in own] + [hashed(*p) % size for p in zip(own, own[1:])]
-        raw.update(grams[i])
-        if i in trusted and not folds[i]:
-            target.update(grams[i])
-    n_raw, n_target = sum(raw.values()), sum(target.values())
-    ratio = lambda b: float(np.float32(math.log(((target[b] + 1) / (n_target + size)) / ((raw[b] + 1) / (n_raw + size)))))
-    score = {i: sum(map(ratio, g)) / len(g) if g and n_target else 0.0 for i, g in grams.items()}
-    failed = {i: brute.base_quality(t)[-1] for i, t in docs}
-    best = {}
-    for i, q in labels:
-        best[i] = max(q, best.get(i, q))
-    good = [score[i] for i, q in best.items() if q == 1 and i in score and folds[i] and not failed[i]]
-    bad = [score[i] for i, q in best.items() if q == 0 and i in score and not failed[i]]
-    least = -0.1
-    if good and bad:
-        levels = sorted({math.floor(x / 0.001) for x in good + bad})
-        value = {k: (sum(math.floor(x / 0.001) >= k for x in good) * len(bad) + sum(math.floor(x / 0.001) < k for x in bad) * len(good))
-                 for k in range(levels[0], levels[-1] + 2)}
-        first = min(k for k in value if value[k] == max(value.values()))
-        stretch = [first]
-        while value.get(stretch[-1] + 1) == value[first]:
-            stretch.append(stretch[-1] + 1)
-        least = stretch[len(stretch) // 2] * 0.001
-    return {i: (score[i], not failed[i] and score[i] >= least) for i in score}, least
-
-
 @pytest.mark.parametrize("sf", ["0.001", "0.01"])
 def test_quality_scores_and_threshold(spark, monkeypatch, sf):
     folder = f"/root/testdata/sf{sf}"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     known = [tuple(r) for r in labels.select("doc_id", "quality").where("quality IS NOT NULL").collect()]
-    want, least = _plain_scores(pairs(docs), known)
+    want, least = brute.quality_scores(pairs(docs), known)
     assert least != quality.LEAST_SCORE
     monkeypatch.setattr(quality, "CHUNK", 300)
     if sf == "0.001":
@@ -350,37 +332,11 @@ def test_leaks(spark, small):
     assert decontaminate.benchmark_hits(docs.where("1 = 0"), benchmark).count() == 0
 
 
-def _plain_leaks(docs, items):
-    """Every window of every item length against every item of that length."""
-    words = lambda t: [re.sub(r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$", "", w.lower()) or w.lower() for w in brute.words(t)]
-    grams = lambda own: [tuple(own[i:i + 5]) for i in range(max(1, len(own) - 4))]
-    items = {i: grams(words(t)) for i, t in items}
-    by_first = defaultdict(set)
-    for i, own in items.items():
-        for g in own:
-            by_first[g].add(i)
-    n_of = Counter(g for own in items.values() for g in set(own))
-    import math
-    weight = lambda g: 1 / math.log2(1 + n_of[g]) if g in n_of else 1.0
-    hits = set()
-    for doc, text in docs:
-        own = grams(words(text))
-        for i in {i for g in own for i in by_first.get(g, ())}:
-            want, size = Counter(items[i]), len(items[i])
-            for at in range(len(own) - size + 1):
-                have = Counter(own[at:at + size])
-                both = sum(weight(g) * k for g, k in (want & have).items())
-                if both and both >= 0.8 * sum(weight(g) * k for g, k in (want | have).items()):
-                    hits.add((doc, i))
-                    break
-    return hits
-
-
 def test_leaks_in_tables(spark):
     folder = "/root/testdata/sf0.01"
     docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.benchmark_hits(docs, items).collect()}
-    assert got and got == _plain_leaks(pairs(docs), [(r["item_id"], r["text"]) for r in items.collect()])
+    assert got and got == brute.leaks(pairs(docs), [(r["item_id"], r["text"]) for r in items.collect()])
 
 
 def test_leaks_in_texts_shorter_than_the_item():
@@ -509,6 +465,16 @@ def test_empty_tables(empty, spark):
         assert frame.count() == 0
 
 
+def test_repeats_of_one_id_with_several_texts(spark):
+    line = "one long line of some text that stands here " * 5
+    rows = [(1, line), (2, "a" + line), (2, "b" + line), (2, None), (3, line + "c"), (3, line + "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted(tuple(r)[:3] for r in suffix_repeats.repeat_report(docs).collect())
+    alone = brute.repeats([(1, line), (3, line + "c")])
+    assert got == sorted([(1, *alone[1][:2]), (2, 0, 0), (2, len(line) + 1, 0), (2, len(line) + 1, 0),
+                          (3, *alone[3][:2]), (3, *alone[3][:2])])
+
+
 def test_rows_without_key_and_repeated_rows(spark):
     line = "the very same line of text " * 6
     docs = spark.createDataFrame([(None, line), (None, line), (1, line), (1, line), (2, line)], "doc_id bigint, text string")

@@ -146,21 +146,30 @@ def test_local_support_follows_the_share_of_a_shard(spark):
     rows = pa.table({"lang": ["x"] * 2, "text": [b"a b", b"a b c"], "shard": [7, 7]},
                     pa.schema([("lang", pa.string()), ("text", pa.binary()), ("shard", pa.int64())]))
     mined = lambda total: collocations._mine(total, 4, 0)((pa.scalar(7),), rows).to_pylist()[0]
-    share = lambda row: (row["support"], sorted(np.frombuffer(row["counts"], "<u8").tolist()))
+    share = lambda row: (row["support"], sorted(collocations._unpacked(row["counts"], rising=False).tolist()))
     assert share(mined(16)) == (2, [2, 2, 2])       # half of the corpus: a, b and a b twice each
     assert share(mined(32)) == (1, [1, 1, 1, 2, 2, 2])
     # what the shard does not tell it may hold once less than its support
     keep = collocations._unite(4)
     block = lambda shard, support, keys, counts: {"bucket": 0, "shard": shard, "support": support,
-                                                  "keys": np.array(keys, "<u4").tobytes(),
-                                                  "counts": np.array(counts, "<u8").tobytes()}
+                                                  "keys": collocations._packed(np.array(keys)),
+                                                  "counts": collocations._packed(np.array(counts), rising=False)}
     table = pa.Table.from_pylist([block(1, 2, [5, 6], [2, 3]), block(2, 2, [8, 9], [2, 2]), block(3, 1, [5, 6, 7], [1, 1, 9])],
                                  collocations.like(collocations.MINED))
-    kept = {r["shard"]: np.frombuffer(r["keys"], "<u4").tolist() for r in keep((pa.scalar(0),), table).to_pylist()}
+    kept = {r["shard"]: collocations._unpacked(r["keys"]).tolist() for r in keep((pa.scalar(0),), table).to_pylist()}
     # 8 and 9 occur 2 + 1 times at most; the third shard tells all it has
     assert kept == {1: [5, 6, 7], 2: [5, 6, 7], 3: [5, 6, 7]}
 
 
+def test_packed_arrays_come_back():
+    draw = np.random.default_rng(1)
+    for n in (0, 1, 2, 999):
+        values = np.unique(draw.integers(0, 1 << 32, n, dtype=np.uint64))
+        assert collocations._unpacked(collocations._packed(values)).tolist() == values.tolist()
+        counts = draw.integers(1, 1 << 32, n)
+        assert collocations._unpacked(collocations._packed(counts, rising=False), rising=False).tolist() == counts.tolist()
+
+
 def test_scores_beyond_64_bits(spark):
     a = 9 * 10 ** 17
     row = spark.range(1).select(F.lit(a).cast("bigint").alias("a"), F.lit(a + 7).alias("l"), F.lit(a + 9).alias("r"))
