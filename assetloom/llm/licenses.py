@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -14,63 +13,113 @@ from pyspark.sql import DataFrame, functions as F
 
 from assetloom.llm.text import like
 
-# Notices by which well-known licenses are announced.
+_GPL = ("This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} "
+        "as published by the Free Software Foundation, either version {version} of the License, or (at your option) any "
+        "later version.")
+_CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+
+# Notices by which well-known licenses are announced, and sentences of their texts.
 TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files, to deal in the Software without restriction.",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        "of the Software.",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
+        "on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+    ),
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        _GPL.format(what="program", name="General Public License", version="2"),
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-        "General Public License as published by the Free Software Foundation, either version 3 of the License, "
-        "or (at your option) any later version.",
+        _GPL.format(what="program", name="General Public License", version="3"),
+    ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        _GPL.format(what="library", name="Lesser General Public License", version="2.1"),
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        _GPL.format(what="library", name="Lesser General Public License", version="3"),
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        _GPL.format(what="program", name="Affero General Public License", version="3"),
+    ),
+    "BSD-2-Clause": (
+        "Licensed under the BSD 2-Clause License.",
     ),
     "BSD-3-Clause": (
         "Licensed under the BSD 3-Clause License.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
+    # the opening of both
+    "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met.",
     ),
-    "CC-BY-4.0": (
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
+    "ISC": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
-    "CC-BY-SA-4.0": (
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-        "Licensed under CC BY-SA 4.0.",
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
     ),
-    "CC-BY-NC-4.0": (
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-        "Licensed under CC BY-NC 4.0.",
+    "CC0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work.",
     ),
+    "CC-BY-4.0": (_CC.format("Attribution"), "Licensed under CC BY 4.0."),
+    "CC-BY-SA-4.0": (_CC.format("Attribution-ShareAlike"), "Licensed under CC BY-SA 4.0."),
+    "CC-BY-NC-4.0": (_CC.format("Attribution-NonCommercial"), "Licensed under CC BY-NC 4.0."),
+    "CC-BY-ND-4.0": (_CC.format("Attribution-NoDerivatives"), "Licensed under CC BY-ND 4.0."),
+    "CC-BY-NC-SA-4.0": (_CC.format("Attribution-NonCommercial-ShareAlike"), "Licensed under CC BY-NC-SA 4.0."),
+    "CC-BY-NC-ND-4.0": (_CC.format("Attribution-NonCommercial-NoDerivatives"), "Licensed under CC BY-NC-ND 4.0."),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    ),
     "reserved": (
         "All rights reserved.",
     ),
 }
+#: Licenses that a line of this form may name.
+_TAG = "SPDX-License-Identifier: {}"
+TEMPLATES = {name: texts if name in ("BSD", "reserved") else (*texts, _TAG.format(name)) for name, texts in TEMPLATES.items()}
 
 #: Words one of which a text must hold to be looked at; each template has some. Any white space, line
 #: break or comment mark may stand between them.
 TRIGGERS = "(?i)" + "|".join(x.replace(" ", r"\W+") for x in (
     "licen[sc]e", "creative commons", "permission is hereby granted", "all rights reserved", "redistribution and use",
-    "free software"))
+    "free software", "permission to use", "permission notice", "public domain", "waived all copyright", "endorse or promote"))
 #: Share of a template's words that may be missing, changed or strange, if none of them decides.
 MOST_DIFFERENT = 0.1
 
+#: Templates that a block's compression puts first; only they are confirmed. Those of one family of licenses differ by a
+#: word or two, so all of a family must find room.
+LEADING = 8
+#: Words on either side of a trigger of the narrow block, for templates of one line.
+NARROW = 12
+
 HITS = ("doc_id bigint, line bigint, start bigint, end bigint, license string, saved double, rank int, "
         "n_missing bigint, n_strange bigint, wording string")
 
 #: Words that tell licenses apart, besides numbers: a template's own may not differ, and none may be added.
 NAMES = frozenset("""mit apache gnu general lesser library affero bsd clause mozilla creative commons cc by sa nc nd cc0
-    attribution sharealike noncommercial noderivatives noderivs eclipse isc unlicense zero boost spdx""".split())
+    attribution sharealike noncommercial noderivatives noderivs eclipse isc unlicense zero boost spdx gpl lgpl agpl mpl
+    epl""".split())
 
 _WORD = re.compile(r"\w[\w.+]*\w|\w")
 _NUMBER = re.compile(r"v?\.?(\d+(?:\.\d+)*?)(?:\.0)*")
@@ -95,7 +144,7 @@ class Templates:
         options = {"level": 3, "write_content_size": False, "write_dict_id": False, "write_checksum": False}
         self._plain = zstandard.ZstdCompressor(**options)
         self.rows = []
-        self._seen: dict[tuple[str, ...], list[tuple]] = {}
+        self._seen: dict[tuple, list[tuple]] = {}
         for name, texts in templates.items():
             for text in texts:
                 words = [_plain(w) for w in _WORD.findall(text)]
@@ -138,14 +187,21 @@ class Templates:
                 at_a, at_b = b.a + b.size, b.b + b.size
         return first, end, len(want) - same, strange, " ".join(notes), any(map(_decides, differ))
 
-    def confirmed(self, part: tuple[str, ...]) -> list[tuple]:
-        """Templates found in a block: order, first word, end, name, share saved, rank, missing, strange, differences."""
-        hits, held = [], Counter(part)
-        for rank, (saved, i) in enumerate(self.ranked(" ".join(part)), 1):
+    def leading(self, part: tuple[str, ...], at: int) -> list[tuple[float, int]]:
+        """(share saved, template) of the ``LEADING`` templates of the block, and of the narrow block around word
+        ``at``, best first: text around a short notice hides what its template saves."""
+        best: dict[int, tuple[int, float]] = {}
+        for words in (part, part[max(0, at - NARROW):at + NARROW]):
+            for rank, (saved, i) in enumerate(self.ranked(" ".join(words))[:LEADING]):
+                best[i] = min(best.get(i, (rank, -saved)), (rank, -saved))
+        return [(-saved, i) for (_, saved), i in sorted((v, i) for i, v in best.items())]
+
+    def confirmed(self, part: tuple[str, ...], at: int) -> list[tuple]:
+        """Templates found in a block around word ``at``: order, first word, end, name, share saved, rank, missing,
+        strange, differences."""
+        hits = []
+        for rank, (saved, i) in enumerate(self.leading(part, at), 1):
             name, want, _ = self.rows[i]
-            # the saving only ranks: text around a short notice hides it. An exact bound rules out the others.
-            if len(want) - sum((Counter(want) & held).values()) > MOST_DIFFERENT * len(want):
-                continue
             first, end, missing, strange, notes, other = self.wording(list(part), i)
             if not other and missing + strange <= MOST_DIFFERENT * len(want):
                 key = (missing - len(want), missing + strange, rank)
@@ -166,13 +222,13 @@ class Templates:
                 continue
             looked = middle
             low = max(0, middle - reach)
-            part = tuple(words[low:middle + reach])
-            if part not in self._seen:
+            block = tuple(words[low:middle + reach]), middle - low
+            if block not in self._seen:
                 if len(self._seen) > 10_000:
                     self._seen.clear()
-                self._seen[part] = self.confirmed(part)
+                self._seen[block] = self.confirmed(*block)
             hits += [(key, found[low + first].start(), ends[low + end - 1], *rest)
-                     for key, first, end, *rest in self._seen[part]]
+                     for key, first, end, *rest in self._seen[block]]
         out: list[tuple] = []
         for _, start, end, *rest in sorted(hits):
             if all(end <= a or b <= start for a, b, *_ in out):
@@ -187,8 +243,8 @@ def license_hits(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None =
 
     A notice may span lines; only words count, so white space, line breaks and comment marks between them do
     not matter. Around each trigger word a block is compressed alone
-    and with every template as raw zstandard dictionary; templates are ranked by the bytes they save,
-    and confirmed by the exact difference in words. Among the confirmed the
+    and with every template as raw zstandard dictionary; templates are ranked by the bytes they save, in this block and in
+    a narrow one for short notices. The ``LEADING`` ones of each are confirmed by the exact difference in words, no others. Among the confirmed the
     ones that explain most words win, then the fewest differences, then the rank; hits of a text do not overlap.
 
     Only documents that hold a trigger leave the JVM; nothing is shuffled. Null and empty texts
