@@ -21,57 +21,66 @@ MAX_TOP_ROWS = 10_000
 _IN_PARTITION_BITS = 33  # documented layout of monotonically_increasing_id
 
 
+#: Chained ``running`` calls that one plan holds; each computes its input twice.
+CHAINED = 2
+
+
 class CutGroups:
     """Rows of a table cut into ranges; see ``cut_groups``."""
 
-    def __init__(self, rows: DataFrame, order: Sequence[str], written: bool):
-        self._rows, self._order, self._written = rows, list(order), written
+    def __init__(self, rows: DataFrame, order: Sequence[str], chained: int):
+        self._rows, self._order, self._chained = rows, list(order), chained
 
     def running(self, *, sums: dict[str, Column] | None = None,
                 maxes: dict[str, Column] | None = None,
+                earlier: dict[str, Column] | None = None,
                 lags: dict[str, Column] | None = None) -> CutGroups:
-        """Add running sums (inclusive, from 0), running maxima (inclusive) and
-        previous-row values.
+        """Add running sums (inclusive, from 0), running maxima (inclusive; ``earlier``: of the rows
+        before) and previous-row values.
 
-        The rows are read twice; those of an earlier ``running`` are written first, so
-        chained calls do not multiply the plan.
+        The rows are shuffled once, by group and range, for ``CHAINED`` calls in a row; before a further
+        call they are written, so that longer chains do not multiply the plan.
         """
-        sums, maxes, lags = sums or {}, maxes or {}, lags or {}
-        rows = self._rows if self._written else materialize(self._rows, "running")
+        sums, maxes, earlier, lags = sums or {}, maxes or {}, earlier or {}, lags or {}
+        tops = {**maxes, **earlier}
+        full = self._chained >= CHAINED
+        rows = materialize(self._rows, "running") if full else self._rows
         cut = rows.withColumns(
-            {f"_in_{name}": col for name, col in {**sums, **maxes, **lags}.items()})
+            {f"_in_{name}": col for name, col in {**sums, **tops, **lags}.items()})
         by_piece = W.partitionBy("_group", "_piece").orderBy(*self._order)
         so_far = by_piece.rowsBetween(W.unboundedPreceding, 0)
+        before = by_piece.rowsBetween(W.unboundedPreceding, -1)
         local = cut.withColumns({
             **{n: F.coalesce(F.sum(f"_in_{n}").over(so_far), F.lit(0)) for n in sums},
             **{n: F.max(f"_in_{n}").over(so_far) for n in maxes},
+            **{n: F.max(f"_in_{n}").over(before) for n in earlier},
             **{n: F.lag(f"_in_{n}").over(by_piece) for n in lags},
         })
-        inputs = [f"_in_{n}" for n in (*sums, *maxes, *lags)]
+        inputs = [f"_in_{n}" for n in (*sums, *tops, *lags)]
         if lags:
             local = local.withColumn("_first", F.row_number().over(by_piece) == 1)
         totals = (
             [F.sum(f"_in_{n}").alias(f"_c_{n}") for n in sums]
-            + [F.max(f"_in_{n}").alias(f"_c_{n}") for n in maxes]
+            + [F.max(f"_in_{n}").alias(f"_c_{n}") for n in tops]
             + [F.max_by(F.struct(f"_in_{n}"), F.struct(*self._order)).alias(f"_c_{n}")
                for n in lags])
         in_order = W.partitionBy("_group").orderBy("_piece")
-        earlier = in_order.rowsBetween(W.unboundedPreceding, -1)
+        pieces_before = in_order.rowsBetween(W.unboundedPreceding, -1)
         # only a key that crosses into a range has a row here, at most one per range
         carry = (cut.groupBy("_group", "_piece").agg(*totals)
                     .select("_group", "_piece", F.row_number().over(in_order).alias("_nth_piece"),
-                            *(F.sum(f"_c_{n}").over(earlier).alias(f"_c_{n}") for n in sums),
-                            *(F.max(f"_c_{n}").over(earlier).alias(f"_c_{n}") for n in maxes),
-                            *(F.last(f"_c_{n}").over(earlier).alias(f"_c_{n}") for n in lags))
+                            *(F.sum(f"_c_{n}").over(pieces_before).alias(f"_c_{n}") for n in sums),
+                            *(F.max(f"_c_{n}").over(pieces_before).alias(f"_c_{n}") for n in tops),
+                            *(F.last(f"_c_{n}").over(pieces_before).alias(f"_c_{n}") for n in lags))
                     .where("_nth_piece > 1").drop("_nth_piece"))
         joined = local.join(carry, ["_group", "_piece"], "left").withColumns({
             **{n: F.col(n) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in sums},
-            **{n: F.greatest(n, f"_c_{n}") for n in maxes},
+            **{n: F.greatest(n, f"_c_{n}") for n in tops},
             **{n: F.when(F.col("_first"), F.col(f"_c_{n}")[f"_in_{n}"]).otherwise(F.col(n))
                for n in lags},
         })
-        carried = [f"_c_{n}" for n in (*sums, *maxes, *lags)]
-        return CutGroups(joined.drop("_first", *inputs, *carried), self._order, False)
+        carried = [f"_c_{n}" for n in (*sums, *tops, *lags)]
+        return CutGroups(joined.drop("_first", *inputs, *carried), self._order, 1 if full else self._chained + 1)
 
     def rows(self) -> DataFrame:
         return self._rows.drop("_group", "_piece")
@@ -89,42 +98,34 @@ def cut_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ranged = df.repartitionByRange(pieces, *by) if pieces else df.repartitionByRange(*by)
     piece = F.shiftright(F.monotonically_increasing_id(), _IN_PARTITION_BITS).cast("int")
     placed = materialize(ranged.withColumn("_piece", piece), "pieces")
-    return CutGroups(placed.withColumn("_group", F.struct(*keys)), order, True)
+    return CutGroups(placed.withColumn("_group", F.struct(*keys)), order, 0)
 
 
 def number_rows(df: DataFrame, order: Sequence[str | Column], *, start: int = 1,
                 group: Sequence[str] = (), name: str = "n") -> DataFrame:
-    """Consecutive numbers over the whole table, or per ``group``, in ``order``.
+    """Consecutive numbers over the whole table, or per ``group``, in ``order``, a total order.
 
     Range partitioning spreads any key distribution over the tasks; the sorted
-    table is written once, and each partition's offset comes from a count of at
-    most one row per partition (and group). ``order`` must be a total order.
+    table is written once, and each partition's offset comes from a count of one
+    row per partition. Groups are numbered by ``cut_groups``, where only a group that crosses
+    into a range needs an offset; ``order`` then names columns.
     """
-    by = [*group, *order]
+    if group:
+        counted = cut_groups(df, group, order).running(sums={"_nth": F.lit(1)}).rows()
+        return counted.withColumn(name, (F.col("_nth") + (start - 1)).cast("bigint")).drop("_nth")
     placed = materialize(
-        df.repartitionByRange(*by).sortWithinPartitions(*by)
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
           .withColumn("_slot", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_slot", _IN_PARTITION_BITS)
-    if not group:
-        # one row per range partition, so both the window and broadcast are small
-        sizes = placed.groupBy(part.alias("_part")).agg(
-            F.count(F.lit(1)).alias("_rows"), F.min("_slot").alias("_from"))
-        before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-        offsets = sizes.select(
-            "_part", "_from", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-        numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    else:
-        placed = placed.withColumns({"_part": part, "_group": F.struct(*group)})
-        sizes = placed.groupBy("_group", "_part").agg(
-            F.count(F.lit(1)).alias("_rows"), F.min("_slot").alias("_from"))
-        before = W.partitionBy("_group").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-        offsets = sizes.select(
-            "_group", "_part", "_from",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-        numbered = placed.join(offsets, ["_group", "_part"])
+    # one row per range partition, so both the window and broadcast are small
+    sizes = placed.groupBy(part.alias("_part")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_slot").alias("_from"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_part", "_from", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     number = F.lit(start) + F.col("_before") + F.col("_slot") - F.col("_from")
-    return numbered.withColumn(name, number.cast("bigint")).drop(
-        "_slot", "_part", "_group", "_from", "_before")
+    return numbered.withColumn(name, number.cast("bigint")).drop("_slot", "_part", "_from", "_before")
 
 
 def shuffle_key(col: Column, seed: int) -> Column:

@@ -16,7 +16,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetloom.functions import dates as D, numbers as N, strings as S
-from assetloom.operators.ordering import cut_groups, top_per_group
+from assetloom.operators.ordering import top_per_group
+from assetloom.operators.spacing import keep_spaced
 
 # Patterns in order of precedence, with the label of each.
 ERROR_RULES = (
@@ -114,18 +115,11 @@ def progress_table(log: DataFrame, line: str = "line") -> DataFrame:
 
 
 def throttled_progress(progress: DataFrame, key: Sequence[str], order: Sequence[str], *,
-                       min_seconds: float = 0.5, min_points: float = 0.5,
-                       pieces: int | None = None) -> DataFrame:
-    """Rows at least ``min_seconds`` or ``min_points`` away from the row before,
-    or at 99 % and above. ``order[0]`` is the time. The streaming form compares
-    with the last row that was let through."""
-    at = F.col(order[0]).cast("timestamp").cast("double")
-    stepped = (cut_groups(progress, key, order, pieces)
-               .running(lags={"_at_before": at, "_before": F.col("percent")}).rows())
-    let_through = (F.col("_at_before").isNull() | (at - F.col("_at_before") >= min_seconds)
-                   | (F.abs(F.col("percent") - F.col("_before")) >= min_points)
-                   | (F.col("percent") >= 99))
-    return stepped.where(let_through).drop("_at_before", "_before")
+                       min_seconds: float = 0.5, min_points: float = 0.5) -> DataFrame:
+    """Rows at least ``min_seconds`` or ``min_points`` away from the last row let through, or at 99 % and
+    above. ``order[0]`` is the time; the rest makes the order total."""
+    return keep_spaced(progress, key, order, "percent", min_seconds=min_seconds, min_change=min_points,
+                       always=F.col("percent") >= 99)
 
 
 def error_report(log: DataFrame, run: str = "run_id", pos: str = "pos", line: str = "line",

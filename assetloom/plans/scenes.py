@@ -21,13 +21,10 @@ def number_scenes(frames: DataFrame, video: str, order: list[str], score: str,
     none (``order[0]`` is then the frame number).
     """
     cut = F.coalesce(F.col(score) >= threshold, F.lit(False))
-    groups = cut_groups(frames, [video], order, pieces).running(sums={"_nth": F.lit(1)})
+    last_cut = {"_cut_before": F.when(cut, F.col(order[0]))} if min_len > 0 else {}
+    groups = cut_groups(frames, [video], order, pieces).running(sums={"_nth": F.lit(1)}, earlier=last_cut)
     if min_len > 0:
-        # the last cut up to here, seen from the next row, is the last cut before it
-        groups = (groups.running(maxes={"_cut_at": F.when(cut, F.col(order[0]))})
-                        .running(lags={"_cut_before": F.col("_cut_at")}))
-        near = F.coalesce(F.col(order[0]) - F.col("_cut_before") < min_len, F.lit(False))
-        cut = cut & ~near
+        cut = cut & ~F.coalesce(F.col(order[0]) - F.col("_cut_before") < min_len, F.lit(False))
     starts = F.when(cut & (F.col("_nth") > 1), 1).otherwise(0)
     return (groups.running(sums={"_cuts": starts}).rows()
             .select(*frames.columns, (F.col("_cuts") + 1).cast("bigint").alias("scene_no")))
