@@ -8,10 +8,11 @@ from pyspark.sql import Column, functions as F
 PROBE = """struct<streams:array<struct<codec_type:string,avg_frame_rate:string,
 nb_frames:string,duration:string>>>""".replace("\n", "")
 ASSET_PAGE = """struct<data:array<struct<attributes:struct<id:string,
-tags:array<struct<name:string>>,video:struct<download_link:string>>>>>""".replace("\n", "")
+description:string,tags:array<struct<name:string>>,video:struct<download_link:string>,
+image:struct<download_link:string>>>>>""".replace("\n", "")
 CLIP_PAGE = """struct<data:struct<clipList:struct<exactResults:array<struct<id:string,
-clipName:string,clipPath:string,duration:bigint,width:int,height:int,
-orientation:string>>>>>""".replace("\n", "")
+clipName:string,clipPath:string,duration:bigint,width:int,height:int,orientation:string,
+availableFormats:array<struct<id:string,displayName:string>>>>>>>""".replace("\n", "")
 MOMENT = """struct<data:struct<moment:struct<videoInfo:struct<videoTitle:string,
 definitions:array<struct<defName:string,url:string,m3u8:string>>>>>>""".replace("\n", "")
 LEDGER_MAP = """map<string,struct<url:string,status:int,title:string,

@@ -121,16 +121,31 @@ def base_url(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, "[?#].*", ""), "/[^/]*$", "/")
 
 
+def without_dots(path: Column) -> Column:
+    """The path with ``.`` and ``..`` parts resolved; ``..`` above the root is dropped."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, part:
+                       F.when(part == ".", done)
+                        .when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+                        .otherwise(F.concat(done, F.array(part))))
+    return F.concat(F.array_join(kept, "/"), F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise(""))
+
+
 def join_url(base: Column, ref: Column) -> Column:
-    """Absolute references pass; ``//host/x`` takes the scheme of ``base``, ``/x`` is resolved on
-    its host, ``?q`` on its path, others on its folder. ``../`` is not resolved."""
-    host = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)//", 1)
-    return (F.when(ref.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), ref)
+    """``ref`` as seen from ``base``: absolute references pass; ``//host/x`` takes the scheme of
+    ``base``, ``/x`` is resolved on its host, ``?q`` on its path, ``#f`` on all of it, others on its folder. ``.`` and
+    ``..`` parts are resolved (RFC 3986, 5.2)."""
+    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+    host = F.regexp_extract(base, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(//[^/?#]*)", 1)
+    rest = F.substring(base, F.length(scheme) + F.length(host) + 1, F.length(base))
+    base_path, base_query = F.regexp_extract(rest, r"^[^?#]*", 0), F.regexp_extract(rest, r"^[^?#]*(\?[^#]*)", 1)
+    path, tail = F.regexp_extract(ref, r"^[^?#]*", 0), F.regexp_extract(ref, r"^[^?#]*(.*)$", 1)
+    folder = F.when((base_path == "") & (host != ""), "/").otherwise(F.regexp_extract(base_path, r"^(.*/)?", 0))
+    whole = (F.when(path == "", F.concat(base_path, F.when(tail.startswith("?"), "").otherwise(base_query)))
+              .when(path.startswith("/"), without_dots(path)).otherwise(without_dots(F.concat(folder, path))))
+    return (F.when(ref.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), ref)
              .when(ref.startswith("//"), F.concat(scheme, ref))
-             .when(ref.startswith("/"), F.concat(host, ref))
-             .when(ref.startswith("?"), F.concat(F.regexp_replace(base, "[?#].*", ""), ref))
-             .otherwise(F.concat(base_url(base), ref)))
+             .otherwise(F.concat(scheme, host, whole, tail)))
 
 
 def base_name(path: Column) -> Column:

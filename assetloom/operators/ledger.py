@@ -11,6 +11,7 @@ from assetloom.operators.filters import any_keyword
 from assetloom.operators.joins import drop_done, update_listed
 from assetloom.operators.ordering import (MAX_TOP_ROWS, cut_groups, first_rows, latest_row,
                                           number_rows)
+from assetloom.session import materialize
 
 # State codes of the five ledger dialects, and the steps a task may take.
 STATE_CODES = {
@@ -177,6 +178,43 @@ def assign_hosts(tasks: DataFrame, n_hosts: int, order: Sequence[str],
     return numbered.withColumn("host_no", F.pmod(F.col("claim_no") - 1, F.lit(n_hosts)).cast("int"))
 
 
+def claim_by_quota(tasks: DataFrame, hosts: DataFrame, order: Sequence[str], *, host: str = "host",
+                   state: str = "state", quota: str = "quota", top_up: bool = False) -> DataFrame:
+    """The tasks that each host takes next, with ``host`` set and ``claim``: ``own`` or ``new``.
+
+    A host takes its own queued tasks first, the first ``quota`` of them in ``order`` (a total order). A host
+    without any takes new ones, pending or to be retried; with ``top_up`` every host fills its free slots. New tasks go
+    out in ``order``: the first free slots are those of the first host by name, and so on.
+    ``hosts`` has one row per host; a null quota is none, tasks queued for unknown hosts stay.
+
+    Both the slots and the waiting tasks are numbered in parallel, and number n of the one meets number n of
+    the other, so neither is collected and no pairs are tried.
+    """
+    known = hosts.select(F.col(host).alias("_host"), F.coalesce(F.col(quota), F.lit(0)).cast("bigint").alias("_quota")).where(
+        "_host IS NOT NULL AND _quota > 0")
+    queued = tasks.where(F.col(state) == "queued")
+    ranked = (cut_groups(queued, [host], order).running(sums={"_nth": F.lit(1)}).rows()
+              .join(known, F.col(host) == F.col("_host")))
+    own = materialize(ranked.where("_nth <= _quota").select(*tasks.columns, F.lit("own").alias("claim")), "own_claims")
+    taken = own.groupBy(F.col(host).alias("_host")).agg(F.count(F.lit(1)).alias("_taken"))
+    left = F.col("_quota") - F.coalesce("_taken", F.lit(0))
+    free = known.join(taken, "_host", "left").select(
+        "_host", (left if top_up else F.when(F.col("_taken").isNull(), left)).alias("_free"), F.lit(0).alias("_all"))
+    spans = (cut_groups(free.where("_free > 0"), ["_all"], ["_host"]).running(sums={"_upto": F.col("_free")}).rows()
+             .select("_host", (F.col("_upto") - F.col("_free") + 1).alias("_from"), "_upto"))
+    # a host with very many slots unfolds in two steps, so no array holds all of them
+    slots = (spans.select("_host", "_upto", F.explode(F.sequence("_from", "_upto", F.lit(SLOTS).cast("bigint"))).alias("_from"))
+                  .select("_host", F.explode(F.sequence("_from", F.least(F.col("_from") + SLOTS - 1, "_upto"))).alias("_turn")))
+    waiting = number_rows(tasks.where(F.col(state).isin("pending", "retry")), order, name="_turn")
+    others = [F.col("_host").alias(host) if c == host else F.col(c) for c in tasks.columns]
+    new = waiting.join(slots, "_turn").select(*others, F.lit("new").alias("claim"))
+    return own.unionByName(new)
+
+
+#: Slots of a host that are unfolded together.
+SLOTS = 1000
+
+
 def host_backlog(current: DataFrame, host: str = "host", state: str = "state",
                  states: Sequence[str] = STATES) -> DataFrame:
     """Tasks per host, one column per state; the states are stated, so no extra

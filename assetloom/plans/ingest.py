@@ -11,18 +11,22 @@ from assetloom.operators.ledger import insert_ignore
 
 
 def asset_rows(pages: DataFrame, body: str = "body", keyword: str = "keyword") -> DataFrame:
-    """One row per listed asset: id, tags, link, and the keyword as category.
+    """One row per listed asset: id, tags, link of the video or else of the image and which of them it is (``kind``),
+    description (empty if there is none), and the keyword as category.
 
     Bad pages (``http_status`` other than 200, malformed JSON) give no rows.
     """
     keep = [c for c in pages.columns if c not in (body, keyword, "http_status")]
     item = F.col("_item")["attributes"]
+    video, image = item["video"]["download_link"], item["image"]["download_link"]
     good = pages.where(F.col("http_status") == 200) if "http_status" in pages.columns else pages
     return (good.select(*keep, keyword, F.posexplode(
                 J.parse(F.col(body), J.ASSET_PAGE)["data"]).alias("item_no", "_item"))
             .select(*keep, F.col(keyword).alias("category"), "item_no",
                     item["id"].alias("datal_id"), S.tag_text(item["tags"]).alias("tags"),
-                    item["video"]["download_link"].alias("download_link")))
+                    F.coalesce(video, image).alias("download_link"),
+                    F.when(video.isNotNull(), "video").when(image.isNotNull(), "image").alias("kind"),
+                    F.coalesce(item["description"], F.lit("")).alias("description")))
 
 
 def discover(pages: DataFrame, ledger: DataFrame, first: list[str],
@@ -44,6 +48,14 @@ def clip_rows(pages: DataFrame, body: str = "body", min_duration: int | None = N
     return clips if min_duration is None else clips.where(F.col("duration") >= min_duration)
 
 
+def clip_formats(clips: DataFrame) -> DataFrame:
+    """One row per format that a clip of ``clip_rows`` is offered in: format_no, format_id, format_name. Clips
+    without formats have none."""
+    keep = [c for c in clips.columns if c != "availableFormats"]
+    return clips.select(*keep, F.posexplode("availableFormats").alias("format_no", "_f")).select(
+        *keep, "format_no", F.col("_f.id").alias("format_id"), F.col("_f.displayName").alias("format_name"))
+
+
 def probe_facts(probes: DataFrame, body: str = "body") -> DataFrame:
     """fps, frames and duration of the first video stream, and whether all are sane."""
     stream = J.first_video_stream(J.parse(F.col(body), J.PROBE))

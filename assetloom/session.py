@@ -61,3 +61,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the constructor of its paths."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), hadoop.Path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    fs, to_path = file_system(spark, path)
+    fs.delete(to_path(path), True)

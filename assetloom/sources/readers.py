@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from assetloom.functions import documents as J, strings as S
+from assetloom.operators.ordering import cut_groups
+from assetloom.session import materialize
 
 INVENTORY_COLUMNS = ("path", "length", "modificationTime")
 
@@ -44,9 +46,52 @@ def whole_texts(spark: SparkSession, path: str) -> DataFrame:
 def map_ledger(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
     """JSON map ledgers (key -> record) as rows. Empty or malformed maps give no
     rows. ``whole_file``: one map per file; else one map per line."""
-    bodies = (spark.read.text(path, wholetext=whole_file)
-                   .select(J.parse(F.col("value"), J.LEDGER_MAP).alias("_m")))
-    return (bodies.select(F.explode("_m").alias("key", "_r")).select("key", "_r.*"))
+    if whole_file:
+        return _file_maps(spark, path)
+    bodies = spark.read.text(path).select(J.parse(F.col("value"), J.LEDGER_MAP).alias("_m"))
+    return bodies.select(F.explode("_m").alias("key", "_r")).select("key", "_r.*")
+
+
+#: A JSON string, and a line that begins with a key.
+_STRING, _KEY_LINE = r'"(?:[^"\\]|\\.)*"', r'^\s*"(?:[^"\\]|\\.)*"\s*:'
+
+
+def map_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """Maps of any size, one per file, cut into chunks of whole entries: file, body, and how deep it stands
+    ``before`` and ``after``.
+
+    A JSON string holds no line break, so braces outside strings can be counted line by line; the running
+    count says how deep a line stands. A line that begins a key of the outermost map starts a
+    chunk, and each chunk is parsed on its own. So a map that is written with a line per entry or more is cut into its
+    entries, and one on a single line stays one chunk.
+    """
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    bare = F.regexp_replace("value", _STRING, "")
+    step = F.length(F.regexp_replace(bare, r"[^{\[]", "")) - F.length(F.regexp_replace(bare, r"[^}\]]", ""))
+    lines = spark.read.text(path).select(*place, F.monotonically_increasing_id().alias("line"), "value",
+                                         step.cast("bigint").alias("step"))
+    order = ["block", "line"]
+    deep = cut_groups(lines, ["file"], order).running(sums={"after": F.col("step")}).rows()
+    starts = (F.col("after") - F.col("step") == 1) & F.col("value").rlike(_KEY_LINE)
+    cut = cut_groups(deep, ["file"], order).running(sums={"chunk": starts.cast("bigint")}).rows()
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(*order, "value"))), lambda x: x["value"]), "\n")
+    return cut.groupBy("file", "chunk").agg(
+        joined.alias("body"), F.max_by("after", F.struct(*order)).alias("after"),
+        F.min_by(F.col("after") - F.col("step"), F.struct(*order)).alias("before"))
+
+
+def _file_maps(spark: SparkSession, path: str) -> DataFrame:
+    chunks = map_chunks(spark, path)
+    # the first chunk has the opening brace of the map, the last one the closing one; commas end the others
+    body = F.when(F.col("before") == 0, F.regexp_replace("body", r"^\s*\{", "")).otherwise(F.col("body"))
+    body = F.when(F.col("after") == 0, F.regexp_replace(body, r"\}\s*$", "")).otherwise(F.regexp_replace(body, r",\s*$", ""))
+    parsed = chunks.select("file", "before", "after", J.parse(F.concat(F.lit("{"), body, F.lit("}")), J.LEDGER_MAP).alias("_m"))
+    parsed = materialize(parsed, "map_chunks")
+    whole = parsed.groupBy("file").agg(
+        F.bool_and(F.col("_m").isNotNull()).alias("good"), F.count_if(F.col("after") == 0).alias("ends"),
+        F.count_if(F.col("before") == 0).alias("begins")).where("good AND ends = 1 AND begins = 1").select("file")
+    kept = parsed.join(whole, "file", "left_semi")
+    return kept.select(F.explode("_m").alias("key", "_r")).select("key", "_r.*")
 
 
 def done_paths(spark: SparkSession, path: str) -> DataFrame:
