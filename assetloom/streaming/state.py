@@ -1,99 +1,154 @@
 """Per-key state over streams: stable files and progress throttling.
 
-State is one small record per key, kept by Spark's state store. The rows that a
-micro-batch has for one key are put in time order by one task, so the size of a
-micro-batch must be bounded at its source. Where one file may fill a large part
-of it, ``streaming.tables.stable_batches`` does the stability check without that.
-
-``forget_after`` drops the state of keys silent for that long in processing
-time. Such a query always has a next batch, so a run that is to end by itself
-(``availableNow``) must pass None.
+The rows of a key are handled one at a time in time order, whatever the micro-batches. They wait in
+the state, by slots of time, until the watermark has passed their slot; a timer at its end then steps
+through them. So rows may arrive in any order within ``late_by``, and a task holds one slot of one key. The
+state of a key is one small record, kept in RocksDB, and is forgotten after a silence.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-STABLE_SCHEMA = "path string, snapshot_ts timestamp, length bigint, stable boolean"
-PROGRESS_SCHEMA = "asset_id string, ts timestamp, percent double"
-
-
-def _forgetting(forget_after: str | None) -> tuple[int | None, str]:
-    if forget_after is None:
-        return None, GroupStateTimeout.NoTimeout
-    seconds = pd.Timedelta(forget_after).total_seconds()
-    return int(seconds * 1000), GroupStateTimeout.ProcessingTimeTimeout
-
-
-def stable_files(snapshots: DataFrame, checks: int = 4,
-                 forget_after: str | None = "1 hour") -> DataFrame:
-    """Per snapshot row (path, snapshot_ts, length): is the size stable by now?
-
-    A row is judged against the rows of its path seen so far, in time order
-    within a micro-batch.
+from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle,
+                                                      TimerValues)
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+#: Rows of a key that are gathered before they go to the state.
+GATHERED = 10_000
+
+
+class InOrder(StatefulProcessor):
+    """Steps through the rows of a key in the order of time and tie-break."""
+
+    #: Schema of the record kept per key; its first column is ``at``, the time of the row it tells of.
+    LAST = "at bigint"
+
+    def __init__(self, slot_ms: int, forget_ms: int | None):
+        self.slot_ms, self.forget_ms = slot_ms, forget_ms
+
+    def step(self, last: tuple | None, at: int, value: float | None) -> tuple[tuple, bool | None]:
+        """The new record, and what is told of the row: nothing if None."""
+        raise NotImplementedError
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getMapState("held", "slot bigint", "rows array<struct<at:bigint,place:bigint,value:double>>")
+        self.last = handle.getValueState("last", self.LAST)
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        if key[0] is not None:
+            slots: dict[int, list[tuple]] = {}
+            for n, row in enumerate(rows, 1):
+                slots.setdefault(row["micros"] // (1000 * self.slot_ms), []).append((row["micros"], row["place"], row["value"]))
+                if n % GATHERED == 0:
+                    self._hold(slots)
+            self._hold(slots)
+        return iter(())
+
+    def _hold(self, slots: dict[int, list[tuple]]) -> None:
+        for slot, own in slots.items():
+            held = self.held.getValue((slot,))
+            self.held.updateValue((slot,), ([*map(tuple, held[0]), *own] if held else own,))
+            self.handle.registerTimer((slot + 1) * self.slot_ms)
+        slots.clear()
+
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        slot = (now // self.slot_ms - 1,)
+        held = self.held.getValue(slot) if now % self.slot_ms == 0 else None
+        last = self.last.get()
+        if held:
+            for at, place, value in sorted(held[0], key=lambda r: (r[0], r[1] is not None, r[1])):
+                if last and self.forget_ms and at - last[0] >= 1000 * self.forget_ms:
+                    last = None
+                last, told = self.step(last, at, value)
+                if told is not None:
+                    yield Row(key=key[0], micros=at, place=place, value=value, told=told)
+            self.held.removeKey(slot)
+            if last:
+                self.last.update(last)
+                if self.forget_ms:
+                    self.handle.registerTimer(last[0] // 1000 + self.forget_ms + 1)
+        elif last and self.forget_ms and last[0] // 1000 + self.forget_ms < now:
+            self.last.clear()
+
+
+class Stability(InOrder):
+    """For how many rows the size has been the same."""
+
+    LAST = "at bigint, size double, same bigint"
+
+    def __init__(self, slot_ms: int, forget_ms: int | None, checks: int):
+        super().__init__(slot_ms, forget_ms)
+        self.checks = checks
+
+    def step(self, last, at, value):
+        same = last[2] + 1 if last and value is not None and last[1] == value else 0
+        return (at, value, same), bool(value) and value > 0 and same >= self.checks
+
+
+class Throttle(InOrder):
+    """The last row let through."""
+
+    LAST = "at bigint, percent double"
+
+    def __init__(self, slot_ms: int, forget_ms: int | None, min_seconds: float, min_points: float):
+        super().__init__(slot_ms, forget_ms)
+        self.least, self.min_points = round(min_seconds * 1_000_000), min_points
+
+    def step(self, last, at, value):
+        if value is None:
+            return last, None
+        if last and at - last[0] < self.least and abs(value - last[1]) < self.min_points and value < 99:
+            return last, None
+        return (at, value), True
+
+
+def _ms(span: str | None) -> int | None:
+    return None if span is None else int(pd.Timedelta(span).total_seconds() * 1000)
+
+
+def _in_order(rows: DataFrame, key: str, ts: str, place: str | None, value: str, late_by: str,
+              processor: StatefulProcessor) -> DataFrame:
+    """key, micros, place, value and what the processor tells of each row."""
+    rows.sparkSession.conf.set(PROVIDER, ROCKSDB)
+    at = F.col(ts).cast("timestamp")
+    plain = rows.select(
+        F.col(key).alias("key"), at.alias("at"), F.unix_micros(at).alias("micros"),
+        (F.col(place) if place else F.lit(0)).cast("bigint").alias("place"), F.col(value).cast("double").alias("value"))
+    kind = plain.schema["key"].dataType.simpleString()
+    return plain.withWatermark("at", late_by).groupBy("key").transformWithState(
+        processor, f"key {kind}, micros bigint, place bigint, value double, told boolean", "Append", "EventTime")
+
+
+def stable_files(snapshots: DataFrame, checks: int = 4, forget_after: str | None = "1 hour", *,
+                 late_by: str = "1 minute", slot: str = "1 minute", tie: str | None = None) -> DataFrame:
+    """Per snapshot row (path, snapshot_ts, length): has the size been the same for ``checks`` checks by now?
+
+    Rows of equal time go by the whole number ``tie``, which is told too. A row without length starts anew. A path not
+    seen for ``forget_after`` is forgotten; rows without path are left out.
     """
-    forget_ms, timeout = _forgetting(forget_after)
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame],
-             state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        size, same = state.get if state.exists else (-1, 0)
-        rows = pd.concat(list(batches)).sort_values(["snapshot_ts"], kind="stable")
-        flags = []
-        for length in rows["length"]:
-            same = same + 1 if length == size else 0
-            size = length
-            flags.append(bool(length > 0 and same >= checks))
-        state.update((int(size), int(same)))
-        if forget_ms is not None:
-            state.setTimeoutDuration(forget_ms)
-        yield pd.DataFrame({"path": key[0], "snapshot_ts": rows["snapshot_ts"].to_numpy(),
-                            "length": rows["length"].to_numpy(), "stable": flags})
-
-    return (snapshots.select("path", F.col("snapshot_ts").cast("timestamp"),
-                             F.col("length").cast("bigint"))
-                     .groupBy("path")
-                     .applyInPandasWithState(step, STABLE_SCHEMA, "size bigint, same bigint",
-                                             "append", timeout))
+    told = _in_order(snapshots, "path", "snapshot_ts", tie, "length", late_by,
+                     Stability(_ms(slot), _ms(forget_after), checks))
+    ties = [F.col("place").alias(tie)] if tie else []
+    return told.select(F.col("key").alias("path"), F.timestamp_micros("micros").alias("snapshot_ts"), *ties,
+                       F.col("value").cast("bigint").alias("length"), F.col("told").alias("stable"))
 
 
 def throttle_progress(progress: DataFrame, min_seconds: float = 0.5, min_points: float = 0.5,
-                      forget_after: str | None = "1 hour") -> DataFrame:
-    """Rows (asset_id, ts, percent) that differ enough from the last row let
-    through: ``min_seconds`` or ``min_points`` away, or at 99 % and above."""
-    forget_ms, timeout = _forgetting(forget_after)
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame],
-             state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        seen = state.exists
-        last_at, last_percent = state.get if seen else (0.0, 0.0)
-        rows = pd.concat(list(batches)).sort_values(["ts", "percent"], kind="stable")
-        at = rows["ts"].astype("datetime64[us]").astype("int64") / 1e6
-        keep = []
-        for now, percent in zip(at, rows["percent"]):
-            passes = (not seen or now - last_at >= min_seconds
-                      or abs(percent - last_percent) >= min_points or percent >= 99)
-            if passes:
-                seen, last_at, last_percent = True, now, percent
-            keep.append(passes)
-        state.update((float(last_at), float(last_percent)))
-        if forget_ms is not None:
-            state.setTimeoutDuration(forget_ms)
-        kept = rows[keep]
-        yield pd.DataFrame({"asset_id": key[0], "ts": kept["ts"].to_numpy(),
-                            "percent": kept["percent"].to_numpy()})
-
-    return (progress.select(F.col("asset_id").cast("string"), F.col("ts").cast("timestamp"),
-                            F.col("percent").cast("double"))
-                    .groupBy("asset_id")
-                    .applyInPandasWithState(step, PROGRESS_SCHEMA, "at double, percent double",
-                                            "append", timeout))
+                      forget_after: str | None = "1 hour", *, late_by: str = "10 seconds", slot: str = "10 seconds",
+                      tie: str | None = None) -> DataFrame:
+    """Rows (asset_id, ts, percent) that differ enough from the last row let through: ``min_seconds`` or
+    ``min_points`` away, or at 99 % and above. Without percent a row is left out; ``tie`` and ``forget_after`` as in
+    ``stable_files``."""
+    told = _in_order(progress, "asset_id", "ts", tie, "percent", late_by,
+                     Throttle(_ms(slot), _ms(forget_after), min_seconds, min_points))
+    ties = [F.col("place").alias(tie)] if tie else []
+    return told.select(F.col("key").alias("asset_id"), F.timestamp_micros("micros").alias("ts"), *ties,
+                       F.col("value").alias("percent"))
