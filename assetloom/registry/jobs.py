@@ -121,13 +121,20 @@ def log_progress(t):
                                                    "file_name")
 
 
+#: The next row let through after the last one, of numbered rows ``p`` of keys ``k``.
+NEXT_KEPT = """
+  SELECT n.* FROM p n JOIN (
+    SELECT p.k, min(p.rn) AS rn FROM kept l JOIN p ON p.k = l.k AND p.rn > l.rn
+    WHERE epoch_us(p.ts) - epoch_us(l.ts) >= 3600000000 OR abs(p.percent - l.percent) >= 20 OR p.percent >= 99
+    GROUP BY p.k) found ON n.k = found.k AND n.rn = found.rn"""
+
+
 @query("WIN-8", f"""
-WITH {TOOL_LOG}, p AS ({_PROGRESS}),
-s AS (SELECT run_id, pos, percent,
-             epoch(ts) - lag(epoch(ts)) OVER w AS gap, percent - lag(percent) OVER w AS step
-      FROM p WHERE loading WINDOW w AS (PARTITION BY run_id ORDER BY ts, pos))
-SELECT run_id, pos, percent FROM s
-WHERE gap IS NULL OR gap >= 3600 OR abs(step) >= 20 OR percent >= 99""")
+WITH RECURSIVE {TOOL_LOG}, loads AS ({_PROGRESS}),
+p AS (SELECT run_id AS k, pos, ts, percent, row_number() OVER (PARTITION BY run_id ORDER BY ts, pos) AS rn
+      FROM loads WHERE loading),
+kept AS (SELECT * FROM p WHERE rn = 1 UNION ALL {NEXT_KEPT})
+SELECT k AS run_id, pos, percent FROM kept""")
 def progress_throttle(t):
     loading = logs.progress_table(tool_log(t)).where(F.col("phase") == "downloading")
     return logs.throttled_progress(loading.select("run_id", "pos", "ts", "percent"), ["run_id"],
@@ -135,9 +142,43 @@ def progress_throttle(t):
         "run_id", "pos", "percent")
 
 
-_RULES = " ".join(f"WHEN regexp_matches(line, {sql_text('(?i)' + pattern)}) THEN {i}"
-                  for i, (_, pattern) in enumerate(logs.ERROR_RULES, 1))
-_LABELS = f"[{', '.join(sql_text(label) for label, _ in logs.ERROR_RULES)}]"
+@query("WIN-8", f"""
+WITH RECURSIVE keyed AS (
+  SELECT CASE WHEN event_id % 3 > 0 THEN -1 ELSE user_id END AS k, event_id AS pos, ts, value % 100 AS percent FROM events),
+p AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, pos) AS rn FROM keyed),
+kept AS (SELECT * FROM p WHERE rn = 1 UNION ALL {NEXT_KEPT})
+SELECT k AS asset_id, pos, ts, percent FROM kept""")
+def asset_throttle(t):
+    """Two thirds of all rows are of one asset."""
+    asset = F.when(F.col("event_id") % 3 > 0, F.lit(-1)).otherwise(F.col("user_id")).cast("bigint")
+    progress = t.events.select(asset.alias("asset_id"), F.col("event_id").alias("pos"), "ts",
+                               (F.col("value") % 100).alias("percent"))
+    return logs.throttled_progress(progress, ["asset_id"], ["ts", "pos"], min_seconds=3600, min_points=20)
+
+
+# Written out for the comparison, apart from the rules that the library uses.
+_RULES = r"""
+  WHEN line ILIKE '%AttributeError%''NoneType''%''lower''%' THEN 1
+  WHEN regexp_matches(line, '(?i)no such file or directory.*frag[0-9]') THEN 2
+  WHEN line ILIKE '%HTTP Error 502%' OR line ILIKE '%bad gateway%' THEN 3
+  WHEN line ILIKE '%HTTP Error 404%' OR line ILIKE '%not found%' THEN 4
+  WHEN line ILIKE '%HTTP Error 403%' OR line ILIKE '%forbidden%' THEN 5
+  WHEN line ILIKE '%no space left on device%' THEN 6
+  WHEN line ILIKE '%conversion failed%' THEN 7
+  WHEN line ILIKE '%unable to download webpage%' THEN 8
+  WHEN line ILIKE '%connection%timeout%' OR line ILIKE '%timed out%' THEN 9
+  WHEN line ILIKE '%permission denied%' THEN 10
+  WHEN line ILIKE '%postprocessing%failed%' THEN 11
+  WHEN line ILIKE '%rate limit%' OR line ILIKE '%too many requests%' THEN 12
+  WHEN line ILIKE '%private video%' OR line ILIKE '%access denied%' THEN 13
+  WHEN line ILIKE '%unable to extract%info%' THEN 14
+  WHEN line ILIKE '%video unavailable%' THEN 15
+  WHEN line ILIKE '%this video is not available%' THEN 16
+  WHEN line ILIKE '%sign in to confirm%' THEN 17
+  WHEN line ILIKE '%requested format is not available%' THEN 18"""
+_LABELS = """['info_missing', 'fragment_lost', 'server_unavailable', 'not_found', 'forbidden', 'disk_full',
+  'conversion_failed', 'page_unreachable', 'timeout', 'permission_denied', 'postprocessing_failed', 'rate_limited',
+  'private', 'extraction_failed', 'unavailable', 'this_unavailable', 'sign_in', 'format_unavailable']"""
 
 
 @query("JOB-6 ORD-6 STR-11", f"""
@@ -161,14 +202,17 @@ def error_report(t):
     return logs.error_report(tool_log(t))
 
 
-_FINAL = sql_text("(?i)" + "|".join(logs.FINAL_ERRORS))
+_FINAL = " OR ".join(f"line ILIKE '%{part}%'" for part in (
+    "http error 404", "not found", "private video", "access denied", "no space left on device", "permission denied",
+    "video unavailable", "this video is not available", "sign in to confirm", "http error 403%forbidden"))
 
 
 @query("JOB-7 MTH-5", f"""
 WITH {TOOL_LOG}, r AS (
-  SELECT run_id, max(attempt) AS attempt, bool_or(regexp_matches(line, {_FINAL})) AS final,
-         bool_or(regexp_matches(line, {sql_text('(?i)' + logs.BUSY_ERRORS)})) AS busy,
-         bool_or(regexp_matches(line, {sql_text('(?i)' + logs.ATTRIBUTE_ERRORS)})) AS attribute
+  SELECT run_id, max(attempt) AS attempt, bool_or({_FINAL}) AS final,
+         bool_or(line ILIKE '%http error 502%' OR line ILIKE '%bad gateway%' OR line ILIKE '%rate limit%'
+                 OR line ILIKE '%too many requests%') AS busy,
+         bool_or(line ILIKE '%attributeerror%''nonetype''%') AS attribute
   FROM tool_log GROUP BY run_id)
 SELECT run_id, attempt, NOT final AS retry,
        CAST(CASE WHEN final THEN 0 WHEN busy THEN least(30, 5 * pow(2, attempt))
@@ -179,8 +223,11 @@ def retry_decision(t):
     return logs.retry_decision(tool_log(t))
 
 
-_GOOD = " OR ".join(f"contains(line, {sql_text(m)})" for m in logs.SUCCESS_MARKS)
-_BAD = " OR ".join(f"contains(line, {sql_text(m)})" for m in logs.SERIOUS_MARKS)
+_GOOD = " OR ".join(f"contains(line, '{mark}')" for mark in (
+    "has already been downloaded", "100%", "download completed", "[Merger] Merging formats", "Deleting original file"))
+_BAD = " OR ".join(f"contains(line, '{mark}')" for mark in (
+    "ERROR:", "FAILED:", "No space left on device", "Permission denied", "Connection refused",
+    "Unable to download webpage", "Video unavailable"))
 
 
 @query("JOB-8 AGG-12", f"""

@@ -115,7 +115,10 @@ def latest_state(t):
              .select("task_id", "state", "host", "seq", "updated_at"))
 
 
-_STEPS = ", ".join(sql_text(f"{a}>{b}") for a, b in L.ALLOWED_STEPS)
+# Written out for the comparison, apart from the tables that the library uses.
+_STEPS = """'pending>queued', 'pending>running', 'queued>running', 'running>done', 'running>retry', 'running>failed',
+  'running>pending', 'retry>queued', 'retry>running', 'done>pending'"""
+_STATES = ("pending", "queued", "running", "done", "retry", "failed")
 
 
 @query("LED-2", f"""
@@ -130,7 +133,7 @@ def transitions(t):
              .select("task_id", "seq", "from_state", "state", "allowed"))
 
 
-_FROM = ", ".join(sql_text(a) for a, b in L.ALLOWED_STEPS if b == "running")
+_FROM = "'pending', 'queued', 'retry'"
 
 
 @query("LED-2 LED-1", f"""
@@ -277,19 +280,68 @@ def all_claims(t):
              .select("o_orderkey", "claim_no", "host_no"))
 
 
+def _quota_sql(idle_only: bool) -> str:
+    return f"""
+WITH tasks AS (
+  SELECT o_orderkey AS task, o_orderdate AS updated_at,
+         CASE WHEN o_orderstatus = 'P' THEN 'pending' WHEN o_orderkey % 7 = 0 THEN 'queued'
+              WHEN o_orderkey % 7 = 1 THEN 'retry' ELSE 'done' END AS state,
+         'host' || (o_custkey % 60) AS host FROM orders),
+hosts AS (SELECT 'host' || s_suppkey AS host, CASE s_suppkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 3 WHEN 2 THEN 10 ELSE 90 END AS slots
+          FROM supplier),
+own AS (
+  SELECT q.task, q.state, q.host FROM (
+    SELECT *, row_number() OVER (PARTITION BY host ORDER BY updated_at, task) AS n FROM tasks WHERE state = 'queued') q
+  JOIN hosts ON hosts.host = q.host AND n <= slots),
+free AS (
+  SELECT h.host, h.slots - count(own.task) AS n_free FROM hosts h LEFT JOIN own ON own.host = h.host
+  GROUP BY h.host, h.slots HAVING h.slots > count(own.task) {"AND count(own.task) = 0" if idle_only else ""}),
+spans AS (SELECT host, sum(n_free) OVER (ORDER BY host) AS upto, n_free FROM free),
+waiting AS (
+  SELECT *, row_number() OVER (ORDER BY updated_at, task) AS n FROM tasks WHERE state IN ('pending', 'retry'))
+SELECT task, state, host, 'own' AS claim FROM own
+UNION ALL SELECT w.task, w.state, s.host, 'new' FROM waiting w JOIN spans s ON w.n <= s.upto AND w.n > s.upto - s.n_free"""
+
+
+def _quota_claims(t, top_up):
+    key = F.col("o_orderkey")
+    state = (F.when(F.col("o_orderstatus") == "P", "pending").when(key % 7 == 0, "queued")
+              .when(key % 7 == 1, "retry").otherwise("done"))
+    tasks = t.orders.select(key.alias("task"), F.col("o_orderdate").alias("updated_at"), state.alias("state"),
+                            F.concat(F.lit("host"), (F.col("o_custkey") % 60).cast("string")).alias("host"))
+    slots = F.element_at(F.array(*map(F.lit, (0, 3, 10, 90))), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    hosts = t.supplier.select(F.concat(F.lit("host"), F.col("s_suppkey").cast("string")).alias("host"), slots.alias("quota"))
+    return L.claim_by_quota(tasks, hosts, ["updated_at", "task"], top_up=top_up).select("task", "state", "host", "claim")
+
+
+@query("LED-8", _quota_sql(True))
+def quota_claims(t):
+    return _quota_claims(t, False)
+
+
+@query("LED-8", _quota_sql(False))
+def quota_top_up(t):
+    return _quota_claims(t, True)
+
+
 @query("LED-9", f"""
 WITH {TASK_EVENTS}, cur AS (
   SELECT * FROM task_events
   QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY updated_at DESC, seq DESC) = 1)
-SELECT host, {', '.join(f"count(*) FILTER (state = '{s}') AS {s}" for s in L.STATES)}
+SELECT host, {', '.join(f"count(*) FILTER (state = '{s}') AS {s}" for s in _STATES)}
 FROM cur GROUP BY host""")
 def host_backlog(t):
     return L.host_backlog(L.current_state(task_events(t), ["task_id"]))
 
 
-_DIALECTS = list(L.STATE_CODES)
-_CODES = " ".join(f"WHEN '{d}:{c}' THEN '{s}'" for d, m in L.STATE_CODES.items()
-                  for c, s in m.items())
+_DIALECTS = ["queue", "worker", "playlist", "image", "json"]
+_CODES = """
+  WHEN 'queue:0' THEN 'pending' WHEN 'queue:1' THEN 'done' WHEN 'queue:2' THEN 'running' WHEN 'queue:3' THEN 'failed'
+  WHEN 'queue:4' THEN 'retry' WHEN 'worker:pending' THEN 'pending' WHEN 'worker:downloading' THEN 'running'
+  WHEN 'worker:completed' THEN 'done' WHEN 'worker:failed' THEN 'failed' WHEN 'playlist:0' THEN 'pending'
+  WHEN 'playlist:1' THEN 'done' WHEN 'playlist:2' THEN 'running' WHEN 'playlist:3' THEN 'retry'
+  WHEN 'playlist:4' THEN 'queued' WHEN 'image:0' THEN 'pending' WHEN 'image:1' THEN 'done' WHEN 'image:2' THEN 'running'
+  WHEN 'json:0' THEN 'pending' WHEN 'json:1' THEN 'done'"""
 
 
 @query("LED-2", f"""
@@ -318,7 +370,7 @@ WITH {TASK_EVENTS}, stepped AS (
   FROM task_events),
 per_host AS (
   SELECT host, count(*) AS tasks,
-         {', '.join(f"count(*) FILTER (state = '{s}') AS {s}" for s in L.STATES)},
+         {', '.join(f"count(*) FILTER (state = '{s}') AS {s}" for s in _STATES)},
          count(*) FILTER (state IN ('queued', 'running')
            AND updated_at <= (SELECT max(ts) FROM events) - INTERVAL 120 MINUTE) AS stuck
   FROM stepped WHERE back = 1 GROUP BY host),
@@ -326,7 +378,7 @@ wrong AS (
   SELECT host, count(*) FILTER (from_state IS NOT NULL
            AND from_state || '>' || state NOT IN ({_STEPS})) AS wrong_steps
   FROM stepped GROUP BY host)
-SELECT host, {', '.join(f'coalesce({c}, 0) AS {c}' for c in ('tasks', *L.STATES, 'stuck', 'wrong_steps'))},
+SELECT host, {', '.join(f'coalesce({c}, 0) AS {c}' for c in ('tasks', *_STATES, 'stuck', 'wrong_steps'))},
        coalesce(done * 100.0::DOUBLE / tasks, 0) AS done_percent
 FROM per_host FULL JOIN wrong USING (host)""")
 def ledger_health(t):

@@ -5,7 +5,7 @@ from datetime import time
 from pyspark.sql import functions as F
 
 from assetloom.functions import dates as D, documents as J, numbers as N, strings as S
-from assetloom.registry.base import INVENTORY, inventory, query, sql_text
+from assetloom.registry.base import INVENTORY, inventory, pick, query, sql_pick, sql_text
 
 _SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 
@@ -63,6 +63,20 @@ def joined_urls(t):
                           S.join_url(F.col("url"), ref).alias("joined"))
 
 
+# References and where they lead from /a/b/c/list.m3u8?old (RFC 3986).
+_REFS = [("../s.ts", "/a/b/s.ts"), ("./s.ts?x=../y", "/a/b/c/s.ts?x=../y"), ("../../../../s.ts", "/s.ts"),
+         ("x/./y/../s.ts", "/a/b/c/x/s.ts"), ("..", "/a/b/"), (".", "/a/b/c/"), ("/r/./q/../s.ts", "/r/s.ts"),
+         ("?new", "/a/b/c/list.m3u8?new"), ("#part", "/a/b/c/list.m3u8?old#part"), ("..s.ts", "/a/b/c/..s.ts"),
+         ("", "/a/b/c/list.m3u8?old")]
+
+
+@query("STR-9", f"""
+SELECT page_id, regexp_extract(url, '^https?://[^/?#]+') || {sql_pick([to for _, to in _REFS], 'page_id')} AS joined FROM pages""")
+def dotted_urls(t):
+    base = F.concat(F.regexp_extract("url", "^https?://[^/?#]+", 0), F.lit("/a/b/c/list.m3u8?old"))
+    return t.pages.select("page_id", S.join_url(base, pick([ref for ref, _ in _REFS], F.col("page_id"))).alias("joined"))
+
+
 @query("STR-10", f"""
 WITH {INVENTORY}
 SELECT path, 'item_' || doc_id

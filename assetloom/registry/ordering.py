@@ -91,18 +91,19 @@ def shuffled_numbers(t):
 
 
 @query("JOB-12 AGG-10", f"""
-WITH {INVENTORY}, media AS (
+WITH {INVENTORY}, plan AS (
   SELECT path, '/vault/' || source || '/' || lang || '/'
-           || printf('%d', row_number() OVER (ORDER BY source, lang, path)) || '.Mov' AS new_path
-  FROM inventory WHERE path LIKE '%.Mov'),
+           || printf('%d', row_number() OVER (ORDER BY source, lang, path))
+           || regexp_extract(path, '(\\.[a-zA-Z0-9]+)$', 1) AS new_path
+  FROM inventory),
 other AS (
   SELECT '/vault/' || source || '/' || lang || '/' || (doc_id % 100) || '.Mov' AS new_path FROM inventory)
 SELECT count(*) AS total, count(*) FILTER (new_path NOT IN (SELECT new_path FROM other)) AS renamed,
        count(*) FILTER (new_path IN (SELECT new_path FROM other)) AS errors
-FROM media""")
+FROM plan""")
 def rename_stats(t):
     files = inventory(t)
-    plan = renames.rename_plan(files.where(F.col("path").endswith(".Mov")).select("path"), width=1)
+    plan = renames.rename_plan(files.select("path"), width=1)
     staying = files.select(F.concat(S.parent(F.col("path")), F.lit("/"),
                                     (F.col("doc_id") % 100).cast("string"), F.lit(".Mov")).alias("path"))
     return renames.rename_stats(plan, renames.rename_clashes(plan, staying.distinct()))
@@ -118,12 +119,46 @@ def name_suffixes(t):
     return renames.suffix_collisions(named, "name", "p_partkey")
 
 
-@query("WIN-4", """
-WITH n AS (SELECT p_partkey, p_name || CASE WHEN p_size <= 25 THEN '_1' ELSE '' END AS stem FROM part),
-m AS (SELECT stem, row_number() OVER (PARTITION BY stem ORDER BY p_partkey) AS n FROM n),
-f AS (SELECT CASE WHEN n = 1 THEN stem ELSE stem || '_' || (n - 1) END || '.mp4' AS final_name FROM m)
-SELECT final_name, count(*) AS n_rows FROM f GROUP BY 1 HAVING count(*) > 1""")
+_SUFFIX_ROWS = """
+wanted AS (
+  SELECT p_partkey, 'part_' || (p_size % 5) || CASE WHEN p_partkey % 11 = 0 THEN '_' || (p_partkey % 40 + 1) ELSE '' END AS stem
+  FROM part),
+there AS (
+  SELECT DISTINCT 'part_' || (s_suppkey % 4) || CASE WHEN s_suppkey % 3 = 0 THEN '_' || s_suppkey ELSE '' END AS stem
+  FROM supplier)"""
+
+
+def _suffix_rows(t):
+    number = lambda c: c.cast("string")
+    extra = F.when(F.col("p_partkey") % 11 == 0, F.concat(F.lit("_"), number(F.col("p_partkey") % 40 + 1))).otherwise("")
+    rows = t.part.select("p_partkey", F.concat(F.lit("part_"), number(F.col("p_size") % 5), extra, F.lit(".mp4")).alias("name"))
+    extra = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("_"), number(F.col("s_suppkey")))).otherwise("")
+    there = t.supplier.select(F.concat(F.lit("part_"), number(F.col("s_suppkey") % 4), extra, F.lit(".mp4")).alias("name"))
+    return rows, there
+
+
+@query("WIN-4", f"""
+WITH {_SUFFIX_ROWS},
+numbered AS (
+  SELECT p_partkey, w.stem, row_number() OVER (PARTITION BY w.stem ORDER BY p_partkey)
+           - CASE WHEN t.stem IS NULL THEN 1 ELSE 0 END AS q
+  FROM wanted w LEFT JOIN there t ON t.stem = w.stem),
+used AS (SELECT stem FROM there UNION SELECT stem FROM wanted),
+tried AS (
+  SELECT stem, unnest(range(1, (SELECT count(*) FROM used) + max(q) + 1)) AS n FROM numbered GROUP BY stem),
+free AS (
+  SELECT stem, n, row_number() OVER (PARTITION BY stem ORDER BY n) AS q FROM tried
+  WHERE stem || '_' || n NOT IN (SELECT stem FROM used))
+SELECT p_partkey, w.stem || '.mp4' AS name, w.stem || CASE WHEN w.q = 0 THEN '' ELSE '_' || n END || '.mp4' AS final_name
+FROM numbered w LEFT JOIN free f ON f.stem = w.stem AND f.q = w.q""")
+def free_suffixes(t):
+    rows, there = _suffix_rows(t)
+    return renames.suffix_collisions(rows, "name", "p_partkey", taken=there)
+
+
+@query("WIN-4", "SELECT CAST('' AS VARCHAR) AS final_name, CAST(0 AS BIGINT) AS n_rows WHERE false")
 def suffix_clashes(t):
-    stem = F.concat("p_name", F.when(F.col("p_size") <= 25, "_1").otherwise(""), F.lit(".mp4"))
-    named = t.part.select("p_partkey", stem.alias("name"))
-    return renames.name_clashes(renames.suffix_collisions(named, "name", "p_partkey"))
+    """No name is given twice, nor one that is there."""
+    rows, there = _suffix_rows(t)
+    renamed = renames.suffix_collisions(rows, "name", "p_partkey", taken=there).select("final_name")
+    return renames.name_clashes(renamed.unionByName(there.distinct().toDF("final_name")))

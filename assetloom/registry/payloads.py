@@ -69,6 +69,39 @@ def clip_rows(t):
         "p_partkey", "id", "clipName", "duration", "width")
 
 
+@query("SRC-7 STR-12", """
+SELECT p_partkey, CAST(i AS INTEGER) AS item_no, CASE WHEN i = 1 THEN 'image' ELSE 'video' END AS kind,
+       'https://i.example.com/' || p_partkey || CASE WHEN i = 1 THEN '.jpeg' ELSE '.mp4' END AS download_link,
+       CASE WHEN p_size % 2 = 0 AND i = 1 THEN p_name ELSE '' END AS description, p_brand AS tags
+FROM part, (SELECT unnest([0, 1]) AS i) WHERE i = 1 OR p_size % 3 = 0""")
+def image_rows(t):
+    """Pages whose items have an image, a video (which counts first), both, or neither."""
+    link = lambda end: F.concat(F.lit("https://i.example.com/"), F.col("p_partkey").cast("string"), F.lit(end))
+    source = lambda end: F.struct(link(end).alias("download_link"))
+    tags = F.array(F.struct(F.col("p_brand").alias("name"))).alias("tags")
+    first = F.struct(tags, F.when(F.col("p_size") % 3 == 0, source(".mp4")).alias("video"),
+                     F.when(F.col("p_size") % 3 == 0, source(".png")).alias("image"), F.lit(None).cast("string").alias("description"))
+    second = F.struct(tags, F.lit(None).cast("struct<download_link:string>").alias("video"), source(".jpeg").alias("image"),
+                      F.when(F.col("p_size") % 2 == 0, F.col("p_name")).alias("description"))
+    body = F.to_json(F.struct(F.array(*(F.struct(x.alias("attributes")) for x in (first, second))).alias("data")))
+    pages = t.part.select("p_partkey", F.lit("kw").alias("keyword"), body.alias("body"))
+    return ingest.asset_rows(pages).where("download_link IS NOT NULL").select(
+        "p_partkey", "item_no", "kind", "download_link", "description", "tags")
+
+
+@query("SRC-7 JSN-3", """
+SELECT p_partkey, 'c' || p_partkey AS id, CAST(i AS INTEGER) AS format_no, 'f' || i AS format_id,
+       p_type || ' ' || i AS format_name
+FROM (SELECT *, unnest(range(p_size % 4)) AS i FROM part)""")
+def clip_formats(t):
+    formats = F.transform(F.slice(F.sequence(F.lit(0), F.lit(3)), F.lit(1), F.col("p_size") % 4), lambda i: F.struct(
+        F.concat(F.lit("f"), i.cast("string")).alias("id"), F.concat("p_type", F.lit(" "), i.cast("string")).alias("displayName")))
+    clip = F.struct(F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("id"), formats.alias("availableFormats"))
+    body = F.to_json(F.struct(F.struct(F.struct(F.array(clip).alias("exactResults")).alias("clipList")).alias("data")))
+    clips = ingest.clip_rows(t.part.select("p_partkey", body.alias("body")))
+    return ingest.clip_formats(clips).select("p_partkey", "id", "format_no", "format_id", "format_name")
+
+
 @query("JSN-2 MTH-3 MTH-4 FLT-13 JSN-3", """
 WITH p AS (
   SELECT event_id, event_type, value, CASE event_type WHEN 'click' THEN 30000 / 1001.0::DOUBLE

@@ -3,15 +3,22 @@
 from pyspark.sql import functions as F
 
 from assetloom.functions import strings as S
+from assetloom.operators import ordering as O
 from assetloom.registry.base import query
 from assetloom.session import scratch_path
 from assetloom.sources import readers as R, sinks
 
 
-@query("SRC-1", None)
+@query("SRC-1", """
+SELECT lang, CAST(sum(strlen(doc_id || source) + 1) AS BIGINT) AS length FROM documents WHERE lang <> 'de' GROUP BY lang""")
 def table_files(t):
-    files = R.file_inventory(t.spark, t.folder)
-    return files.select(S.base_name(F.col("path")).alias("name"), "length")
+    """One text file per language, listed with its size; others are not listed."""
+    root = scratch_path(t.spark, "files")
+    lines = t.documents.select("lang", F.concat(F.col("doc_id").cast("string"), "source").alias("value"))
+    lines.where("lang <> 'de'").repartition("lang").write.partitionBy("lang").text(root)
+    lines.where("lang = 'de'").repartition("lang").write.mode("append").partitionBy("lang").json(root)
+    files = R.file_inventory(t.spark, root, "*.txt")
+    return files.select(F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang"), "length")
 
 
 @query("SRC-2 SRC-8", "SELECT url FROM pages")
@@ -48,6 +55,24 @@ def map_ledger(t):
     return R.map_ledger(t.spark, path, whole_file=False).select("key", "url", "status", "title")
 
 
+@query("SRC-5", """
+SELECT md5(url) AS key, url, CAST(page_id % 2 AS INTEGER) AS status, '},"{' || page_id AS title FROM pages""")
+def whole_map_ledger(t):
+    """All pages in one map in one file, an entry over several lines, and a file that breaks off."""
+    path = scratch_path(t.spark, "whole-map-ledger")
+    quoted = F.concat(F.lit('},"{'), F.col("page_id").cast("string"))
+    record = F.to_json(F.struct("url", (F.col("page_id") % 2).cast("int").alias("status"), quoted.alias("title")))
+    entry = F.concat(F.lit('  "'), S.url_key(F.col("url")), F.lit('": {\n    '), F.substring(record, F.lit(2), F.length(record) - 2),
+                     F.lit("\n  }"), F.when(F.col("n") == F.col("last"), "").otherwise(","))
+    numbered = O.number_rows(t.pages.select("page_id", "url"), ["page_id"]).withColumn(
+        "last", t.pages.agg(F.count(F.lit(1)).alias("n")).scalar())
+    body = numbered.select("n", entry.alias("value"))
+    ends = t.spark.range(2).select((F.col("id") * (1 << 60)).alias("n"), F.when(F.col("id") == 0, "{").otherwise("}").alias("value"))
+    (body.unionByName(ends).coalesce(1).sortWithinPartitions("n").select("value").write.text(path))
+    body.where("n <= 5").coalesce(1).select("value").write.mode("append").text(path)
+    return R.map_ledger(t.spark, path).select("key", "url", "status", "title")
+
+
 @query("SRC-6", "SELECT url AS path FROM pages")
 def done_paths(t):
     path = scratch_path(t.spark, "done")
