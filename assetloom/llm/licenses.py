@@ -110,8 +110,8 @@ MOST_DIFFERENT = 0.1
 #: Templates that a block's compression puts first; only they are confirmed. Those of one family of licenses differ by a
 #: word or two, so all of a family must find room.
 LEADING = 8
-#: Words on either side of a trigger of the narrow block, for templates of one line.
-NARROW = 12
+#: Words on either side of a trigger of the narrow blocks, for templates of one line and of a few words.
+NARROW = (12, 5)
 
 HITS = ("doc_id bigint, line bigint, start bigint, end bigint, license string, saved double, rank int, "
         "n_missing bigint, n_strange bigint, wording string")
@@ -188,10 +188,10 @@ class Templates:
         return first, end, len(want) - same, strange, " ".join(notes), any(map(_decides, differ))
 
     def leading(self, part: tuple[str, ...], at: int) -> list[tuple[float, int]]:
-        """(share saved, template) of the ``LEADING`` templates of the block, and of the narrow block around word
+        """(share saved, template) of the ``LEADING`` templates of the block, and of the narrow blocks around word
         ``at``, best first: text around a short notice hides what its template saves."""
         best: dict[int, tuple[int, float]] = {}
-        for words in (part, part[max(0, at - NARROW):at + NARROW]):
+        for words in (part, *(part[max(0, at - n):at + n] for n in NARROW)):
             for rank, (saved, i) in enumerate(self.ranked(" ".join(words))[:LEADING]):
                 best[i] = min(best.get(i, (rank, -saved)), (rank, -saved))
         return [(-saved, i) for (_, saved), i in sorted((v, i) for i, v in best.items())]
@@ -244,7 +244,7 @@ def license_hits(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None =
     A notice may span lines; only words count, so white space, line breaks and comment marks between them do
     not matter. Around each trigger word a block is compressed alone
     and with every template as raw zstandard dictionary; templates are ranked by the bytes they save, in this block and in
-    a narrow one for short notices. The ``LEADING`` ones of each are confirmed by the exact difference in words, no others. Among the confirmed the
+    two narrow ones for short notices. The ``LEADING`` ones of each are confirmed by the exact difference in words, no others. Among the confirmed the
     ones that explain most words win, then the fewest differences, then the rank; hits of a text do not overlap.
 
     Only documents that hold a trigger leave the JVM; nothing is shuffled. Null and empty texts
