@@ -457,7 +457,7 @@ def test_the_ranking_decides_what_is_confirmed(monkeypatch):
     texts = [f"{'some words of code ' * 12}{t} {'and some more of it ' * 12}" for own in licenses.TEMPLATES.values() for t in own]
     found = [{h[2] for h in prepared.scan(t)} for t in texts]
     assert all(found)
-    assert len(prepared.leading(tuple("no notice at all here".split()), 2)) <= 2 * licenses.LEADING < len(prepared.rows)
+    assert len(prepared.leading(tuple("no notice at all here".split()), 2)) <= 3 * licenses.LEADING < len(prepared.rows)
     monkeypatch.setattr(licenses.Templates, "ranked", lambda self, block: [(0.0, i) for i in range(len(self.rows))])
     constant = licenses.Templates(licenses.TEMPLATES)
     assert sum(not constant.scan(t) for t in texts) > len(texts) // 2
@@ -466,6 +466,14 @@ def test_the_ranking_decides_what_is_confirmed(monkeypatch):
     assert sum(not backwards.scan(t) for t in texts) > len(texts) // 2
 
 
+@pytest.mark.parametrize("text", [
+    "All rights reserved.\nThe eratened th, handha, reat re ates thtintsh eneaer ea.",
+    "Ing to ndsh wasertionstwh it enat and thor, whble, ly.\nAll rights reserved.",
+    "onnt rein and ingontion, from retion by haor thinti ndtion.\nLicensed under CC BY-NC 4.0."])
+def test_short_notices_beside_other_words(text):
+    assert len(licenses.Templates(licenses.TEMPLATES).scan(text)) == 1
+
+
 def test_wrapped_license_line(spark):
     text = "a\n# Permission is hereby\n# granted, " + licenses.TEMPLATES["MIT"][1].split("granted, ")[1].replace(" of ", "\n# of ")
     rows = licenses.license_report(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
