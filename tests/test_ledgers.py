@@ -176,3 +176,14 @@ def test_sets(spark):
     assert sets.bag_union(a, b).count() == 5
     assert rows(sets.difference(a, b)) == [(2,)]
     assert rows(sets.bag_difference(a, b)) == [(1,), (2,)]
+
+
+def test_pending_pages_go_by_clean_url(spark, tmp_path):
+    """A URL is done for every page that lists it, however it is written there."""
+    from assetloom.registry import QUERIES
+    urls = ["https://a.example.com/x", "https://a.example.com/x_ ", "https://a.example.com/y_", "https://a.example.com/z"]
+    spark.createDataFrame(list(enumerate(urls, 1)), "page_id bigint, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame([(1, 1), (3, 1), (4, 0)], "doc_id bigint, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert [(r["page_id"], r["url"]) for r in QUERIES["pending_pages"](spark, str(tmp_path)).collect()] == [(4, urls[3])]
+    report = QUERIES["pending_report"](spark, str(tmp_path)).first()
+    assert (report["listed"], report["done"], report["pending"]) == (4, 3, 1)
