@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assetloom.functions import strings as S
-from assetloom.operators import ledger as L
+from assetloom.operators import ledger as L, spacing
 from assetloom.operators.spacing import keep_spaced
 from assetloom.plans import logs, renames
 from assetloom.sources import readers
@@ -153,3 +153,26 @@ def test_whole_file_maps_are_read_by_entry(spark, tmp_path):
     assert got == expected | {"one": ("line", 1, None), "a": ("far", None, None), "b": ("same line", None, None)}
     # an entry is a row of its own, whatever the size of the map
     assert readers.map_chunks(spark, str(tmp_path / "a.json")).where("length(body) < 100").count() >= 300
+
+
+@pytest.mark.parametrize("longest", [0, 40, 8192])
+def test_throttle_cuts_where_a_row_is_kept_anyhow(spark, longest):
+    """Blocks of all lengths, with jumps, runs of equal rows, marked rows and odd values between them."""
+    draw = random.Random(longest)
+    at, rows, percent = 0.0, [], 0.0
+    for i in range(1500):
+        at += draw.choice([0, 0, 0, 0.01, 0.01, 0.02, 0.3])
+        percent = draw.choice([percent, percent, percent, min(percent + 0.4, 98.0), draw.random() * 100, 98.0 - percent / 2])
+        rows.append(("hot" if i % 6 else draw.choice(["a", None]), T0 + timedelta(seconds=at), i, percent))
+    rows += [("odd", T0 + timedelta(seconds=i / 100), i, v) for i, v in enumerate([1.0, float("inf"), 2.0, 2.0, -5.0])]
+    for seconds, points in ((0.5, 20), (2, 35), (0.2, 0.4)):
+        assert run_throttle(spark, rows, seconds, points, longest=longest, span=2) == plain_throttle(rows, seconds, points)
+
+
+def test_throttle_puts_a_dense_hot_key_in_blocks(spark):
+    """All rows of one key within min_seconds: no array of the plan holds more than a block of them."""
+    frame = spark.range(20_000).select(F.lit("k").alias("key"), F.timestamp_micros(F.lit(10 ** 15) + F.col("id")).alias("at"),
+                                       "id", (F.col("id") * 37 % 98).cast("double").alias("percent"))
+    told = spacing._blocks(frame, ["key"], ["at", "id"], "percent", F.col("percent") >= 99, 10 ** 9, 20)
+    sizes = [r["count"] for r in told.groupBy("_key").count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 2 * spacing.BLOCK
