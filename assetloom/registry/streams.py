@@ -26,7 +26,7 @@ def _in_files(rows, file_no):
     """The rows as a stream of one file after the other, one micro-batch each."""
     path = scratch_path(rows.sparkSession, "event-files")
     for n in range(FILES + 1):
-        rows.where(file_no == n).coalesce(1).write.mode("append").parquet(path)
+        rows.where(file_no == n).repartition(1).write.mode("append").parquet(path)
     return arrivals.table_stream(rows.sparkSession, path, files_per_trigger=1)
 
 
@@ -131,7 +131,8 @@ def stream_throttle(t):
         F.col("user_id").alias("asset_id"), F.col("event_id").alias("pos"), F.col("ts").cast("timestamp").alias("ts"),
         (F.col("value") % 100).alias("percent"))
     kept = arrivals.drain_closed_to_table(
-        progress, "ts", lambda rows: state.throttle_progress(rows, 3600, 20, None, late_by="1 hour", slot="5 days", tie="pos"),
+        progress, "ts", lambda rows: state.throttle_progress(rows, 3600, 20, None, late_by="1 hour", slot="5 days", tie="pos",
+                                                             buckets=state.BUCKETS),
         "throttled")
     return kept.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 

@@ -79,6 +79,41 @@ def test_throttle(spark, tmp_path):
     assert sorted(map(tuple, kept.collect())) == sorted(expected)
 
 
+def test_throttle_by_buckets(spark, tmp_path):
+    """Many keys share a record of the state; nulls, ties and late times keep their meaning."""
+    rows = [(i % 150 if i % 7 else None, T0 + timedelta(milliseconds=40 * i - 300 * (i % 2)), i, (i * 37 % 1001) / 10 if i % 11 else None)
+            for i in range(3000)] + [(1, datetime(2500, 1, 1), 3000, 5.0)]
+    stream = as_files(spark, rows, "asset_id bigint, ts timestamp, pos bigint, percent double", 3, str(tmp_path / "in"))
+    kept = arrivals.drain_closed_to_table(stream, "ts", lambda s: state.throttle_progress(
+        s, 20, 15, None, late_by="10 seconds", slot="3 seconds", tie="pos", buckets=4), "kept")
+    expected, last = [], {}
+    for key, ts, pos, percent in sorted((r for r in rows if None not in (r[0], r[3])), key=lambda r: r[1:3]):
+        at, before = last.get(key, (datetime(1, 1, 1), 0))
+        if (ts - at).total_seconds() >= 20 or abs(percent - before) >= 15 or percent >= 99:
+            last[key] = ts, percent
+            expected.append((key, ts, pos, percent))
+    assert sorted(map(tuple, kept.collect())) == sorted(expected)
+    assert kept.dtypes == [("asset_id", "bigint"), ("ts", "timestamp"), ("pos", "bigint"), ("percent", "double")]
+
+
+def test_stable_by_buckets(spark, tmp_path):
+    """As ``test_silent_files_are_forgotten``, and the state has far fewer records than there are paths."""
+    rows = [(f"f{i}", T0 + timedelta(seconds=s), s, 5) for s in (0, 1, 2, 9, 10, 11) for i in range(200)]
+    rows += [(f"g{i}", T0 + timedelta(seconds=s), s, None if s == 61 else 1) for s in (60, 61, 62, 120) for i in range(200)]
+    stream = as_files(spark, rows, SNAPSHOT, 8, str(tmp_path / "in"))
+    checkpoint, out = str(tmp_path / "checkpoint"), str(tmp_path / "out")
+    told = state.stable_files(stream, 2, "5 seconds", late_by="0 seconds", slot="1 second", tie="look", buckets=2)
+    arrivals.start(told.writeStream.format("parquet").option("path", out), checkpoint, once=True).awaitTermination()
+    got = sorted((r.look, r.length, r.stable, r["n"]) for r in spark.read.parquet(out).groupBy("look", "length", "stable").agg(
+        F.count(F.lit(1)).alias("n")).collect() if r.look != 61)
+    assert got == [(0, 5, False, 200), (1, 5, False, 200), (2, 5, True, 200), (9, 5, False, 200), (10, 5, False, 200),
+                   (11, 5, True, 200), (60, 1, False, 200), (62, 1, False, 200)]
+    assert spark.read.parquet(out).where("look = 61 AND length IS NULL AND NOT stable").count() == 200
+    for name in ("last", "held"):
+        records = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+        assert 0 < records.count() <= 2 * state.SHARDS
+
+
 def folders(path):
     return {p.name for p in path.iterdir()}
 
