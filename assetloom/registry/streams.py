@@ -86,7 +86,8 @@ def _stable(events):
         path.alias("path"), F.col("ts").cast("timestamp").alias("snapshot_ts"), F.col("event_id").alias("look"),
         F.floor(F.col("value") / 120).alias("length"))
     flagged = arrivals.drain_closed_to_table(
-        looks, "snapshot_ts", lambda rows: state.stable_files(rows, 2, None, late_by="1 hour", slot="5 days", tie="look"),
+        looks, "snapshot_ts", lambda rows: state.stable_files(rows, 2, None, late_by="1 hour", slot="5 days", tie="look",
+                                                                    buckets=state.BUCKETS),
         "stable")
     return flagged.select("path", F.col("snapshot_ts").cast("timestamp_ntz").alias("snapshot_ts"), "length", "stable")
 
