@@ -20,8 +20,10 @@ CENTERS, FASTER = 1, 16
 #: Marks of three bits, any two of which differ in two bits, so differing bits count differing bins.
 MARKS = np.array([0b000, 0b011, 0b101, 0b110], np.uint64)
 MARKS_PER_LONG, LONGS = 21, -(-BINS // 21)
+#: Longs of a parity sketch; a larger set has a bit or two for two shingles.
+PARITY_LONGS = 16
 
-SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>"
+SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>"
 
 
 def shingle_set(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
@@ -69,6 +71,39 @@ def may_link(percent: int) -> Column:
         (100 + percent) * differing_bits("sketch", "center_sketch") <= 2 * (100 - percent) * (low + high))
 
 
+def parity(values: np.ndarray) -> np.ndarray:
+    """Whether the number of hashes that fall on a bit is odd, for each of 1024 bits, or of a larger power of two.
+
+    A hash that is in one of two sets only turns one bit, so the number of bits in which two sketches differ is a lower
+    bound of the size of the symmetric difference. Both halves put together are the sketch of half the length.
+    """
+    bits = max(64 * PARITY_LONGS, 1 << max(0, len(values) // 2 - 1).bit_length())
+    odd = np.bincount((mixed(values) % np.uint64(bits)).astype(np.int64), minlength=bits) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def turned_bits(a: str, b: str) -> Column:
+    """The number of different bits of two parity columns, the longer one folded to the length of the other."""
+    written_out = F.lit(0)
+    for i in range(PARITY_LONGS):
+        written_out = written_out + F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+    longs = F.least(F.size(a), F.size(b))
+
+    def folded(column: str, i: Column) -> Column:
+        return F.aggregate(F.sequence(i, F.size(column) - 1, longs), F.lit(0).cast("bigint"),
+                           lambda bits, j: bits.bitwiseXOR(F.get(column, j)))
+
+    any_length = F.aggregate(F.sequence(F.lit(0), longs - 1), F.lit(0),
+                             lambda total, i: total + F.bit_count(folded(a, i).bitwiseXOR(folded(b, i))))
+    return F.when(F.greatest(F.size(a), F.size(b)) == PARITY_LONGS, written_out).otherwise(any_length)
+
+
+def near_enough(percent: int) -> Column:
+    """As ``may_link``, by the parity sketches, which tell more of sets that differ in many shingles."""
+    return ((100 + percent) * turned_bits("parity", "center_parity")
+            <= (100 - percent) * (F.col("n_shingles") + F.col("center_n")))
+
+
 def signature(out: np.ndarray, filled: np.ndarray) -> np.ndarray:
     """One-permutation signature: the smallest value of each bin; at least one bin is filled.
 
@@ -102,15 +137,15 @@ def signed_documents(docs: DataFrame, n: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for text in batch.column("text"):
                 values = shingle_set((text.as_py() or "").encode(), n, hashes)
                 name = np.frombuffer(xxhash.xxh3_128_digest(values.tobytes()), ">i8")
-                bands = marks = np.zeros(0, np.int64)
+                bands = marks = odd = np.zeros(0, np.int64)
                 if len(values):
                     bins = smallest(values)
-                    bands, marks = band_hashes(signature(*bins)), sketch(*bins)
-                row = (len(values), int(name[0]), int(name[1]), bands, marks)
+                    bands, marks, odd = band_hashes(signature(*bins)), sketch(*bins), parity(values)
+                row = (len(values), int(name[0]), int(name[1]), bands, marks, odd)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -122,8 +157,10 @@ def signed_documents(docs: DataFrame, n: int) -> DataFrame:
 
 def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
-    texts = docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    others = docs.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    def texts_of(side: str) -> DataFrame:
+        """Texts that a pair needs; the others are not shuffled where the pairs are few."""
+        texts = docs.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
+        return texts.join(pairs.select(side).distinct(), side, "left_semi")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -149,7 +186,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
                     kept.append(i)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
 
-    return pairs.join(texts, "a").join(others, "b").select("a", "text_a", "b", "text_b").mapInArrow(
+    return pairs.join(texts_of("a"), "a").join(texts_of("b"), "b").select("a", "text_a", "b", "text_b").mapInArrow(
         check, "a bigint, b bigint")
 
 
@@ -167,7 +204,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     still has nodes of several components, further rounds take its next nodes as centres, 16
     times as many each time, until every bucket is one component or every node of it
     has been a centre. A node and a centre whose set sizes or sketches rule the similarity out
-    make no edge (an exact bound, see ``sketch``); no other pair of a bucket goes untested.
+    make no edge (exact bounds, see ``sketch`` and ``parity``); no other pair of a bucket goes untested.
 
     Null and empty texts and texts of white space have no shingles and are linked
     with nothing; fewer than ``n`` words make one shingle. Rows with one doc_id are one
@@ -180,14 +217,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     sets = materialize(sets, "sets")
     nodes = full.join(sets.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     nodes = nodes.withColumnRenamed("doc_id", "node")
-    marks = nodes.select("node", "n_shingles", "sketch")
+    marks = nodes.select("node", "n_shingles", "sketch", "parity")
     placed = nodes.select("node", F.posexplode("bands").alias("band", "hash")).select(
         F.xxhash64("band", "hash").alias("bucket"), "node")
     sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialize(placed.join(sizes, "bucket"), "buckets")
     weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
     buckets = materialize(shared.join(weights, "node").join(marks, "node")
-                          .select("bucket", "node", "weight", "n_shingles", "sketch"), "weighed")
+                          .select("bucket", "node", "weight", "n_shingles", "sketch", "parity"), "weighed")
 
     tested = None
     labels = buckets.select("node", F.col("node").alias("component")).where("1 = 0")
@@ -196,8 +233,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     while not open_.isEmpty():
         tops = (open_.withColumn("rank", F.row_number().over(by_weight)).where(F.col("rank") <= centers)
                      .select("bucket", F.col("node").alias("center"), F.col("component").alias("of"),
-                             F.col("n_shingles").alias("center_n"), F.col("sketch").alias("center_sketch")))
-        pairs = (open_.join(tops, "bucket").where((F.col("component") != F.col("of")) & may_link(percent))
+                             F.col("n_shingles").alias("center_n"), F.col("sketch").alias("center_sketch"),
+                             F.col("parity").alias("center_parity")))
+        linkable = (F.col("component") != F.col("of")) & may_link(percent) & near_enough(percent)
+        pairs = (open_.join(tops, "bucket").where(linkable)
                       .select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct())
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

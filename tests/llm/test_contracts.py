@@ -1,5 +1,6 @@
 """Every operator against its plain form, on driver tables and on odd texts."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -307,6 +308,47 @@ def test_near_duplicate_bound_loses_no_link(spark):
     assert sum(may) < len(may)  # it rules pairs out, most of all small sets
 
 
+def test_parity_bound_loses_no_link(spark):
+    """Sets of all sizes, also of different sketch lengths; it rules out what the marks let through."""
+    import numpy as np
+    draw = np.random.default_rng(5)
+    rows, links = [], []
+    for i in range(300):
+        size, new = int(draw.choice([1, 5, 150, 700, 2040, 4095, 9000])), draw.random() * 0.4
+        one = np.unique(draw.integers(0, 2**64, size, dtype=np.uint64))
+        other = np.unique(np.concatenate([one[draw.random(len(one)) >= new / 2],
+                                          draw.integers(0, 2**64, int(size * new / 2) + 1, dtype=np.uint64)]))
+        same = len(np.intersect1d(one, other))
+        links.append(100 * same >= 85 * (len(one) + len(other) - same))
+        told = [f(x) for f in (lambda x: minhash.sketch(*minhash.smallest(x)), minhash.parity) for x in (one, other)]
+        rows.append((i, len(one), len(other), *(x.tolist() for x in told)))
+    frame = spark.createDataFrame(rows, "i int, n_shingles bigint, center_n bigint, sketch array<bigint>, "
+                                  "center_sketch array<bigint>, parity array<bigint>, center_parity array<bigint>")
+    got = frame.select("i", minhash.may_link(85).alias("may"), minhash.near_enough(85).alias("near")).orderBy("i").collect()
+    assert all(r["near"] for r, link in zip(got, links, strict=True) if link) and any(links)
+    by_marks = sum(r["may"] for r in got)
+    assert sum(links) <= sum(r["may"] and r["near"] for r in got) < by_marks - (by_marks - sum(links)) // 2
+
+
+def test_copies_of_a_copy_make_few_pairs(spark, monkeypatch):
+    """Many variants of one text that are not near each other share buckets, but few of their pairs go to the texts."""
+    draw = random.Random(3)
+    base = [f"w{i}" for i in range(150)]
+    docs = []
+    for i in range(200):  # single words changed here and there: a similarity of about 70 per cent
+        words = list(base)
+        for at in draw.sample(range(150), 5):
+            words[at] = f"v{i}x{at}"
+        docs.append((i, " ".join(words)))
+    tested = []
+    confirmed = minhash.confirmed
+    monkeypatch.setattr(minhash, "confirmed", lambda pairs, *rest: tested.append(pairs.count()) or confirmed(pairs, *rest))
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 3, 85).collect()
+    want = brute.near(docs, 3, 85)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+    assert sum(tested) < 2000  # of 19,900
+
+
 def test_near_duplicates_without_keys(spark):
     rows = [(None, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, None), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
