@@ -20,7 +20,7 @@ CENTERS, FASTER = 1, 16
 #: Marks of three bits, any two of which differ in two bits, so differing bits count differing bins.
 MARKS = np.array([0b000, 0b011, 0b101, 0b110], np.uint64)
 MARKS_PER_LONG, LONGS = 21, -(-BINS // 21)
-#: Longs of a parity sketch; a larger set has a bit or two for two shingles.
+#: Longs of a parity sketch; sets of more than 2048 shingles have half a bit to one bit a shingle.
 PARITY_LONGS = 16
 
 SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>"
