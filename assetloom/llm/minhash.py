@@ -24,6 +24,7 @@ MARKS_PER_LONG, LONGS = 21, -(-BINS // 21)
 PARITY_LONGS = 16
 
 SIGNED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch array<bigint>, parity array<bigint>"
+SPACED = "node bigint, set_a bigint, set_b bigint, n_shingles bigint, apart bigint, size bigint, end bigint, items array<bigint>"
 
 
 def shingle_set(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
@@ -130,6 +131,12 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def name_of(values: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a set."""
+    name = np.frombuffer(xxhash.xxh3_128_digest(values.tobytes()), ">i8")
+    return int(name[0]), int(name[1])
+
+
 def signed_documents(docs: DataFrame, n: int) -> DataFrame:
     """Per document: set size, 128 bits that name the set, band hashes (none for an empty set)."""
     schema = like(SIGNED)
@@ -140,12 +147,11 @@ def signed_documents(docs: DataFrame, n: int) -> DataFrame:
             out: list[list] = [[], [], [], [], [], []]
             for text in batch.column("text"):
                 values = shingle_set((text.as_py() or "").encode(), n, hashes)
-                name = np.frombuffer(xxhash.xxh3_128_digest(values.tobytes()), ">i8")
                 bands = marks = odd = np.zeros(0, np.int64)
                 if len(values):
                     bins = smallest(values)
                     bands, marks, odd = band_hashes(signature(*bins)), sketch(*bins), parity(values)
-                row = (len(values), int(name[0]), int(name[1]), bands, marks, odd)
+                row = (len(values), *name_of(values), bands, marks, odd)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -190,6 +196,74 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFr
         check, "a bigint, b bigint")
 
 
+def spaced(texts: DataFrame, references: DataFrame, n: int) -> DataFrame:
+    """Per set of the nodes of ``references`` (node, reference): its shingles, and what it and its reference's set differ in.
+
+    Two sets differ in as many shingles as their differences from a third set do, so sets of one reference can be held against
+    each other by those alone, and need not be (they have the same ``apart``) by their shingles. A set that
+    shares less than three quarters with its reference has no such row. Items of a reference are hashed with it, as is ``end``.
+    """
+    def space(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, schema = WordHashes(), like(SPACED)
+        last: tuple[int | None, np.ndarray] = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            columns = (batch.column(c) for c in ("node", "text", "reference", "reference_text"))
+            for node, text, reference, reference_text in zip(*columns, strict=True):
+                if reference.as_py() != last[0]:
+                    last = reference.as_py(), shingle_set((reference_text.as_py() or "").encode(), n, hashes)
+                own = shingle_set((text.as_py() or "").encode(), n, hashes)
+                other = np.setxor1d(own, last[1], assume_unique=True)
+                by = mixed(np.array([last[0]], np.int64).view(np.uint64))
+                near = 2 * len(other) <= len(own)
+                spaces = [(last[0] if near else None, None, own)]
+                if near:
+                    spaces.append((None, int(by.view(np.int64)[0]), mixed(other * GOLDEN + by)))
+                rows = [(node.as_py(), *name_of(own), len(own), apart, len(items), end, items.view(np.int64))
+                        for apart, end, items in spaces]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    own = texts.withColumnRenamed("doc_id", "node").join(references, "node")
+    third = (texts.withColumnRenamed("doc_id", "reference").join(references.select("reference").distinct(), "reference", "left_semi")
+                  .groupBy("reference").agg(F.min("text").alias("reference_text")))
+    return (own.join(third, "reference").select("node", "text", "reference", "reference_text").mapInArrow(space, SPACED)
+               .dropDuplicates(["node", "set_a", "set_b", "end"]))
+
+
+def prefixes(texts: DataFrame, references: DataFrame, n: int, percent: int) -> DataFrame:
+    """(bucket, node, set_a, set_b, apart, slack) for the first items of each set of ``spaced``, in order of how few sets have them.
+
+    A bucket is an item of several sets. Of two sets, all that comes before their first common item is in one set only, so
+    ``slack``, (100 - percent) * shingles - (100 + percent) * items before it, adds up to 0 or more in that bucket if they
+    are similar by ``percent``. Differences also end in an item that all of their reference have, for sets that
+    differ from it in nothing common. Items that come too late for any other set end the list.
+    """
+    sets = materialize(spaced(texts, references, n), "spaced")
+    key = ["node", "set_a", "set_b", "apart", "n_shingles", "size", "end"]
+    rows = sets.select(*key, F.explode("items").alias("bucket"))
+    held = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    of_set = W.partitionBy("node", "set_a", "set_b", "end")
+    alone = F.col("size") - F.count(F.lit(1)).over(of_set)
+    placed = rows.join(held, "bucket").select(
+        *key, "bucket", (alone + F.row_number().over(of_set.orderBy("n", "bucket")) - 1).alias("before"))
+    ends = sets.where("end IS NOT NULL").select(*key, F.col("end").alias("bucket"), F.col("size").alias("before"))
+    # more than this before it, in one of two similar sets only: of their shingles, or of both their shingles
+    late = (F.when(F.col("end").isNull(), 100 * F.col("before") > (100 - percent) * F.col("n_shingles"))
+             .otherwise(percent * F.col("before") > (100 - percent) * F.col("n_shingles")))
+    return placed.unionByName(ends).where(~late).select(
+        "bucket", "node", "set_a", "set_b", F.coalesce("apart", F.xxhash64(F.lit("own"), "node")).alias("apart"),
+        ((100 - percent) * F.col("n_shingles") - (100 + percent) * F.col("before")).alias("slack"))
+
+
+def within_reach(buckets: DataFrame, part: str = "component") -> DataFrame:
+    """Rows whose bucket has a row of another ``part``, with slacks that add up to 0 or more."""
+    first = buckets.groupBy("bucket").agg(F.max(F.struct("slack", part)).alias("first"))
+    other = (buckets.join(first, "bucket").where(F.col(part) != F.col(f"first.{part}"))
+                    .groupBy("bucket").agg(F.first("first").alias("first"), F.max("slack").alias("other")))
+    best = F.when(F.col(part) == F.col(f"first.{part}"), F.col("other")).otherwise(F.col("first.slack"))
+    return buckets.join(other, "bucket").where(F.col("slack") + best >= 0).select(*buckets.columns)
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, n_copies (documents with its very set).
 
@@ -200,11 +274,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     Documents with one and the same set are one node. Nodes that share a band of the
     signature share a bucket (``BANDS`` of ``ROWS`` values: a pair at 85 per cent shares none with
     a chance of 10^-8, at 80 per cent of 4 * 10^-6). A bucket gives star-shaped edges from its
-    most shared node, not all pairs. Edges are confirmed on whole sets. Where a bucket
-    still has nodes of several components, further rounds take its next nodes as centres, 16
-    times as many each time, until every bucket is one component or every node of it
-    has been a centre. A node and a centre whose set sizes or sketches rule the similarity out
-    make no edge (exact bounds, see ``sketch`` and ``parity``); no other pair of a bucket goes untested.
+    most shared node, not all pairs. Edges are confirmed on whole sets. Nodes of
+    buckets that still have several components are dealt anew, by their rarest shingles (see ``prefixes``), which
+    keeps texts that are all a little less alike than ``percent`` apart. There the nodes with the fewest
+    rarer shingles are centres, 16 times as many in each round, until no node has one of another
+    component within its reach that it was not compared with. A node and a centre whose set sizes, places or sketches rule the
+    similarity out make no edge (exact bounds, see ``sketch`` and ``parity``); no other pair of a bucket goes untested.
 
     Null and empty texts and texts of white space have no shingles and are linked
     with nothing; fewer than ``n`` words make one shingle. Rows with one doc_id are one
@@ -217,25 +292,29 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     sets = materialize(sets, "sets")
     nodes = full.join(sets.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     nodes = nodes.withColumnRenamed("doc_id", "node")
-    marks = nodes.select("node", "n_shingles", "sketch", "parity")
+    marks = nodes.select("node", "set_a", "set_b", "n_shingles", "sketch", "parity").distinct()
     placed = nodes.select("node", F.posexplode("bands").alias("band", "hash")).select(
         F.xxhash64("band", "hash").alias("bucket"), "node")
     sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = materialize(placed.join(sizes, "bucket"), "buckets")
     weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
-    buckets = materialize(shared.join(weights, "node").join(marks, "node")
-                          .select("bucket", "node", "weight", "n_shingles", "sketch", "parity"), "weighed")
+    open_ = materialize(shared.join(weights, "node").join(marks, "node")
+                        .select("bucket", "node", "weight", F.lit(0).cast("bigint").alias("slack"), F.col("node").alias("apart"),
+                                "n_shingles", "sketch", "parity", F.col("node").alias("component")), "weighed")
 
     tested = None
-    labels = buckets.select("node", F.col("node").alias("component")).where("1 = 0")
-    open_, centers = buckets.withColumn("component", F.col("node")), CENTERS
+    labels = open_.select("node", "component").where("1 = 0")
+    banded, centers = True, CENTERS
     by_weight = W.partitionBy("bucket").orderBy(F.desc("weight"), "node")
     while not open_.isEmpty():
-        tops = (open_.withColumn("rank", F.row_number().over(by_weight)).where(F.col("rank") <= centers)
-                     .select("bucket", F.col("node").alias("center"), F.col("component").alias("of"),
-                             F.col("n_shingles").alias("center_n"), F.col("sketch").alias("center_sketch"),
-                             F.col("parity").alias("center_parity")))
-        linkable = (F.col("component") != F.col("of")) & may_link(percent) & near_enough(percent)
+        ranked = open_.withColumn("rank", F.row_number().over(by_weight))
+        tops = (ranked.where(F.col("rank") <= centers)
+                      .select("bucket", F.col("node").alias("center"), F.col("component").alias("of"),
+                              F.col("slack").alias("center_slack"), F.col("apart").alias("center_apart"),
+                              F.col("weight").alias("center_weight"), F.col("n_shingles").alias("center_n"),
+                              F.col("sketch").alias("center_sketch"), F.col("parity").alias("center_parity")))
+        linkable = ((F.col("component") != F.col("of")) & (F.col("apart") != F.col("center_apart"))
+                    & (F.col("slack") + F.col("center_slack") >= 0) & may_link(percent) & near_enough(percent))
         pairs = (open_.join(tops, "bucket").where(linkable)
                       .select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")).distinct())
         if tested is not None:
@@ -246,13 +325,23 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         if not found.isEmpty():  # else the components stay as they are
             known = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
             labels = components(known.unionByName(found))
-        labelled = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+        def labelled(rows: DataFrame, labels: DataFrame = labels) -> DataFrame:
+            return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
         # nodes that have been centres are done in their bucket
-        left = labelled.withColumn("rank", F.row_number().over(by_weight)).where(F.col("rank") > centers).drop("rank")
-        several = (left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                       .where("low < high").select("bucket"))
-        open_ = materialize(left.join(several, "bucket", "left_semi"), "open")
-        buckets, centers = open_.drop("component"), centers * FASTER
+        left = within_reach(labelled(ranked.where(F.col("rank") > centers).drop("rank", "component")))
+        if banded:
+            left = materialize(left.select("bucket", "node"), "left")
+            references = left.join(tops, "bucket").groupBy("node").agg(
+                F.max(F.struct("center_weight", "center")).getField("center").alias("reference"))
+            rare = materialize(prefixes(texts, materialize(references, "references"), n, percent), "prefixes")
+            left = (within_reach(within_reach(labelled(rare)), "apart").withColumn("weight", F.col("slack"))
+                    .join(marks, ["node", "set_a", "set_b"]).select(*open_.columns))
+            banded = False
+        else:
+            left, centers = within_reach(left, "apart"), centers * FASTER
+        open_ = materialize(left, "open")
 
     name = sets.join(labels.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
         "set_a", "set_b", F.coalesce("component", "node").alias("component_id"), "n_copies")

@@ -349,6 +349,59 @@ def test_copies_of_a_copy_make_few_pairs(spark, monkeypatch):
     assert sum(tested) < 2000  # of 19,900
 
 
+def changed_copies(draw, base, count, least, most):
+    """Copies of a text of 150 words with single words changed, some of them alike in what they change."""
+    out = []
+    for i in range(count):
+        words = list(base)
+        for at in draw.sample(range(150), draw.randint(least, most)):
+            words[at] = f"v{i % 90 if draw.random() < 0.3 else i}x{at}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("n, percent", [(3, 85), (5, 80)])
+def test_prefixes_lose_no_link(spark, n, percent):
+    """Each similar pair meets within its slack, whatever the references; few other pairs do."""
+    draw = random.Random(8)
+    texts = [t for k in range(2) for t in changed_copies(draw, [f"w{k}b{i}" for i in range(150)], 90, 1, 6)]
+    texts += ["a b", "a b", "a b c", "a b c d e f g", "b c d e f g", " ".join(["x"] * 40), texts[0] + " y", texts[0].upper()]
+    docs = list(enumerate(texts))
+    references = [(i, draw.choice([0, 1, 89, 90, 95, 180, 186])) for i, _ in docs]
+    found = minhash.prefixes(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                             spark.createDataFrame(references, "node bigint, reference bigint"), n, percent).collect()
+    rows = {}
+    for r in found:
+        rows.setdefault(r["bucket"], []).append((r["node"], r["apart"], r["slack"]))
+    met = {(a, b) for bucket in rows.values() for a, part, x in bucket for b, other, y in bucket
+           if a < b and part != other and x + y >= 0}
+    words = [t.lower().split() for t in texts]
+    sets = [{tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} for w in words]
+    links = {(a, b) for a in range(len(docs)) for b in range(a + 1, len(docs))
+             if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+    assert links <= met and len(links) > 200
+    assert len(met) < len(docs) ** 2 // 4
+
+
+def test_bucket_of_unlike_copies_makes_few_comparisons(spark, monkeypatch):
+    """Copies of one text that lie about the limit share nearly all buckets, but few are held against each other."""
+    docs = list(enumerate(changed_copies(random.Random(4), [f"w{i}" for i in range(150)], 400, 3, 6)))
+    compared, centers = [], minhash.CENTERS
+    written = minhash.materialize
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "open":
+            width = centers * minhash.FASTER ** len(compared)
+            compared.append(sum(r["count"] * min(r["count"], width) for r in out.groupBy("bucket").count().collect()))
+        return out
+
+    monkeypatch.setattr(minhash, "materialize", counted)
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 3, 85).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute.near(docs, 3, 85)
+    assert sum(compared) < 400 * 400 // 4
+
+
 def test_near_duplicates_without_keys(spark):
     rows = [(None, "a b c d"), (1, "a b c d"), (1, "a b c d"), (2, None), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
