@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from assetloom.llm.components import components
+from assetloom.llm.salting import salt_of, salted_lookup
 from assetloom.llm.text import GOLDEN, WordHashes, like, mixed, shingles
 from assetloom.session import materialize
 
@@ -226,7 +227,9 @@ def spaced(texts: DataFrame, references: DataFrame, n: int) -> DataFrame:
     own = texts.withColumnRenamed("doc_id", "node").join(references, "node")
     third = (texts.withColumnRenamed("doc_id", "reference").join(references.select("reference").distinct(), "reference", "left_semi")
                   .groupBy("reference").agg(F.min("text").alias("reference_text")))
-    return (own.join(third, "reference").select("node", "text", "reference", "reference_text").mapInArrow(space, SPACED)
+    # one text may be the reference of a large share of all nodes
+    beside = salted_lookup(own, third, ["reference"], salt_of("node"))
+    return (beside.select("node", "text", "reference", "reference_text").mapInArrow(space, SPACED)
                .dropDuplicates(["node", "set_a", "set_b", "end"]))
 
 
